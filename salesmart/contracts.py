@@ -7,12 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "smallint": T.ShortType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+    "decimal(18,2)": T.DecimalType(18, 2), "string": T.StringType(), "boolean": T.BooleanType(),
+    "date": T.DateType(), "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 def _table(text: str) -> T.StructType:
     """``name type`` per line; a trailing ``?`` marks a nullable column."""
     fields = []
     for line in text.strip().splitlines():
         name, kind = line.split()
-        fields.append(T.StructField(name, T._parse_datatype_string(kind.rstrip("?")), kind.endswith("?")))
+        fields.append(T.StructField(name, _TYPES[kind.rstrip("?")], kind.endswith("?")))
     return T.StructType(fields)
 
 

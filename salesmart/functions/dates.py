@@ -7,42 +7,47 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.text import clean_text, zero_padded
 
-# Day, month, year, and optionally hour and minute; anything after the minute is dropped.
-_SALE_STAMP = r"^(\d+)/(\d+)/(\d+)(?: (\d+):(\d+)(?:[: ].*)?)?$"
-_DAY_FIRST = (
-    "d/M/yyyy H:m:s",
-    "d/M/yyyy H:m",
-    "d/M/yyyy",
-    "d-M-yyyy H:m:s",
-    "d-M-yyyy H:m",
-    "d-M-yyyy",
-    "yyyy-M-d H:m:s",
-    "yyyy-M-d H:m",
-    "yyyy-M-d",
-)
 
+def _piece(c: Column, delimiter: str, n: int) -> Column:
+    return F.split_part(c, F.lit(delimiter), F.lit(n))
 
-def parse_sale_stamp(c: Column) -> Column:
-    """``d/M/yyyy H:m`` to a timestamp on the minute; no time means midnight."""
-    text = clean_text(c)
 
-    def piece(group: int, default: str | None = None) -> Column:
-        found = F.nullif(F.regexp_extract(text, _SALE_STAMP, group), F.lit(""))
-        if default is not None:
-            found = F.coalesce(found, F.lit(default))
-        return found.try_cast("int")
+def _whole(c: Column) -> Column:
+    return c.try_cast("int")
+
 
+def parse_sale_stamp(c: Column) -> Column:
+    """``d/M/yyyy H:m`` to a timestamp on the minute.
+
+    Seconds are dropped, no time means midnight, and bad input gives null.
+    """
+    text = clean_text(c)
+    date = _piece(text, " ", 1)
+    time = F.when(F.contains(text, F.lit(" ")), _piece(text, " ", 2)).otherwise("0:0")
     return F.call_function(
         "try_make_timestamp_ntz",
-        piece(3), piece(2), piece(1), piece(4, "0"), piece(5, "0"), F.lit(0),
+        *(_whole(_piece(date, "/", n)) for n in (3, 2, 1)),
+        *(_whole(_piece(time, ":", n)) for n in (1, 2)),
+        F.lit(0),
     )
 
 
 def parse_day_first(c: Column) -> Column:
-    """Day-first timestamp in any of the usual spellings, bad input null."""
-    text = clean_text(c)
-    return F.coalesce(
-        *(F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in _DAY_FIRST)
+    """Day-first timestamp, with slashes or dashes, or year first when it has four digits."""
+    text = clean_text(F.translate(c.cast("string"), "-T", "/ "))
+    date, time = _piece(text, " ", 1), _piece(text, " ", 2)
+    year_first = F.length(_piece(date, "/", 1)) == 4
+    day = F.when(year_first, _piece(date, "/", 3)).otherwise(_piece(date, "/", 1))
+    year = F.when(year_first, _piece(date, "/", 1)).otherwise(_piece(date, "/", 3))
+
+    def clock(n: int) -> Column:
+        found = _piece(time, ":", n)
+        return F.when(found == "", "0").otherwise(found)
+
+    return F.call_function(
+        "try_make_timestamp_ntz",
+        _whole(year), _whole(_piece(date, "/", 2)), _whole(day), _whole(clock(1)), _whole(clock(2)),
+        clock(3).try_cast("decimal(16,6)"),
     )
 
 

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.text import before, clean_text
 
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# The cast to double also takes words such as Infinity and suffixes such as 1d; numbers here have neither.
+_LETTERS = "[a-df-zA-DF-Z]"
 
 
 def _exact(c: Column) -> Column:
-    return F.when(c.rlike(_NUMBER), c).try_cast("decimal(38,10)")
+    return c.try_cast("decimal(38,10)")
 
 
 def _en_us(c: Column) -> Column:
@@ -20,8 +21,8 @@ def _en_us(c: Column) -> Column:
 
 
 def to_int64(c: Column) -> Column:
-    """``1,234`` -> 1234; a fraction rounds half to even."""
-    return F.bround(_exact(_en_us(c)), 0).try_cast("bigint")
+    """``1,234`` -> 1234; a fraction rounds half to even.  Plain digits take the short way."""
+    return F.coalesce(c.cast("string").try_cast("bigint"), F.bround(_exact(_en_us(c)), 0).try_cast("bigint"))
 
 
 def to_decimal(c: Column, scale: int = 2) -> Column:
@@ -44,7 +45,7 @@ def product_code_text(c: Column) -> Column:
 def comma_decimal(c: Column) -> Column:
     """Comma as decimal mark: ``1,5`` -> 1.5."""
     text = clean_text(F.replace(c.cast("string"), F.lit(","), F.lit(".")))
-    return F.when(text.rlike(_NUMBER), text).try_cast("double")
+    return F.when(~text.rlike(_LETTERS), text).try_cast("double")
 
 
 def id_text(c: Column) -> Column:

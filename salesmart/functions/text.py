@@ -7,7 +7,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# Every white-space character, so that trimming needs no regular expression.
+_SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _ANY_SPACE = r"(?U)\s+"
 _COMBINING_MARK = r"\p{M}+"
 
@@ -30,7 +31,7 @@ _ACCENTED, _PLAIN = _accent_table()
 
 def clean_text(c: Column) -> Column:
     """Trim every kind of white space at both ends; null stays null."""
-    return F.regexp_replace(c.cast("string"), _EDGE_SPACE, "")
+    return F.btrim(c.cast("string"), F.lit(_SPACES))
 
 
 def blank_to_null(c: Column) -> Column:

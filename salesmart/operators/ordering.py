@@ -6,10 +6,21 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from salesmart.sources.generators import literal
 
 ROWS_PER_BUCKET = 1_000_000
 MOST_BUCKETS = 1024
 
+TARGET = T.StructType(
+    [
+        T.StructField("Feature", T.StringType()), T.StructField("range", T.IntegerType()),
+        T.StructField("p", T.DoubleType()), T.StructField("end", T.StringType()),
+        T.StructField("position", T.LongType()), T.StructField("part", T.DoubleType()),
+    ]
+)
+
 
 def _cuts(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, list]]:
     """Row count and, per column, values that split it into near-equal buckets.
@@ -91,9 +102,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: tuple[float, ...]
                     left -= n
     if not wanted:
         raise ValueError("no values to take quantiles of")
-    targets = spark.createDataFrame(
-        wanted, "Feature string, range int, p double, `end` string, position bigint, part double"
-    )
+    targets = literal(spark, wanted, TARGET)
     running = Window.partitionBy("Feature", "range").orderBy("value")
     needed = targets.select("Feature", "range").distinct()
     placed = (

@@ -12,6 +12,7 @@ from salesmart.functions.dates import to_second
 from salesmart.operators.filters import INSERT_REQUIRED, above_mark, complete
 from salesmart.operators.grouping import last_row
 from salesmart.operators.lookups import new_rows
+from salesmart.sources.generators import literal
 
 PROCESS = "Load_FactSales"
 
@@ -64,4 +65,4 @@ def log_row(
     started: dt.datetime, status: str = "Succeeded", error: str | None = None,
 ) -> DataFrame:
     values = (run, job, step, table, rows, 0, status, error and error[:1000], started, dt.datetime.now())
-    return spark.createDataFrame([values], CONTRACTS["LoadLog"])
+    return literal(spark, [values], CONTRACTS["LoadLog"])

@@ -9,6 +9,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from salesmart.contracts import conform
 from salesmart.functions import dates as D
@@ -18,6 +19,7 @@ from salesmart.functions import text as X
 from salesmart.operators.filters import analytical_valid
 from salesmart.operators.grouping import first_row, long_form
 from salesmart.operators.ordering import z_scores
+from salesmart.sources.generators import literal
 from salesmart.sources.tables import mapped, with_defaults
 from salesmart.workspace import settle
 
@@ -338,17 +340,19 @@ def segment(features: DataFrame, k: int = K, restarts: int = RESTARTS, seed: int
         segments = settle(rows.select(*OUTPUT), "segments").orderBy("SegmentRank", F.desc("TotalSalesAmount"))
     finally:
         z.unpersist()
-    summary = spark.createDataFrame(
+    summary = literal(
+        spark,
         [
             ("Algorithm", "K-Means"), ("Number of clusters", str(k)), ("Number of pharmacies", str(n)),
             ("Number of model features", str(len(FEATURES))),
             ("silhouette_sq", "Not available" if score is None else str(score)),
         ],
-        "Metric string, Value string",
+        StructType([StructField("Metric", StringType()), StructField("Value", StringType())]),
     )
-    pca = spark.createDataFrame(
+    pca = literal(
+        spark,
         [("PCA1", explained[0]), ("PCA2", explained[1]), ("Total", sum(explained))],
-        "Component string, ExplainedVarianceRatio double",
+        StructType([StructField("Component", StringType()), StructField("ExplainedVarianceRatio", DoubleType())]),
     )
     return Segmentation(segments, summary, pca, float(model.summary.trainingCost))
 

@@ -10,7 +10,7 @@ def local_session(cores: int | str = 8, app: str = "salesmart") -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -31,6 +31,8 @@ def _decoded(df: DataFrame, encoding: str) -> DataFrame:
 
 def _options(encoding: str, quoted: bool, header: bool) -> dict[str, str]:
     options = {"encoding": _reader_charset(encoding), "header": str(header).lower(), "sep": ","}
+    # The file's blanks are data; cleaning decides about them later.
+    options.update({"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
     options.update({"quote": '"', "escape": '"'} if quoted else {"quote": "", "escape": ""})
     return options
 

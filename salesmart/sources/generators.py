@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.contracts import CONTRACTS
 from salesmart.functions.labels import UNKNOWN, UNKNOWN_KEY
@@ -32,7 +33,7 @@ def date_bounds(df: DataFrame, column: Column) -> DataFrame:
 
 
 def fixed_bounds(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
-    return spark.range(1).select(F.lit(first).alias("first_day"), F.lit(last).alias("last_day"))
+    return spark.range(1, numPartitions=1).select(F.lit(first).alias("first_day"), F.lit(last).alias("last_day"))
 
 
 def every_day(bounds: DataFrame) -> DataFrame:
@@ -42,22 +43,32 @@ def every_day(bounds: DataFrame) -> DataFrame:
 
 
 def every_minute(spark: SparkSession) -> DataFrame:
-    return spark.range(MINUTES_PER_DAY).select(F.col("id").cast("int").alias("minute_of_day"))
+    return spark.range(0, MINUTES_PER_DAY, 1, 1).select(F.col("id").cast("int").alias("minute_of_day"))
 
 
 def is_holiday(d: Column, holidays: tuple[dt.date, ...] = HOLIDAYS) -> Column:
     return d.isin(*holidays) if holidays else F.lit(False)
 
 
+def literal(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few given rows, built as constants in the plan."""
+    typed = [
+        F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema))) for row in rows
+    ]
+    if not typed:
+        return spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*typed)))
+
+
 def unknown_product(spark: SparkSession) -> DataFrame:
     """The row facts point to when their product is not in the master data."""
     row = (UNKNOWN_KEY, UNKNOWN_KEY, "Unknown Product", UNKNOWN, UNKNOWN, UNKNOWN, False, UNKNOWN)
-    return spark.createDataFrame([row], CONTRACTS["DimProduct"])
+    return literal(spark, [row], CONTRACTS["DimProduct"])
 
 
 def first_watermark(spark: SparkSession, process: str) -> DataFrame:
     """Seed row of the control table: nothing loaded yet."""
-    return spark.range(1).select(
+    return spark.range(1, numPartitions=1).select(
         F.lit(process).alias("ProcessName"),
         F.lit(dt.datetime(1900, 1, 1)).cast("timestamp_ntz").alias("LastSourceSaleDateTime"),
         F.lit(0).cast("bigint").alias("LastSaleID"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.contracts import CONTRACTS, conform
+from salesmart.sources.generators import literal
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -64,13 +65,13 @@ def _writer(df: DataFrame, partition_by: list[str] | None, mode: str = "errorife
 
 def create(spark: SparkSession, table: str, path: str) -> DataFrame:
     """An empty table with the contract's columns; an old one is dropped."""
-    return replace(spark.createDataFrame([], CONTRACTS[table]), path)
+    return replace(literal(spark, [], CONTRACTS[table]), path)
 
 
 def clear(spark: SparkSession, path: str) -> DataFrame:
     """Delete all rows and keep the schema."""
     schema = scan(spark, path).schema
-    return replace(spark.createDataFrame([], schema), path)
+    return replace(literal(spark, [], schema), path)
 
 
 def delete_where(spark: SparkSession, path: str, condition: Column) -> DataFrame:
