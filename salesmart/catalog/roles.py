@@ -474,5 +474,5 @@ def sql(body: str, *ctes: str) -> str:
 
     for name in ctes:
         need(name)
-    head = ",\n".join(f"{n} AS ({CTE[n].strip()})" for n in ordered)
+    head = ",\n".join(f'"{n}" AS ({CTE[n].strip()})' for n in ordered)
     return (f"WITH {head}\n" if head else "") + body.strip()
