@@ -1 +1,401 @@
-"""."""
+"""Segmentation model (M), load checks (N), load jobs (O) and file arrivals (P)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from salesmart.catalog import roles as R
+from salesmart.catalog.registry import query
+from salesmart.contracts import CONTRACTS, DIMENSIONS, conform
+from salesmart.operators import grouping as A
+from salesmart.operators import lookups as J
+from salesmart.operators import quality as Q
+from salesmart.plans import dimensions as B
+from salesmart.plans import facts as S
+from salesmart.plans import incremental as I
+from salesmart.plans import jobs as W
+from salesmart.plans import segmentation as P
+from salesmart.sources import generators as G
+from salesmart.sources import tables as T
+from salesmart.streaming.arrivals import load_arrivals
+from salesmart.workspace import run_dir, settle
+
+# ---- segmentation ------------------------------------------------------------------------
+
+
+def _features(spark, sf):
+    return settle(R.features(spark, sf), "features")
+
+
+@query("m01_feature_matrix", R.sql(
+    "SELECT PharmacyID, " + ", ".join(f"round(CAST({c} AS DOUBLE), 4) AS {c}" for c in P.FEATURES) + " FROM features", "features"))
+def feature_matrix(spark, sf):
+    rows = P.feature_matrix(R.features(spark, sf))
+    return rows.select("PharmacyID", *(F.round(F.col(c).cast("double"), 4).alias(c) for c in P.FEATURES))
+
+
+@query("m02_z_scores", R.sql(
+    "SELECT PharmacyID, " + ", ".join(
+        f"round(coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0), 5) AS {c}" for c in P.FEATURES
+    ) + " FROM features", "features"))
+def z_scores(spark, sf):
+    """Population deviation; store counts are few enough that a constant feature can occur."""
+    rows = P.scaled(_features(spark, sf))
+    return rows.select("PharmacyID", *(F.round(f"{c}_z", 5).alias(c) for c in P.FEATURES))
+
+
+@query("m03_entity_guard", "SELECT count(DISTINCT l_suppkey) AS Pharmacies, true AS TooManyClustersFail FROM lineitem")
+def entity_guard(spark, sf):
+    rows = _features(spark, sf)
+    n = P.require_entities(rows, P.K)
+    try:
+        P.require_entities(rows, n + 1)
+        failed = False
+    except P.TooFewEntities:
+        failed = True
+    return rows.agg(F.count(F.lit(1)).alias("Pharmacies"), F.lit(failed).alias("TooManyClustersFail"))
+
+
+@query("m04_kmeans_restarts")
+def kmeans_restarts(spark, sf):
+    z = P.scaled(_features(spark, sf)).coalesce(1 + R.table(spark, sf, "supplier").count() // P.STORES_PER_TASK).persist()
+    clusters = settle(P.best_kmeans(z).transform(z).select("PharmacyID", "ClusterID"), "clusters")
+    z.unpersist()
+    return clusters
+
+
+@query("m05_silhouette")
+def silhouette(spark, sf):
+    z = P.scaled(_features(spark, sf))
+    clustered = P.best_kmeans(z, restarts=1).transform(z)
+    return clustered.agg(F.count_distinct("ClusterID").alias("Clusters"), F.lit(round(P.silhouette_sq(clustered), 4)).alias("silhouette_sq"))
+
+
+@query("m06_ranked_segments", R.sql("""
+SELECT PharmacyID, SegmentRank, SegmentLabel, SegmentDescription FROM segments""", "segments"))
+def ranked_segments(spark, sf):
+    return R.segments(spark, sf).select("PharmacyID", "SegmentRank", "SegmentLabel", "SegmentDescription")
+
+
+@query("m07_principal_components")
+def principal_components(spark, sf):
+    projected, explained = P.principal_components(P.scaled(_features(spark, sf)))
+    return projected.select("PharmacyID", "PCA1", "PCA2", *(F.lit(v).alias(f"Explained{i + 1}") for i, v in enumerate(explained)))
+
+
+@query("m08_output_table")
+def output_table(spark, sf):
+    return P.segment(R.features(spark, sf)).segments
+
+
+@query("m09_model_summary")
+def model_summary(spark, sf):
+    model = P.segment(R.features(spark, sf), restarts=1)
+    return model.model_summary.unionByName(
+        model.pca_summary.select(F.col("Component").alias("Metric"), F.round("ExplainedVarianceRatio", 4).cast("string").alias("Value"))
+    )
+
+
+@query("l19_segment_scatter")
+def segment_scatter(spark, sf):
+    return P.for_warehouse(P.segment(R.features(spark, sf), restarts=1).segments).select("SegmentLabel", "PCA1", "PCA2")
+
+
+# ---- checks ------------------------------------------------------------------------------
+
+
+def _dimensions(spark, sf):
+    return {
+        "DimDate": R.dim_date(spark, sf), "DimTime": B.build_time(spark), "DimProduct": R.dim_product(spark, sf),
+        "DimLocation": R.dim_location(spark, sf), "DimPharmacy": R.dim_pharmacy(spark, sf),
+        "DimOperator": R.dim_operator(spark, sf), "DimPOS": R.dim_pos(spark, sf),
+    }
+
+
+def _full_facts(spark, sf):
+    rows = R.facts(spark, sf, place=True, operator=True)
+    return conform(rows.withColumns({"CurrencyCode": F.lit("EUR"), "LoadDateTime": F.localtimestamp()}), "FactSales")
+
+
+@query("n01_tables_empty", "SELECT " + ", ".join(f"CAST(0 AS BIGINT) AS {t}Rows" for t in ("FactSales", *DIMENSIONS)))
+def tables_empty(spark, sf):
+    """Load every table, clear it, and count what is left."""
+    house = W.Warehouse(spark, run_dir(spark, "mart"))
+    house.write("FactSales", _full_facts(spark, sf), "load")
+    for name, df in _dimensions(spark, sf).items():
+        house.write(name, df, "load")
+    for name in ("FactSales", *DIMENSIONS):
+        house.clear(name)
+    counts = house.counts(("FactSales", *DIMENSIONS))
+    Q.require_empty(counts)
+    return counts
+
+
+_DIM_SQL = {"DimDate": "ddate", "DimTime": "dtime", "DimProduct": "dproduct", "DimLocation": "dlocation",
+            "DimPharmacy": "dpharmacy", "DimOperator": "doperator", "DimPOS": "dpos"}
+
+
+@query("n02_dimensions_loaded", R.sql(
+    "SELECT " + ", ".join(f"(SELECT count(*) FROM {t}) AS {n}Rows" for n, t in _DIM_SQL.items()), *_DIM_SQL.values()))
+def dimensions_loaded(spark, sf):
+    counts = A.row_counts(_dimensions(spark, sf))
+    Q.require_loaded(counts)
+    return counts
+
+
+@query("n03_fact_control_totals", R.sql("""
+SELECT count(*) AS FactSalesRows, CAST(sum(Qty) AS BIGINT) AS TotalQuantity, CAST(sum(Amount) AS DOUBLE) AS TotalAmount,
+  min(SourceSaleDateTime) AS FirstSaleDateTime, max(SourceSaleDateTime) AS LastSaleDateTime FROM built_fact""", "built_fact"))
+def fact_control_totals(spark, sf):
+    return Q.control_totals(S.build_facts(R.sales_feed(spark, sf), R.dim_product(spark, sf)))
+
+
+_REPORT_SQL = {**_DIM_SQL, "FactSales": "fact", "PharmacySegmentation": "segments"}
+
+
+@query("n04_row_count_report", R.sql(
+    " UNION ALL ".join(
+        f"SELECT 'Row Count' AS ValidationType, '{n}' AS TableName, count(*) AS ResultValue, 'Should be > 0' AS ExpectedResult FROM {t}"
+        for n, t in _REPORT_SQL.items()), *_REPORT_SQL.values()))
+def row_count_report(spark, sf):
+    tables = {**_dimensions(spark, sf), "FactSales": _full_facts(spark, sf), "PharmacySegmentation": R.segments(spark, sf)}
+    return Q.row_count_report(tables)
+
+
+_NULLS = {"FK_Product": "l_discount = 0.1", "Qty": "l_tax = 0.08", "Amount": "l_returnflag = 'R' AND l_linestatus = 'F'"}
+
+
+@query("n05_null_count_report", " UNION ALL ".join(
+    f"SELECT 'FactSales Null Check' AS ValidationType, 'Missing {c}' AS CheckName, count(*) FILTER ({_NULLS.get(c, 'false')}) AS ResultValue, "
+    f"'Should be 0' AS ExpectedResult FROM lineitem" for c in Q.FACT_CHECKED))
+def null_count_report(spark, sf):
+    """Some lines lose a column by attribute, so that the counts are not all zero."""
+    lines = R.table(spark, sf, "lineitem")
+    same = {"FK_Pharmacy": "l_suppkey", "FK_POS": "l_linenumber", "FK_Operator": "l_orderkey", "FK_Location": "l_suppkey",
+            "FK_Date": "l_shipdate", "FK_Time": "l_orderkey", "FK_Product": "l_partkey", "Qty": "l_quantity", "Amount": "l_extendedprice"}
+    return Q.null_report(
+        lines.select(*(F.when(~F.expr(_NULLS.get(c, "false")), F.col(src)).alias(c) for c, src in same.items()))
+    )
+
+
+@query("n06_segmentation_report", R.sql("""
+SELECT 'Notebook Output Check' AS ValidationType,
+  unnest(['Segmentation rows', 'Distinct pharmacies segmented', 'Missing segment labels']) AS CheckName,
+  unnest([count(*), count(DISTINCT PharmacyID), count(*) FILTER (SegmentLabel IS NULL)]) AS ResultValue,
+  unnest(['Should be > 0', 'Should match number of pharmacies used in the model', 'Should be 0']) AS ExpectedResult FROM segments""", "segments"))
+def segmentation_report(spark, sf):
+    return Q.segmentation_report(R.segments(spark, sf))
+
+
+def _orphan_sql(fk: str, relation: str, on: str) -> str:
+    return (
+        f"SELECT '{fk}' AS ForeignKey, count(*) FILTER (k IS NULL) AS OrphanRows, count(DISTINCT {fk}) FILTER (k IS NULL) AS OrphanKeys "
+        f"FROM fact LEFT JOIN (SELECT {on} AS k FROM {relation}) ON {fk} = k"
+    )
+
+
+@query("n07_orphan_report", R.sql(" UNION ALL ".join((
+    _orphan_sql("FK_Date", "ddate WHERE NOT IsWeekend", "SK_Date"), _orphan_sql("FK_Time", "dtime WHERE DayPeriod <> 'Night'", "SK_Time"),
+    _orphan_sql("FK_Product", "dproduct WHERE Brand <> 'Brand#7'", "SK_Product"),
+    _orphan_sql("FK_Pharmacy", "dpharmacy", "SK_Pharmacy"), _orphan_sql("FK_Location", "dlocation WHERE District <> 'ASIA'", "SK_Location"),
+    _orphan_sql("FK_Operator", "doperator WHERE \"Role\" <> 'BUILDING'", "SK_Operator"), _orphan_sql("FK_POS", "dpos", "SK_POS"),
+)), "fact", *_DIM_SQL.values()))
+def orphan_report(spark, sf):
+    """Several dimensions lack some members by attribute."""
+    dims = _dimensions(spark, sf)
+    gaps = {
+        "DimDate": "NOT IsWeekend", "DimTime": "DayPeriod <> 'Night'", "DimProduct": "Brand <> 'Brand#7'",
+        "DimLocation": "District <> 'ASIA'", "DimOperator": "Role <> 'BUILDING'",
+    }
+    from salesmart.plans.measures import LINKS
+
+    links = {LINKS[n][0]: (df.filter(gaps.get(n, "true")), LINKS[n][1]) for n, df in dims.items()}
+    return J.orphan_report(R.facts(spark, sf, place=True, operator=True), links)
+
+
+@query("n08_segment_distribution", R.sql("SELECT SegmentLabel, count(*) AS NumberOfPharmacies FROM segments GROUP BY 1", "segments"))
+def segment_distribution(spark, sf):
+    return Q.distribution(R.segments(spark, sf), "SegmentLabel", "NumberOfPharmacies")
+
+
+@query("n09_output_checks", R.sql("""
+SELECT unnest(['One row per pharmacy', 'No missing PharmacyID', 'No missing SegmentLabel', 'No missing or unknown District', 'All shares between 0 and 1']) AS "Check",
+  unnest([count(*) = count(DISTINCT PharmacyID), bool_and(PharmacyID IS NOT NULL), bool_and(SegmentLabel IS NOT NULL), true,
+    bool_and(BrandedSalesShare BETWEEN 0 AND 1 AND GenericSalesShare BETWEEN 0 AND 1)]) AS Result FROM segments""", "segments"))
+def output_checks(spark, sf):
+    return Q.require_checks(Q.output_checks(R.segments(spark, sf)))
+
+
+@query("n10_unknown_districts", R.sql("""
+SELECT s_suppkey AS SK_Pharmacy, Municipality FROM supplier JOIN built_location ON s_nationkey = SK_Location WHERE District = 'Unknown'""", "built_location"))
+def unknown_districts(spark, sf):
+    """The stores whose place still has no district; the job stops on any."""
+    places = B.build_location(R.location_feed(spark, sf), R.map_feed(spark, sf), R.MANUAL)
+    lost = Q.unknown_districts(places)
+    return R.dim_pharmacy(spark, sf).join(lost, F.col("FK_Location") == F.col("SK_Location")).select("SK_Pharmacy", "Municipality")
+
+
+@query("n11_outlier_removed", """
+SELECT l_suppkey AS FK_Pharmacy, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS Amount FROM lineitem
+WHERE l_orderkey <> (SELECT l_orderkey FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey DESC LIMIT 1) GROUP BY 1""")
+def outlier_removed(spark, sf):
+    path, facts = run_dir(spark, "facts"), R.facts(spark, sf)
+    worst = facts.agg(F.max(F.struct("Amount", "PK_SaleID")).alias("w")).first().w.PK_SaleID
+    T.replace(facts, path)
+    kept = T.delete_where(spark, path, F.col("PK_SaleID") == worst)
+    return kept.groupBy("FK_Pharmacy").agg(F.count(F.lit(1)).alias("n"), F.sum("Amount").alias("Amount"))
+
+
+# ---- jobs --------------------------------------------------------------------------------
+
+
+def feeds(spark, sf, sales=None):
+    a, b = R.pharmacy_feeds(spark, sf)
+    return W.Feeds(
+        sales=R.sales_feed(spark, sf) if sales is None else sales, products=R.product_feed(spark, sf),
+        pharmacies=a.unionByName(b), locations=R.location_feed(spark, sf), district_map=R.map_feed(spark, sf),
+        operators=R.operator_feed(spark, sf), pos=R.pos_feed(spark, sf), manual=R.MANUAL,
+        manual_by_key={**R.MANUAL_KEYS, "nation_15": "Aveiro"},
+    )
+
+
+_JOB_COUNTS = {
+    "DimDate": "(SELECT max(CAST(l_shipdate AS DATE)) - min(CAST(l_shipdate AS DATE)) + 1 FROM lineitem)", "DimTime": "1440",
+    "DimProduct": "(SELECT count(*) + 1 FROM part)", "DimLocation": "(SELECT count(*) FROM nation)",
+    "DimPharmacy": "(SELECT count(*) FROM supplier)", "DimOperator": "(SELECT count(*) FROM customer)",
+    "DimPOS": "(SELECT count(DISTINCT l_linenumber) FROM lineitem)", "FactSales": "(SELECT count(*) FROM built_fact)",
+    "PharmacySegmentation": "(SELECT count(DISTINCT l_suppkey) FROM lineitem WHERE l_tax <> 0.08 AND l_discount <> 0.1)",
+}
+
+
+@query("o01_full_refresh", R.sql(" UNION ALL ".join(
+    f"SELECT 'Row Count' AS ValidationType, '{t}' AS TableName, CAST({n} AS BIGINT) AS ResultValue, 'Should be > 0' AS ExpectedResult"
+    for t, n in _JOB_COUNTS.items()), "built_fact"))
+def full_refresh(spark, sf):
+    house = W.full_refresh(spark, feeds(spark, sf), run_dir(spark, "mart"))
+    return W.final_report(house)["rows"]
+
+
+@query("o02_incremental_load", R.sql("""
+SELECT FK_Pharmacy, count(*) AS n, CAST(sum(Amount) AS DOUBLE) AS Amount, CAST(0 AS BIGINT) AS SecondRun FROM built_fact GROUP BY 1""", "built_fact"))
+def incremental_load(spark, sf):
+    """Load the sales up to an id, then offer all of them twice: the rest comes in once."""
+    root, sales = run_dir(spark, "mart"), R.sales_feed(spark, sf)
+    number = F.col("Sale ID").try_cast("bigint")
+    last = sales.agg(F.max(number).alias("m")).first().m * 4 // 5
+    house = W.full_refresh(spark, feeds(spark, sf, sales.filter(number <= last)), root, R.bounds(spark, sf), segmented=None)
+    W.incremental_load(spark, sales, root)
+    again = W.incremental_load(spark, sales, root)
+    return house.read("FactSales").groupBy("FK_Pharmacy").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("Amount").alias("Amount"), F.lit(again).cast("bigint").alias("SecondRun")
+    )
+
+
+@query("o03_advance_mark", """
+SELECT 'Load_FactSales' AS ProcessName, l_shipdate AS LastSourceSaleDateTime, l_orderkey AS LastSaleID
+FROM lineitem ORDER BY 2 DESC, 3 DESC LIMIT 1""")
+def advance_mark(spark, sf):
+    house = W.Warehouse(spark, run_dir(spark, "mart"))
+    house.write("FactSales", _full_facts(spark, sf), "load")
+    T.replace(conform(G.first_watermark(spark, I.PROCESS), "Watermark"), house.path("Watermark"))
+    house.advance_mark()
+    return house.read("Watermark").select("ProcessName", "LastSourceSaleDateTime", "LastSaleID")
+
+
+@query("o04_first_mark", """
+SELECT 'Load_FactSales' AS ProcessName, TIMESTAMP '1900-01-01' AS LastSourceSaleDateTime, CAST(0 AS BIGINT) AS LastSaleID,
+  count(*) AS RowsAbove FROM orders WHERE o_orderkey > 0""")
+def first_mark(spark, sf):
+    mark = G.first_watermark(spark, I.PROCESS).select("ProcessName", "LastSourceSaleDateTime", "LastSaleID")
+    orders = J.beside(R.table(spark, sf, "orders").select("o_orderkey"), mark)
+    return orders.filter(F.col("o_orderkey") > F.col("LastSaleID")).groupBy(*mark.columns).agg(F.count(F.lit(1)).alias("RowsAbove"))
+
+
+@query("o05_run_log", """
+SELECT 'load' AS PipelineName, t AS TargetTable, n AS RowsInserted, 'Succeeded' AS Status FROM (
+  SELECT 'DimPharmacy' AS t, count(*) AS n FROM supplier UNION ALL SELECT 'DimOperator', count(*) FROM customer
+  UNION ALL SELECT 'DimProduct', count(*) FROM part)""")
+def run_log(spark, sf):
+    house = W.Warehouse(spark, run_dir(spark, "mart"))
+    house.write("DimPharmacy", R.dim_pharmacy(spark, sf), "load")
+    house.write("DimOperator", R.dim_operator(spark, sf), "load")
+    house.write("DimProduct", R.dim_product(spark, sf), "load")
+    return house.read("LoadLog").select("PipelineName", "TargetTable", "RowsInserted", "Status")
+
+
+@query("o06_dim_pos", R.sql("SELECT * FROM dpos", "dpos"))
+def dim_pos(spark, sf):
+    return B.build_pos(R.pos_feed(spark, sf))
+
+
+@query("o06_dim_operator", R.sql("SELECT * FROM doperator", "doperator"))
+def dim_operator(spark, sf):
+    return B.build_operator(R.operator_feed(spark, sf))
+
+
+@query("o06_dim_location", R.sql("SELECT * FROM built_location", "built_location"))
+def dim_location(spark, sf):
+    return B.build_location(R.location_feed(spark, sf), R.map_feed(spark, sf), R.MANUAL)
+
+
+@query("o06_dim_pharmacy", R.sql("SELECT * FROM dpharmacy", "dpharmacy"))
+def dim_pharmacy(spark, sf):
+    a, b = R.pharmacy_feeds(spark, sf)
+    return B.build_pharmacy(a.unionByName(b).unionByName(a))
+
+
+@query("o06_dim_product", R.sql("""
+SELECT * FROM built_product UNION ALL SELECT -1, -1, 'Unknown Product', 'Unknown', 'Unknown', 'Unknown', false, 'Unknown'""", "built_product"))
+def dim_product(spark, sf):
+    return B.build_product(R.product_feed(spark, sf))
+
+
+@query("o06_dim_date", R.sql("SELECT *, false AS IsHoliday FROM ddate", "ddate"))
+def dim_date(spark, sf):
+    """The test calendar ends before the first listed holiday."""
+    return B.build_date(R.bounds(spark, sf))
+
+
+@query("o06_dim_time", R.sql("""
+SELECT dtime.*, coalesce(n, 0) AS Lines FROM dtime LEFT JOIN (SELECT FK_Time, count(*) AS n FROM fact GROUP BY 1) ON FK_Time = SK_Time""", "dtime", "fact"))
+def dim_time(spark, sf):
+    sold = R.facts(spark, sf).groupBy("FK_Time").agg(F.count(F.lit(1)).alias("Lines"))
+    rows = B.build_time(spark).join(sold, F.col("SK_Time") == F.col("FK_Time"), "left").drop("FK_Time")
+    return rows.withColumn("Lines", F.coalesce("Lines", F.lit(0)))
+
+
+@query("o07_fact_builder", R.sql("SELECT * REPLACE (CAST(Amount AS DOUBLE) AS Amount) FROM built_fact", "built_fact"))
+def fact_builder(spark, sf):
+    dim = B.build_product(R.product_feed(spark, sf))
+    return S.build_facts(R.sales_feed(spark, sf), dim).drop("LoadDateTime")
+
+
+@query("o08_unknown_member", """
+SELECT CASE WHEN l_discount = 0.1 OR p_brand = 'Brand#7' THEN 'Unknown Product' ELSE p_name END AS ProductName, count(*) AS n,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS Amount
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE l_tax <> 0.08 GROUP BY 1""")
+def unknown_member(spark, sf):
+    """Sales without a code, or of a brand the master data lacks, show up under one member."""
+    known = R.dim_product(spark, sf).filter("Brand <> 'Brand#7'")
+    dim = G.unknown_product(spark).unionByName(known)
+    facts = S.build_facts(R.sales_feed(spark, sf), dim).groupBy("FK_Product").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("Amount").alias("Amount")
+    )
+    named = facts.join(dim.select("SK_Product", "ProductName"), F.col("FK_Product") == F.col("SK_Product"), "left")
+    return named.groupBy("ProductName").agg(F.sum("n").alias("n"), F.sum("Amount").alias("Amount"))
+
+
+@query("p01_file_arrivals", R.sql("""
+SELECT FK_Pharmacy, count(*) AS n, CAST(sum(Amount) AS DOUBLE) AS Amount FROM fact GROUP BY 1""", "fact"))
+def file_arrivals(spark, sf):
+    """Three deliveries, the last of which repeats the first."""
+    house, incoming = W.Warehouse(spark, run_dir(spark, "mart")), run_dir(spark, "incoming")
+    house.clear("FactSales")
+    staged = conform(_full_facts(spark, sf).withColumnRenamed("PK_SaleID", "SaleID"), "FactSales_IncrementalBatch")
+    middle = staged.agg(F.max("SaleID").alias("m")).first().m // 2
+    checkpoint = run_dir(spark, "arrivals")
+    early, late = F.col("SaleID") <= middle, F.col("SaleID") > middle
+    for part in (early, late, early):
+        staged.filter(part).write.mode("append").parquet(incoming)
+        load_arrivals(spark, incoming, house.root, checkpoint).awaitTermination()
+    return house.read("FactSales").groupBy("FK_Pharmacy").agg(F.count(F.lit(1)).alias("n"), F.sum("Amount").alias("Amount"))

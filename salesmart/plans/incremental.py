@@ -34,9 +34,11 @@ def stage(facts: DataFrame, last_id: int) -> DataFrame:
     return conform(rows.withColumns(stamps), "FactSales_IncrementalBatch")
 
 
-def rows_to_insert(staged: DataFrame, facts: DataFrame, last_id: int) -> DataFrame:
-    """Staged rows above the mark, complete, and not in the facts yet."""
-    ready = complete(staged.filter(above_mark(F.col("SaleID"), last_id)), INSERT_REQUIRED)
+def rows_to_insert(staged: DataFrame, facts: DataFrame, last_id: int | None = None) -> DataFrame:
+    """Staged rows above the mark (if there is one), complete, and not in the facts yet."""
+    if last_id is not None:
+        staged = staged.filter(above_mark(F.col("SaleID"), last_id))
+    ready = complete(staged, INSERT_REQUIRED)
     fresh = new_rows(ready, facts, "SaleID", "PK_SaleID")
     return conform(
         fresh.withColumnRenamed("SaleID", "PK_SaleID").withColumn("LoadDateTime", F.localtimestamp()), "FactSales"

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -21,6 +21,8 @@ from salesmart.plans.facts import MONTH, build_facts, typed_sales, with_month
 from salesmart.plans.measures import Mart
 from salesmart.sources import generators as G
 from salesmart.sources import tables as T
+from salesmart.sources.generators import literal
+from salesmart.workspace import settle
 
 SCHEMAS = {
     **{name: "dwh" for name in (*DIMENSIONS, "FactSales", "DateSlicer", "PharmacySegmentation")},
@@ -32,7 +34,7 @@ SCHEMAS = {
 
 @dataclass(frozen=True)
 class Feeds:
-    """Raw sources as text columns."""
+    """Raw sources as text columns, and the districts settled by hand."""
 
     sales: DataFrame
     products: DataFrame
@@ -41,6 +43,8 @@ class Feeds:
     district_map: DataFrame
     operators: DataFrame
     pos: DataFrame
+    manual: dict[str, str] | None = None
+    manual_by_key: dict[str, str] | None = None
 
 
 @dataclass
@@ -64,20 +68,31 @@ class Warehouse:
         return T.scan(self.spark, self.path(table), schema)
 
     def clear(self, table: str) -> None:
-        T.create(self.spark, table, self.path(table))
+        if table == "FactSales":
+            T.replace(with_month(literal(self.spark, [], CONTRACTS[table])), self.path(table), [MONTH])
+        else:
+            T.create(self.spark, table, self.path(table))
 
     def write(self, table: str, df: DataFrame, job: str, append: bool = False) -> int:
-        """Write a table and log the rows, counted while they are written."""
-        started, seen = dt.datetime.now(), Observation()
-        rows = guarded(df, table).observe(seen, F.count(F.lit(1)).alias("rows"))
+        """Write a table and log its rows, which are counted from the files just written.
+
+        Rows to append are settled first: they are computed once, against the
+        table as it was, and the append itself only copies them.
+        """
+        started = dt.datetime.now()
+        rows = guarded(df, table)
         parts = [MONTH] if table == "FactSales" else None
-        shaped = with_month(rows) if parts else rows
+        rows = with_month(rows) if parts else rows
         try:
-            (T.append if append else T.replace)(shaped, self.path(table), parts)
+            if append:
+                rows = settle(rows, f"append-{table}")
+                T.append(rows, self.path(table), parts)
+            else:
+                rows = T.replace(rows, self.path(table), parts)
         except Exception as problem:
             self.log(job, f"write {table}", table, None, started, "Failed", str(problem))
             raise
-        count = int(seen.get["rows"])
+        count = rows.count()
         self.log(job, f"write {table}", table, count, started)
         return count
 
@@ -103,7 +118,7 @@ def write_dimensions(house: Warehouse, feeds: Feeds, job: str, bounds: DataFrame
         bounds = G.date_bounds(typed_sales(feeds.sales), F.col("SourceSaleDateTime"))
     house.write("DimPOS", B.build_pos(feeds.pos), job)
     house.write("DimOperator", B.build_operator(feeds.operators), job)
-    house.write("DimLocation", B.build_location(feeds.locations, feeds.district_map), job)
+    house.write("DimLocation", B.build_location(feeds.locations, feeds.district_map, feeds.manual), job)
     house.write("DimPharmacy", B.build_pharmacy(feeds.pharmacies), job)
     house.write("DimProduct", B.build_product(feeds.products), job)
     house.write("DimDate", B.build_date(bounds), job)
@@ -116,7 +131,9 @@ def segment_stores(feeds: Feeds) -> S.Segmentation:
     sales = S.valid_sales(
         S.prepare_sales(feeds.sales.withColumnsRenamed({"Sale ID": "SaleID", "Pharmacy": "PharmacyID"}))
     )
-    places = B.corrected_locations(feeds.locations, feeds.district_map)
+    places = Q.require_known_districts(
+        B.corrected_locations(feeds.locations, feeds.district_map, feeds.manual_by_key)
+    )
     stores = S.prepare_pharmacies(feeds.pharmacies.withColumnsRenamed(B.PHARMACY_COLUMNS), places)
     return S.segment(S.store_features(sales, S.prepare_products(feeds.products), stores))
 
@@ -144,7 +161,9 @@ def full_refresh(
     house.write("FactSales", build_facts(feeds.sales, house.read("DimProduct")), job)
     Q.require_loaded(Q.control_totals(house.read("FactSales")).select("FactSalesRows"))
     if segmented:
-        house.write("PharmacySegmentation", S.for_warehouse(segmented(feeds).segments), job)
+        segments = segmented(feeds).segments
+        Q.require_checks(Q.output_checks(segments))
+        house.write("PharmacySegmentation", S.for_warehouse(segments), job)
     if not house.exists("Watermark"):
         T.replace(conform(G.first_watermark(spark, I.PROCESS), "Watermark"), house.path("Watermark"))
     house.advance_mark()

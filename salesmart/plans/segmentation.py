@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans
@@ -26,6 +27,8 @@ from salesmart.workspace import settle
 K = 3
 RESTARTS = 20
 SEED = 42
+FITS_AT_ONCE = 8
+STORES_PER_TASK = 100_000
 
 FEATURES = [
     "TotalSalesAmount", "TotalQuantity", "NumberOfTransactions", "AvgTransactionAmount", "ProductVariety",
@@ -247,10 +250,13 @@ def require_entities(features: DataFrame, k: int) -> int:
 
 
 def best_kmeans(z: DataFrame, k: int = K, restarts: int = RESTARTS, seed: int = SEED):
-    """The fit with the lowest within-cluster cost over several starts."""
-    fits = (KMeans(k=k, seed=seed + i, featuresCol="z", predictionCol="ClusterID", maxIter=300).fit(z)
-            for i in range(restarts))
-    return min(fits, key=lambda fit: fit.summary.trainingCost)
+    """The fit with the lowest within-cluster cost over several starts, a few of them at a time."""
+
+    def fit(start: int):
+        return KMeans(k=k, seed=seed + start, featuresCol="z", predictionCol="ClusterID", maxIter=300).fit(z)
+
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        return min(pool.map(fit, range(restarts)), key=lambda model: model.summary.trainingCost)
 
 
 def silhouette_sq(clustered: DataFrame) -> float:
@@ -323,7 +329,7 @@ def segment(features: DataFrame, k: int = K, restarts: int = RESTARTS, seed: int
     spark = features.sparkSession
     base = settle(features, "features")
     n = require_entities(base, k)
-    z = scaled(base).persist()
+    z = scaled(base).coalesce(n // STORES_PER_TASK + 1).persist()
     try:
         model = best_kmeans(z, k, restarts, seed)
         clustered = model.transform(z).withColumn("ClusterID", F.col("ClusterID").cast("bigint"))

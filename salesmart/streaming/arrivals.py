@@ -20,7 +20,7 @@ def load_arrivals(spark: SparkSession, incoming: str, root: str, checkpoint: str
 
     def insert(batch: DataFrame, batch_id: int) -> None:
         known = within_batch(batch, house.read("FactSales"))
-        house.write("FactSales", rows_to_insert(batch, known, 0), f"load_arrivals {batch_id}", append=True)
+        house.write("FactSales", rows_to_insert(batch, known), f"load_arrivals {batch_id}", append=True)
 
     arriving = spark.readStream.schema(CONTRACTS["FactSales_IncrementalBatch"]).parquet(incoming)
     return (
