@@ -132,7 +132,7 @@ def valid_code(spark, sf):
 SELECT l_linenumber AS FK_POS, count(*) AS n, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS Qty FROM lineitem
 WHERE l_tax <> 0.08 GROUP BY 1""")
 def complete_sales(spark, sf):
-    typed = K.complete(S.typed_sales(R.sales_feed(spark, sf)))
+    typed = K.complete_computed(S.typed_sales(R.sales_feed(spark, sf)))
     return typed.groupBy(F.col("FK_POS").cast("int").alias("FK_POS")).agg(F.count(F.lit(1)).alias("n"), F.sum("Qty").alias("Qty"))
 
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +28,27 @@ def complete(df: DataFrame, columns: tuple[str, ...] = FACT_REQUIRED) -> DataFra
     return df.dropna(subset=list(columns))
 
 
-def analytical_valid() -> Column:
+def filter_computed(df: DataFrame, condition: Callable[[Callable[[str], Column]], Column]) -> DataFrame:
+    """Filter on columns that were costly to compute.
+
+    A plain filter would be pushed below the computation and repeat it inside
+    the condition.  Here each row is computed once and then kept or left out.
+    """
+    rows = df.select(F.struct(*df.columns).alias("_row"))
+    kept = F.when(condition(lambda name: F.col("_row")[name]), F.array("_row"))
+    return rows.select(F.inline(kept))
+
+
+def complete_computed(df: DataFrame, columns: tuple[str, ...] = FACT_REQUIRED) -> DataFrame:
+    return filter_computed(df, lambda c: reduce(and_, (c(name).isNotNull() for name in columns)))
+
+
+def analytical_valid(c: Callable[[str], Column] = F.col) -> Column:
     """Sales the segmentation may use: keys and values present, something sold, nothing negative."""
-    present = F.lit(True)
-    for name in ("SaleID", "PharmacyID", "CNP", "Datetime", "Qty", "Amount"):
-        present = present & F.col(name).isNotNull()
-    return F.coalesce(present & (F.col("Qty") > 0) & (F.col("Amount") >= 0), F.lit(False))
+    present = reduce(
+        and_, (c(name).isNotNull() for name in ("SaleID", "PharmacyID", "CNP", "Datetime", "Qty", "Amount"))
+    )
+    return F.coalesce(present & (c("Qty") > 0) & (c("Amount") >= 0), F.lit(False))
 
 
 def above_mark(key: Column, last: Column | int) -> Column:

@@ -12,7 +12,7 @@ from salesmart.functions import dates as D
 from salesmart.functions import labels as L
 from salesmart.functions import numbers as N
 from salesmart.functions import text as X
-from salesmart.operators.filters import keyed_and_named
+from salesmart.operators.filters import complete_computed, keyed_and_named
 from salesmart.operators.grouping import first_known, first_row, single_value
 from salesmart.operators.lookups import unique_map
 from salesmart.operators.ordering import sequential_key
@@ -152,9 +152,10 @@ def build_pharmacy(feed: DataFrame) -> DataFrame:
 def clean_products(feed: DataFrame) -> DataFrame:
     cleaned = feed.withColumns({c: X.clean_text(F.col(c)) for c in PRODUCT_COLUMNS})
     kept = cleaned.filter(X.has_text(F.col("CNP")) & X.has_text(F.col("ProductName")))
-    return kept.withColumns(
+    coded = kept.withColumns(
         {"GenericLabel": L.generic_label(F.col("GenericRaw")), "CNP": N.product_code(F.col("CNP"))}
-    ).filter(F.col("CNP").isNotNull())
+    )
+    return complete_computed(coded, ("CNP",))
 
 
 def grouped_products(cleaned: DataFrame) -> DataFrame:

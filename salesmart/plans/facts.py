@@ -9,7 +9,7 @@ from salesmart.contracts import conform
 from salesmart.functions import dates as D
 from salesmart.functions import numbers as N
 from salesmart.functions import text as X
-from salesmart.operators.filters import complete
+from salesmart.operators.filters import complete_computed
 from salesmart.operators.lookups import surrogate
 
 # Feed column names and the names they take here.
@@ -37,7 +37,7 @@ def typed_sales(feed: DataFrame) -> DataFrame:
 def build_facts(feed: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Complete feed rows with date, time and product keys; unmatched products point to -1."""
     stamp = F.col("SourceSaleDateTime")
-    rows = complete(typed_sales(feed)).withColumns(
+    rows = complete_computed(typed_sales(feed)).withColumns(
         {"PK_SaleID": F.col("SaleID"), "FK_Date": D.date_key(stamp), "FK_Time": D.time_key(stamp)}
     )
     keyed = surrogate(rows, "CNP", dim_product, "CNP", "SK_Product", "FK_Product")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -17,7 +17,7 @@ from salesmart.functions import dates as D
 from salesmart.functions import labels as L
 from salesmart.functions import numbers as N
 from salesmart.functions import text as X
-from salesmart.operators.filters import analytical_valid
+from salesmart.operators.filters import analytical_valid, filter_computed
 from salesmart.operators.grouping import first_row, long_form
 from salesmart.operators.ordering import z_scores
 from salesmart.sources.generators import literal
@@ -121,19 +121,23 @@ def prepare_sales(feed: DataFrame) -> DataFrame:
 
 
 def valid_sales(sales: DataFrame) -> DataFrame:
-    return sales.filter(analytical_valid())
+    return filter_computed(sales, analytical_valid)
 
 
 def quality_summary(sales: DataFrame) -> DataFrame:
-    """Rows before and after the filter, from one pass."""
-    ok = analytical_valid()
-    flagged = sales.withColumn("_ok", ok)
-    one = flagged.agg(
-        F.count(F.lit(1)).alias("Initial sales rows"),
-        F.count_if("_ok").alias("Valid rows after analytical preprocessing"),
-        F.count_if(~F.col("_ok")).alias("Removed rows"),
-        F.count_distinct(F.when(F.col("_ok"), F.col("PharmacyID"))).alias("Distinct pharmacies in sales"),
-        F.count_distinct(F.when(F.col("_ok"), F.col("CNP"))).alias("Distinct products in sales"),
+    """Rows before and after the filter; sales shrink to one row per store and product first."""
+    ok = F.col("ok")
+    counted = sales.groupBy("PharmacyID", "CNP", analytical_valid().alias("ok")).agg(F.count(F.lit(1)).alias("n"))
+
+    def rows(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    one = counted.agg(
+        rows(F.lit(True)).alias("Initial sales rows"),
+        rows(ok).alias("Valid rows after analytical preprocessing"),
+        rows(~ok).alias("Removed rows"),
+        F.count_distinct(F.when(ok, F.col("PharmacyID"))).alias("Distinct pharmacies in sales"),
+        F.count_distinct(F.when(ok, F.col("CNP"))).alias("Distinct products in sales"),
     )
     return long_form(one, {c: c for c in one.columns}, "Metric", "Value")
 
@@ -155,7 +159,7 @@ def coverage_summary(sales: DataFrame, products: DataFrame, pharmacies: DataFram
     pairs = sales.groupBy("CNP", "PharmacyID").agg(F.count(F.lit(1)).alias("n"))
     both = enrich_sales(pairs, products.select("CNP", "ProductName", "IsGeneric", "ProductType"), pharmacies)
 
-    def rows(condition) -> F.Column:
+    def rows(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
 
     one = both.agg(
