@@ -241,8 +241,8 @@ WHERE l_orderkey <> (SELECT l_orderkey FROM lineitem ORDER BY l_extendedprice DE
 def outlier_removed(spark, sf):
     path, facts = run_dir(spark, "facts"), R.facts(spark, sf)
     worst = facts.agg(F.max(F.struct("Amount", "PK_SaleID")).alias("w")).first().w.PK_SaleID
-    T.replace(facts, path)
-    kept = T.delete_where(spark, path, F.col("PK_SaleID") == worst)
+    T.replace(S.with_month(facts), path, [S.MONTH])
+    kept = T.delete_where(spark, path, F.col("PK_SaleID") == worst, S.MONTH)
     return kept.groupBy("FK_Pharmacy").agg(F.count(F.lit(1)).alias("n"), F.sum("Amount").alias("Amount"))
 
 

@@ -18,6 +18,7 @@ from salesmart.functions import labels as L
 from salesmart.plans import dimensions as B
 from salesmart.plans.measures import FilterContext, Mart
 from salesmart.sources import generators as G
+from salesmart.workspace import settle
 
 REPORT = FilterContext(after=dt.date(1995, 12, 31), without=(dt.date(2001, 11, 4),)).within(
     dt.date(1996, 1, 1), dt.date(2001, 7, 1)
@@ -429,7 +430,8 @@ _NEEDS = {
 
 
 def clustered(spark: SparkSession, sf: str) -> DataFrame:
-    rows = features(spark, sf)
+    """Features with a cluster each; they are written once, as their mean is needed beside them."""
+    rows = settle(features(spark, sf), "features")
     mean = F.broadcast(rows.agg(F.avg("TotalSalesAmount").alias("_m")))
     total = F.col("TotalSalesAmount")
     group = F.when(total > 1.05 * F.col("_m"), 2).when(total < 0.95 * F.col("_m"), 0).otherwise(1)
@@ -438,9 +440,7 @@ def clustered(spark: SparkSession, sf: str) -> DataFrame:
 
 def segments(spark: SparkSession, sf: str) -> DataFrame:
     from salesmart.plans.segmentation import cluster_profile, labelled, ranked_profile, scored_profile
-    from salesmart.workspace import settle
-
-    rows = settle(clustered(spark, sf), "clustered")
+    rows = clustered(spark, sf)
     return labelled(rows, ranked_profile(scored_profile(cluster_profile(rows))))
 
 

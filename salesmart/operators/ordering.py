@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.sources.generators import literal
-
-ROWS_PER_BUCKET = 1_000_000
-MOST_BUCKETS = 1024
+from salesmart.workspace import settle
 
 TARGET = T.StructType(
     [
@@ -22,44 +20,38 @@ TARGET = T.StructType(
 )
 
 
-def _cuts(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, list]]:
-    """Row count and, per column, values that split it into near-equal buckets.
+def _settled_in_order(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows sorted across all tasks and written once, each with its range and its place in it.
 
-    Only these few numbers reach the driver.  Fixing them there makes every
-    later pass, and every retried task, use the same buckets.
+    ``_place`` holds the range in its upper bits and the position in the lower 33.
     """
-    total = df.count()
-    buckets = min(MOST_BUCKETS, max(8, math.ceil(total / ROWS_PER_BUCKET)))
-    steps = [i / buckets for i in range(1, buckets)]
-    row = df.agg(
-        *(F.percentile_approx(F.col(c), steps, 20 * buckets).alias(f"q{i}") for i, c in enumerate(columns))
-    ).first()
-    return total, {c: sorted(set(row[f"q{i}"] or [])) for i, c in enumerate(columns)}
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return settle(ordered.withColumn("_place", F.monotonically_increasing_id()), "ordered")
+
+
+def _range_of(place: Column) -> Column:
+    return F.shiftright(place, 33)
 
 
-def _bucket(c: Column, cuts: list) -> Column:
-    if not cuts:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*(F.lit(v) for v in cuts)), lambda v: v < c))
+def _position_of(place: Column) -> Column:
+    return place.bitwiseAND(F.lit((1 << 33) - 1))
 
 
 def sequential_key(df: DataFrame, order: str, out: str, start: int = 1) -> DataFrame:
     """Number rows from ``start`` in the order of a unique column, in parallel.
 
-    Rows are split into value ranges, numbered inside each range, and shifted by
-    the size of the ranges before it; no task ever sees the whole table.
+    Rows are sorted into ranges, one task each, and a row's number is its place
+    in its range plus the size of the ranges before it.
     """
-    _, cuts = _cuts(df, [order])
-    ranged = df.withColumn("_range", _bucket(F.col(order), cuts[order]))
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = _settled_in_order(df, [order])
+    sizes = ranged.groupBy(_range_of(F.col("_place")).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # At most MOST_BUCKETS rows, so one task and a broadcast are safe here.
+    # One row per sort task, so a single window task and a broadcast are safe here.
     offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(order))
+    number = F.col("_before") + _position_of(F.col("_place")) + F.lit(start)
     return (
-        ranged.withColumn("_i", inside)
-        .join(F.broadcast(offsets), "_range")
-        .withColumn(out, (F.col("_before") + F.col("_i") + F.lit(start - 1)).cast("bigint"))
+        ranged.join(F.broadcast(offsets), _range_of(F.col("_place")) == F.col("_range"))
+        .withColumn(out, number.cast("bigint"))
         .select(out, *df.columns)
     )
 
@@ -67,48 +59,29 @@ def sequential_key(df: DataFrame, order: str, out: str, start: int = 1) -> DataF
 def exact_quantiles(df: DataFrame, columns: list[str], probs: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per column.
 
-    A histogram finds the value range that holds each wanted rank; only those
-    ranges are then ordered, each in its own task.
+    Equal values collapse to one row with a count, so that a value held by most
+    rows weighs nothing.  The counts are sorted into ranges, and only the ranges
+    that hold a wanted rank are looked at row by row.
     """
-    spark = df.sparkSession
-    numbers = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    _, cuts = _cuts(numbers, columns)
-    items = F.array(
-        *(
-            F.struct(F.lit(c).alias("Feature"), F.col(c).alias("value"), _bucket(F.col(c), cuts[c]).alias("range"))
-            for c in columns
-        )
-    )
-    # Equal values collapse first, so a value held by most rows costs one row.
+    items = F.array(*(F.struct(F.lit(c).alias("Feature"), F.col(c).cast("double").alias("value")) for c in columns))
     counted = (
-        numbers.select(F.explode(items).alias("x")).select("x.*").filter(F.col("value").isNotNull())
-        .groupBy("Feature", "range", "value").agg(F.count(F.lit(1)).alias("n"))
+        df.select(F.explode(items).alias("x")).select("x.*").filter(F.col("value").isNotNull())
+        .groupBy("Feature", "value").agg(F.count(F.lit(1)).alias("n"))
     )
+    ranged = _settled_in_order(counted, ["Feature", "value"]).withColumn("range", _range_of(F.col("_place")).cast("int"))
     sizes: dict[str, list[tuple[int, int]]] = {}
-    for r in counted.groupBy("Feature", "range").agg(F.sum("n").alias("n")).orderBy("Feature", "range").collect():
+    # One row per column and sort task.
+    for r in sorted(ranged.groupBy("Feature", "range").agg(F.sum("n").alias("n")).collect()):
         sizes.setdefault(r.Feature, []).append((r.range, r.n))
-    wanted = []
-    for feature, ranges in sizes.items():
-        total = sum(n for _, n in ranges)
-        for p in probs:
-            rank = p * (total - 1)
-            low, high = math.floor(rank), math.ceil(rank)
-            for end, position in (("low", low), ("high", high)):
-                left = position
-                for bucket, n in ranges:
-                    if left < n:
-                        wanted.append((feature, bucket, p, end, left, rank - low))
-                        break
-                    left -= n
+    wanted = [w for feature, ranges in sizes.items() for w in _places(feature, ranges, probs)]
     if not wanted:
         raise ValueError("no values to take quantiles of")
-    targets = literal(spark, wanted, TARGET)
+    targets = literal(df.sparkSession, wanted, TARGET)
+    needed = F.broadcast(targets.select("Feature", "range").distinct())
     running = Window.partitionBy("Feature", "range").orderBy("value")
-    needed = targets.select("Feature", "range").distinct()
     placed = (
-        counted.join(F.broadcast(needed), ["Feature", "range"], "left_semi")
-        .withColumn("upto", F.sum("n").over(running))
-        .withColumn("since", F.col("upto") - F.col("n"))
+        ranged.join(needed, ["Feature", "range"], "left_semi")
+        .withColumn("upto", F.sum("n").over(running)).withColumn("since", F.col("upto") - F.col("n"))
     )
     hits = placed.join(F.broadcast(targets), ["Feature", "range"]).filter(
         (F.col("position") >= F.col("since")) & (F.col("position") < F.col("upto"))
@@ -121,6 +94,20 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: tuple[float, ...]
     )
 
 
+def _places(feature: str, ranges: list[tuple[int, int]], probs: tuple[float, ...]) -> list[tuple]:
+    """For each probability, the range and position of the two values it lies between."""
+    found, total = [], sum(n for _, n in ranges)
+    for p in probs:
+        rank = p * (total - 1)
+        for end, left in (("low", math.floor(rank)), ("high", math.ceil(rank))):
+            for number, n in ranges:
+                if left < n:
+                    found.append((feature, number, p, end, left, rank - math.floor(rank)))
+                    break
+                left -= n
+    return found
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles, one row per column."""
     aggregates = []

@@ -208,16 +208,20 @@ def store_features(sales: DataFrame, products: DataFrame, pharmacies: DataFrame)
               "PharmacyID", "left")
         .fillna(MISSING_STORE)
     )
-    return with_ratios(described)
+    return with_ratios(described, sales.agg(F.max("Datetime").cast("date").alias("_last")))
 
 
-def with_ratios(features: DataFrame) -> DataFrame:
-    """Averages, shares and recency; a division by zero counts as 0."""
-    last_day = F.broadcast(features.agg(F.max("LastSaleDate").cast("date").alias("_last")))
+def with_ratios(features: DataFrame, last_day: DataFrame | None = None) -> DataFrame:
+    """Averages, shares and recency; a division by zero counts as 0.
+
+    ``last_day`` is one row, read from the sales' date column alone where there are sales.
+    """
+    if last_day is None:
+        last_day = features.agg(F.max("LastSaleDate").cast("date").alias("_last"))
     total = F.col("TotalSalesAmount")
     money = ("TotalSalesAmount", "BrandedSalesAmount", "GenericSalesAmount")
     return (
-        features.crossJoin(last_day)
+        features.crossJoin(F.broadcast(last_day))
         .withColumns(
             {
                 "AvgTransactionAmount": N.ratio_or_zero(total, F.col("NumberOfTransactions")),

@@ -14,6 +14,7 @@ def local_session(cores: int | str = 8, app: str = "salesmart") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.files.openCostInBytes", str(1 << 20))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .getOrCreate()

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from salesmart.contracts import CONTRACTS, conform
 from salesmart.sources.generators import literal
+from salesmart.workspace import settle
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -74,10 +75,27 @@ def clear(spark: SparkSession, path: str) -> DataFrame:
     return replace(literal(spark, [], schema), path)
 
 
-def delete_where(spark: SparkSession, path: str, condition: Column) -> DataFrame:
-    """Rows for which the condition is true go; false and unknown stay."""
+def delete_where(spark: SparkSession, path: str, condition: Column, partition: str | None = None) -> DataFrame:
+    """Rows for which the condition is true go; false and unknown stay.
+
+    Of a partitioned table only the partitions that hold such rows are rewritten.
+    """
     rows = scan(spark, path)
-    return replace(rows.filter(~F.coalesce(condition, F.lit(False))), path)
+    gone = F.coalesce(condition, F.lit(False))
+    if partition is None:
+        return replace(rows.filter(~gone), path)
+    key = F.col(partition)
+    touched = [r[0] for r in rows.filter(gone).select(partition).distinct().collect()]
+    if touched:
+        kept = settle(rows.filter(key.isin(*touched) & ~gone), "kept")
+        left = {r[0] for r in kept.select(partition).distinct().collect()}
+        if left:
+            kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        for value in set(touched) - left:
+            fs, where = _files(spark, f"{path}/{partition}={value}")
+            fs.delete(where, True)
+        spark.catalog.refreshByPath(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def mapped(df: DataFrame, mapping: dict[str, str], table: str | None = None) -> DataFrame:
