@@ -16,6 +16,9 @@ from salesmart.functions.labels import UNKNOWN_KEY
 from salesmart.functions.text import match_key
 from salesmart.operators.grouping import single_value
 
+LOWEST = -(2**63)
+SPREAD = 4096
+
 
 def unique_map(df: DataFrame, key: str, value: str, fold: bool = False) -> DataFrame:
     """Key to value, for keys that have exactly one value; rows with a null are left out."""
@@ -29,9 +32,14 @@ def unique_map(df: DataFrame, key: str, value: str, fold: bool = False) -> DataF
 
 
 def surrogate(df: DataFrame, code: str, dim: DataFrame, natural: str, key: str, out: str) -> DataFrame:
-    """Surrogate key of a natural code; no code or no match gives the unknown member."""
+    """Surrogate key of a natural code; no code or no match gives the unknown member.
+
+    Rows without a code may be many.  They get probes that no code has and that
+    spread them over all tasks, instead of meeting on one value.
+    """
     side = dim.select(F.col(natural).alias("_natural"), F.col(key).alias("_key"))
-    probe = F.coalesce(F.col(code), F.lit(UNKNOWN_KEY))
+    nowhere = F.lit(LOWEST) + F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))
+    probe = F.when(F.col(code).isNull(), nowhere).otherwise(F.col(code))
     return (
         df.withColumn("_probe", probe)
         .join(side, F.col("_probe") == F.col("_natural"), "left")

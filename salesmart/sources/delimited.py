@@ -38,10 +38,15 @@ def _options(encoding: str, quoted: bool, header: bool) -> dict[str, str]:
 
 
 def read_headered(
-    spark: SparkSession, path: str, width: int | None = None, encoding: str = UTF8, quoted: bool = False
+    spark: SparkSession, path: str, width: int | None = None, encoding: str = UTF8, quoted: bool = False,
+    line_breaks: bool = False,
 ) -> DataFrame:
-    """File with a header line; columns are found by name, those past ``width`` are dropped."""
-    raw = spark.read.options(**_options(encoding, quoted, header=True)).csv(path)
+    """File with a header line; columns are found by name, those past ``width`` are dropped.
+
+    ``line_breaks`` lets quoted fields span lines, at the price of one task per file.
+    """
+    options = _options(encoding, quoted, header=True)
+    raw = spark.read.options(**options, multiLine=str(line_breaks).lower()).csv(path)
     kept = raw.select(*(F.col(f"`{c}`") for c in raw.columns[:width]))
     named = kept.toDF(*(c.encode("latin-1").decode("cp1252") for c in kept.columns)) if encoding == CP1252 else kept
     return _decoded(named, encoding)

@@ -135,3 +135,20 @@ def test_delete_rewrites_only_touched_partitions(spark):
     assert T.delete_where(spark, path, F.col("m") == 2, "m").count() == 74
     assert {r.m for r in T.scan(spark, path).select("m").distinct().collect()} == {0, 1, 3}
     assert files() == before
+
+
+def test_byte_order_mark_and_quoted_line_breaks(spark, tmp_path):
+    marked = tmp_path / "marked.csv"
+    marked.write_bytes("\ufeffn,m\nJoão,1\n".encode())
+    assert C.detect_encoding(spark, str(marked)) == C.UTF8
+    assert [tuple(r) for r in C.read_any_encoding(spark, str(marked)).select("n", "m").collect()] == [("João", "1")]
+    broken = tmp_path / "broken.csv"
+    broken.write_text('a,b\n"x\ny",1\n')
+    rows = C.read_headered(spark, str(broken), quoted=True, line_breaks=True).collect()
+    assert [tuple(r) for r in rows] == [("x\ny", "1")]
+
+
+def test_undefined_bytes_mean_latin1(spark, tmp_path):
+    path = tmp_path / "latin.csv"
+    path.write_bytes(b"n\nJo\xe3o \x81\n")
+    assert C.detect_encoding(spark, str(path)) == C.LATIN1

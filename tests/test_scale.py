@@ -111,3 +111,20 @@ def test_prior_period_reads_the_facts_once(spark, sf):
     plan = load()[0]["l04_sales_and_prior_by_month"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     amounts = [line for line in plan.splitlines() if "FileScan" in line and "l_extendedprice" in line]
     assert len(amounts) == 1
+
+
+def test_rows_without_a_code_are_spread(spark):
+    """Half the sales have no product code; every one gets the unknown member and none meet in one task."""
+    sales = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, F.col("id") % 50).alias("code"))
+    dim = spark.range(40).select(F.col("id").alias("CNP"), (F.col("id") + 1).alias("SK"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        keyed = J.surrogate(sales, "code", dim, "CNP", "SK", "FK")
+        got = keyed.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert all(r.FK == (-1 if r.code is None or r.code >= 40 else r.code + 1) for r in got)
+    uncoded = [r.task for r in got if r.code is None]
+    assert max(uncoded.count(t) for t in set(uncoded)) < len(uncoded) / 4
