@@ -15,6 +15,11 @@ def _exact(c: Column) -> Column:
     return c.try_cast("decimal(38,10)")
 
 
+def _plain_digits(c: Column) -> Column:
+    """The short way for text that is just a whole number."""
+    return c.cast("string").try_cast("bigint").cast("string")
+
+
 def _en_us(c: Column) -> Column:
     """Comma as thousands mark."""
     return F.replace(clean_text(c), F.lit(","), F.lit(""))
@@ -39,7 +44,8 @@ def product_code_text(c: Column) -> Column:
     text = F.regexp_replace(clean_text(c), r"\.0$", "")
     number = _exact(text)
     whole = number == F.floor(number)
-    return F.when(whole, number.try_cast("decimal(38,0)").cast("string")).otherwise(text)
+    slow = F.when(whole, number.try_cast("decimal(38,0)").cast("string")).otherwise(text)
+    return F.coalesce(_plain_digits(c), slow)
 
 
 def comma_decimal(c: Column) -> Column:
@@ -51,7 +57,8 @@ def comma_decimal(c: Column) -> Column:
 def id_text(c: Column) -> Column:
     """Whole-number id as text; anything fractional or unreadable is null."""
     number = _exact(clean_text(c))
-    return F.when(number == F.floor(number), number.try_cast("decimal(38,0)").cast("string"))
+    whole = number == F.floor(number)
+    return F.coalesce(_plain_digits(c), F.when(whole, number.try_cast("decimal(38,0)").cast("string")))
 
 
 def half_up(c: Column, digits: int = 4) -> Column:

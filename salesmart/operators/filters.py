@@ -39,6 +39,11 @@ def filter_computed(df: DataFrame, condition: Callable[[Callable[[str], Column]]
     return rows.select(F.inline(kept))
 
 
+def computed(df: DataFrame) -> DataFrame:
+    """Columns evaluated once per row, however often they are used afterwards."""
+    return df.select(F.struct(*df.columns).alias("_row")).select(F.inline(F.array("_row")))
+
+
 def complete_computed(df: DataFrame, columns: tuple[str, ...] = FACT_REQUIRED) -> DataFrame:
     return filter_computed(df, lambda c: reduce(and_, (c(name).isNotNull() for name in columns)))
 

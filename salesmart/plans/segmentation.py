@@ -17,7 +17,7 @@ from salesmart.functions import dates as D
 from salesmart.functions import labels as L
 from salesmart.functions import numbers as N
 from salesmart.functions import text as X
-from salesmart.operators.filters import analytical_valid, filter_computed
+from salesmart.operators.filters import analytical_valid, computed, filter_computed
 from salesmart.operators.grouping import first_row, long_form
 from salesmart.operators.ordering import z_scores
 from salesmart.sources.generators import literal
@@ -127,7 +127,7 @@ def valid_sales(sales: DataFrame) -> DataFrame:
 def quality_summary(sales: DataFrame) -> DataFrame:
     """Rows before and after the filter; sales shrink to one row per store and product first."""
     ok = F.col("ok")
-    counted = sales.groupBy("PharmacyID", "CNP", analytical_valid().alias("ok")).agg(F.count(F.lit(1)).alias("n"))
+    counted = computed(sales).groupBy("PharmacyID", "CNP", analytical_valid().alias("ok")).agg(F.count(F.lit(1)).alias("n"))
 
     def rows(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
@@ -182,7 +182,8 @@ def store_features(sales: DataFrame, products: DataFrame, pharmacies: DataFrame)
     two columns.  Both groupings spread a busy pharmacy over all tasks.
     """
     amount = F.col("Amount").cast("decimal(18,2)")
-    monthly = sales.groupBy("PharmacyID", "CNP", D.year_month(F.col("Datetime")).alias("month")).agg(
+    month = F.year("Datetime") * 100 + F.month("Datetime")
+    monthly = sales.groupBy("PharmacyID", "CNP", month.alias("month")).agg(
         F.sum(amount).alias("amount"), F.sum(F.col("Qty").cast("decimal(18,2)")).alias("qty"),
         F.min("Datetime").alias("first"), F.max("Datetime").alias("last"),
     )
