@@ -28,10 +28,10 @@ def _features(spark, sf):
 
 
 @query("m01_feature_matrix", R.sql(
-    "SELECT PharmacyID, " + ", ".join(f"round(CAST({c} AS DOUBLE), 4) AS {c}" for c in P.FEATURES) + " FROM features", "features"))
+    "SELECT PharmacyID, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in P.FEATURES) + " FROM features", "features"))
 def feature_matrix(spark, sf):
     rows = P.feature_matrix(R.features(spark, sf))
-    return rows.select("PharmacyID", *(F.round(F.col(c).cast("double"), 4).alias(c) for c in P.FEATURES))
+    return rows.select("PharmacyID", *(F.col(c).cast("double").alias(c) for c in P.FEATURES))
 
 
 @query("m02_z_scores", R.sql(

@@ -136,13 +136,12 @@ def two_way_filter(spark, sf):
 
 
 @query("e11_scalar_beside_rows", """
-SELECT o_orderstatus AS Status, count(*) AS n, count(*) * 1.0 / (SELECT count(*) FROM orders) AS Share FROM orders GROUP BY 1""".replace(
-    "count(*) * 1.0 / (SELECT count(*) FROM orders)", "round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM orders), 6)"))
+SELECT o_orderstatus AS Status, count(*) AS n, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM orders) AS Share FROM orders GROUP BY 1""")
 def scalar_beside_rows(spark, sf):
     orders = R.table(spark, sf, "orders")
     whole = orders.agg(F.count(F.lit(1)).alias("all"))
     counts = orders.groupBy(F.col("o_orderstatus").alias("Status")).agg(F.count(F.lit(1)).alias("n"))
-    return J.beside(counts, whole).select("Status", "n", F.round(F.col("n") / F.col("all"), 6).alias("Share"))
+    return J.beside(counts, whole).select("Status", "n", (F.col("n") / F.col("all")).alias("Share"))
 
 
 @query("e12_self_join_year_shift", R.sql("""

@@ -36,17 +36,13 @@ _PA = "CAST(sum(pa) AS DOUBLE) AS SalesPriorPeriod"
 _PQ = "CAST(sum(pq) AS BIGINT) AS QuantityPriorPeriod"
 _GA = "CASE WHEN sum(a) IS NOT NULL OR sum(pa) IS NOT NULL THEN CAST(coalesce(sum(a), 0) - coalesce(sum(pa), 0) AS DOUBLE) END AS SalesGrowthAbsolute"
 _GQ = "CASE WHEN sum(q) IS NOT NULL OR sum(pq) IS NOT NULL THEN CAST(coalesce(sum(q), 0) - coalesce(sum(pq), 0) AS BIGINT) END AS QuantityGrowthAbsolute"
-_SHARE_A = "round(CAST(sum(Amount) AS DOUBLE) / (SELECT CAST(wa AS DOUBLE) FROM whole), 6) AS SalesAmountShare"
-_SHARE_Q = "round(CAST(sum(Qty) AS DOUBLE) / (SELECT CAST(wq AS DOUBLE) FROM whole), 6) AS QuantityShare"
+_SHARE_A = "CAST(sum(Amount) AS DOUBLE) / (SELECT CAST(wa AS DOUBLE) FROM whole) AS SalesAmountShare"
+_SHARE_Q = "CAST(sum(Qty) AS DOUBLE) / (SELECT CAST(wq AS DOUBLE) FROM whole) AS QuantityShare"
 _MONTH = '"Year", "Month", MonthName'
 BY_PHARMACY = (("DimPharmacy", "PharmacyName"),)
 _PHARMACY_JOIN = "JOIN dpharmacy ON FK_Pharmacy = SK_Pharmacy"
 
 
-def _shares(df):
-    return df.withColumns({c: F.round(c, 6) for c in ("SalesAmountShare", "QuantityShare") if c in df.columns})
-
-
 @query("k01_total_sales_amount", R.sql(f"SELECT PharmacyName, {_A} FROM now {_PHARMACY_JOIN} GROUP BY 1", "now", "dpharmacy"))
 def total_sales_amount(spark, sf):
     return M.sales(R.mart(spark, sf, "DimPharmacy"), R.REPORT, BY_PHARMACY).drop(M.QTY)
@@ -84,14 +80,14 @@ def quantity_growth(spark, sf):
 def sales_share(spark, sf):
     mart = R.mart(spark, sf, "DimPharmacy")
     rows = M.with_shares(M.sales(mart, R.REPORT, BY_PHARMACY), M.denominator(mart, R.REPORT))
-    return _shares(rows.select("PharmacyName", "SalesAmountShare"))
+    return rows.select("PharmacyName", "SalesAmountShare")
 
 
 @query("k08_quantity_share", R.sql(f'SELECT "Year", {_SHARE_Q} FROM now GROUP BY 1', "now", "whole"))
 def quantity_share(spark, sf):
     mart = R.mart(spark, sf)
     rows = M.with_shares(M.sales(mart, R.REPORT, (("DimDate", "Year"),)), M.denominator(mart, R.REPORT))
-    return _shares(rows.select("Year", "QuantityShare"))
+    return rows.select("Year", "QuantityShare")
 
 
 @query("k09_pharmacy_count", "SELECT count(DISTINCT s_suppkey) AS PharmacyCount FROM supplier")
@@ -106,10 +102,10 @@ def date_title(spark, sf):
 
 
 @query("k11_year_over_year", R.sql("""
-SELECT "Year", round(CAST(coalesce(sum(a), 0) - coalesce(sum(pa), 0) AS DOUBLE) / CAST(sum(pa) AS DOUBLE), 6) AS SalesYoYPct FROM "both" GROUP BY 1""", "both"))
+SELECT "Year", CAST(coalesce(sum(a), 0) - coalesce(sum(pa), 0) AS DOUBLE) / CAST(sum(pa) AS DOUBLE) AS SalesYoYPct FROM "both" GROUP BY 1""", "both"))
 def year_over_year(spark, sf):
     rows = M.with_year_over_year(M.sales_with_prior(R.mart(spark, sf), R.REPORT, (("DimDate", "Year"),)))
-    return rows.select("Year", F.round("SalesYoYPct", 6).alias("SalesYoYPct"))
+    return rows.select("Year", "SalesYoYPct")
 
 
 # ---- report queries ----------------------------------------------------------------------
@@ -117,13 +113,13 @@ def year_over_year(spark, sf):
 
 @query("l01_kpi_cards", R.sql(f"SELECT {_A}, {_Q}, {_SHARE_A}, {_SHARE_Q} FROM now", "now", "whole"))
 def kpi_cards(spark, sf):
-    return _shares(V.kpi_cards(R.mart(spark, sf), R.REPORT))
+    return V.kpi_cards(R.mart(spark, sf), R.REPORT)
 
 
 @query("l01_kpi_cards_of_district", R.sql(f"""
 SELECT {_A}, {_Q}, {_SHARE_A}, {_SHARE_Q} FROM now JOIN dlocation ON FK_Location = SK_Location WHERE District = 'ASIA'""", "now", "whole", "dlocation"))
 def kpi_cards_of_district(spark, sf):
-    return _shares(V.kpi_cards(R.mart(spark, sf, "DimLocation"), R.REPORT.selecting("DimLocation", "District", "ASIA")))
+    return V.kpi_cards(R.mart(spark, sf, "DimLocation"), R.REPORT.selecting("DimLocation", "District", "ASIA"))
 
 
 @query("l02_growth_card", R.sql(f'SELECT {_GA}, {_GQ} FROM "both"', "both"))
@@ -143,12 +139,11 @@ def sales_and_prior_by_month(spark, sf):
 
 @query("l05_yearly_kpi", R.sql(f"""
 SELECT * FROM (SELECT "Year", {_CA}, {_PA},
-  round(CAST(coalesce(sum(a), 0) - coalesce(sum(pa), 0) AS DOUBLE) / CAST(sum(pa) AS DOUBLE), 6) AS SalesYoYPct FROM "both" GROUP BY 1)
+  CAST(coalesce(sum(a), 0) - coalesce(sum(pa), 0) AS DOUBLE) / CAST(sum(pa) AS DOUBLE) AS SalesYoYPct FROM "both" GROUP BY 1)
 ORDER BY "Year" DESC LIMIT 1""", "both"))
 def yearly_kpi(spark, sf):
     """The indicator shows the latest year of the trend."""
-    row = V.latest_year(V.yearly_kpi(R.mart(spark, sf), R.REPORT))
-    return row.withColumn("SalesYoYPct", F.round("SalesYoYPct", 6))
+    return V.latest_year(V.yearly_kpi(R.mart(spark, sf), R.REPORT))
 
 
 @query("l06_by_generic_label", R.sql(f"""
@@ -158,11 +153,10 @@ def by_generic_label(spark, sf):
 
 
 @query("l07_generic_share", R.sql(f"""
-SELECT GenericLabel, {_A}, round(CAST(sum(Amount) AS DOUBLE) / CAST(sum(sum(Amount)) OVER () AS DOUBLE), 6) AS ShareOfTotal
+SELECT GenericLabel, {_A}, CAST(sum(Amount) AS DOUBLE) / CAST(sum(sum(Amount)) OVER () AS DOUBLE) AS ShareOfTotal
 FROM now JOIN dproduct ON FK_Product = SK_Product WHERE GenericLabel <> 'Unknown' GROUP BY 1""", "now", "dproduct"))
 def generic_share(spark, sf):
-    rows = V.generic_share(R.mart(spark, sf, "DimProduct"), R.REPORT)
-    return rows.withColumn("ShareOfTotal", F.round("ShareOfTotal", 6))
+    return V.generic_share(R.mart(spark, sf, "DimProduct"), R.REPORT)
 
 
 @query("l08_product_drill", R.sql("""

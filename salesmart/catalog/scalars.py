@@ -259,14 +259,15 @@ def priority_fill(spark, sf):
 
 
 @query("j36_safe_divide", """
-SELECT l_suppkey AS FK_Pharmacy, round(sum(l_tax) / nullif(sum(CASE WHEN l_discount = 0 AND l_linenumber = 7 AND l_returnflag = 'R' THEN l_quantity ELSE 0 END), 0), 6) AS r
+SELECT l_suppkey AS FK_Pharmacy, CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE)
+  / nullif(sum(CASE WHEN l_discount = 0 AND l_linenumber = 7 AND l_returnflag = 'R' THEN l_quantity ELSE 0 END), 0) AS r
 FROM lineitem GROUP BY 1""")
 def safe_divide(spark, sf):
     rare = (F.col("l_discount") == 0) & (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R")
     sums = R.table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("FK_Pharmacy")).agg(
-        F.sum("l_tax").alias("a"), F.sum(F.when(rare, F.col("l_quantity")).otherwise(0.0)).alias("b")
+        F.sum(F.col("l_tax").cast("decimal(18,2)")).cast("double").alias("a"), F.sum(F.when(rare, F.col("l_quantity")).otherwise(0.0)).alias("b")
     )
-    return sums.select("FK_Pharmacy", F.round(N.safe_divide(F.col("a"), F.col("b")), 6).alias("r"))
+    return sums.select("FK_Pharmacy", N.safe_divide(F.col("a"), F.col("b")).alias("r"))
 
 
 @query("j37_date_title", """

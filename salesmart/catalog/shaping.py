@@ -85,13 +85,14 @@ def fill_labels(spark, sf):
 
 
 @query("c10_division_to_zero", """
-SELECT o_custkey AS Customer, coalesce(round(sum(o_totalprice) / nullif(count(CASE WHEN o_orderstatus = 'F' THEN 1 END), 0), 4), 0) AS PerFinished
+SELECT o_custkey AS Customer, coalesce(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)
+  / nullif(count(CASE WHEN o_orderstatus = 'F' THEN 1 END), 0), 0) AS PerFinished
 FROM orders GROUP BY 1""")
 def division_to_zero(spark, sf):
     sums = R.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("Customer")).agg(
-        F.sum("o_totalprice").alias("t"), F.count_if(F.col("o_orderstatus") == "F").alias("n")
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("t"), F.count_if(F.col("o_orderstatus") == "F").alias("n")
     )
-    return sums.select("Customer", F.round(N.ratio_or_zero(F.col("t"), F.col("n")), 4).alias("PerFinished"))
+    return sums.select("Customer", N.ratio_or_zero(F.col("t"), F.col("n")).alias("PerFinished"))
 
 
 @query("c11_leading_columns", "SELECT c_custkey AS Code, c_name AS Name, c_nationkey AS Place FROM customer")

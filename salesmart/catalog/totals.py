@@ -75,13 +75,10 @@ def conditional_sums(spark, sf):
 
 
 @query("f07_ratio_metrics", R.sql("""
-SELECT PharmacyID, round(AvgTransactionAmount, 4) AS AvgTransactionAmount, round(MonthlySalesIntensity, 4) AS MonthlySalesIntensity,
-  round(BrandedSalesShare, 6) AS BrandedSalesShare, round(GenericSalesShare, 6) AS GenericSalesShare FROM features""", "features"))
+SELECT PharmacyID, AvgTransactionAmount, MonthlySalesIntensity, BrandedSalesShare, GenericSalesShare FROM features""", "features"))
 def ratio_metrics(spark, sf):
-    rows = R.features(spark, sf)
-    return rows.select(
-        "PharmacyID", *(F.round(c, 4).alias(c) for c in ("AvgTransactionAmount", "MonthlySalesIntensity")),
-        *(F.round(c, 6).alias(c) for c in ("BrandedSalesShare", "GenericSalesShare")),
+    return R.features(spark, sf).select(
+        "PharmacyID", "AvgTransactionAmount", "MonthlySalesIntensity", "BrandedSalesShare", "GenericSalesShare"
     )
 
 
