@@ -6,15 +6,17 @@ from pyspark.sql import functions as F
 
 from salesmart.catalog import roles as R
 from salesmart.catalog.registry import query
-from salesmart.contracts import CONTRACTS, DIMENSIONS, conform
+from salesmart.contracts import DIMENSIONS, conform
 from salesmart.operators import grouping as A
 from salesmart.operators import lookups as J
 from salesmart.operators import quality as Q
+from salesmart.operators.scalar import beside
 from salesmart.plans import dimensions as B
 from salesmart.plans import facts as S
 from salesmart.plans import incremental as I
 from salesmart.plans import jobs as W
 from salesmart.plans import segmentation as P
+from salesmart.plans.measures import LINKS
 from salesmart.sources import generators as G
 from salesmart.sources import tables as T
 from salesmart.streaming.arrivals import load_arrivals
@@ -207,8 +209,6 @@ def orphan_report(spark, sf):
         "DimDate": "NOT IsWeekend", "DimTime": "DayPeriod <> 'Night'", "DimProduct": "Brand <> 'Brand#7'",
         "DimLocation": "District <> 'ASIA'", "DimOperator": "Role <> 'BUILDING'",
     }
-    from salesmart.plans.measures import LINKS
-
     links = {LINKS[n][0]: (df.filter(gaps.get(n, "true")), LINKS[n][1]) for n, df in dims.items()}
     return J.orphan_report(R.facts(spark, sf, place=True, operator=True), links)
 
@@ -307,7 +307,7 @@ SELECT 'Load_FactSales' AS ProcessName, TIMESTAMP '1900-01-01' AS LastSourceSale
   count(*) AS RowsAbove FROM orders WHERE o_orderkey > 0""")
 def first_mark(spark, sf):
     mark = G.first_watermark(spark, I.PROCESS).select("ProcessName", "LastSourceSaleDateTime", "LastSaleID")
-    orders = J.beside(R.table(spark, sf, "orders").select("o_orderkey"), mark)
+    orders = beside(R.table(spark, sf, "orders").select("o_orderkey"), mark)
     return orders.filter(F.col("o_orderkey") > F.col("LastSaleID")).groupBy(*mark.columns).agg(F.count(F.lit(1)).alias("RowsAbove"))
 
 

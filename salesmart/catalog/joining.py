@@ -13,6 +13,7 @@ from salesmart.operators import grouping as A
 from salesmart.operators import lookups as J
 from salesmart.operators import ordering as O
 from salesmart.operators import quality as Q
+from salesmart.operators.scalar import beside
 from salesmart.plans import dimensions as B
 from salesmart.plans import incremental as I
 from salesmart.plans import measures as M
@@ -130,9 +131,7 @@ FROM fact WHERE FK_Pharmacy IN (SELECT PharmacyID FROM segments WHERE SegmentLab
 def two_way_filter(spark, sf):
     mart = R.mart(spark, sf, "DimPharmacy", "PharmacySegmentation")
     ctx = M.FilterContext().selecting("PharmacySegmentation", "SegmentLabel", "High-value pharmacies")
-    return M.sales(mart, ctx).crossJoin(
-        F.broadcast(M.pharmacy_count(mart, ctx).select(F.col("PharmacyCount").alias("Pharmacies")))
-    )
+    return beside(M.sales(mart, ctx), M.pharmacy_count(mart, ctx).select(F.col("PharmacyCount").alias("Pharmacies")))
 
 
 @query("e11_scalar_beside_rows", """
@@ -141,7 +140,7 @@ def scalar_beside_rows(spark, sf):
     orders = R.table(spark, sf, "orders")
     whole = orders.agg(F.count(F.lit(1)).alias("all"))
     counts = orders.groupBy(F.col("o_orderstatus").alias("Status")).agg(F.count(F.lit(1)).alias("n"))
-    return J.beside(counts, whole).select("Status", "n", (F.col("n") / F.col("all")).alias("Share"))
+    return beside(counts, whole).select("Status", "n", (F.col("n") / F.col("all")).alias("Share"))
 
 
 @query("e12_self_join_year_shift", R.sql("""

@@ -24,7 +24,7 @@ SELECT sum(Amount) AS wa, sum(Qty) AS wq FROM fact JOIN ddate ON FK_Date = SK_Da
 WHERE ddate.FullDate BETWEEN (SELECT min(FullDate) FROM ddate WHERE FullDate >= DATE '1996-01-01' AND FullDate < DATE '2001-07-01')
   AND (SELECT max(FullDate) FROM ddate WHERE FullDate >= DATE '1996-01-01' AND FullDate < DATE '2001-07-01')
 """
-R._NEEDS.update(
+R.NEEDS.update(
     {"visible": ("ddate",), "now": ("fact", "visible"), "both": ("fact", "visible"), "quarter_visible": ("ddate",),
      "quarter_both": ("fact", "quarter_visible"), "whole": ("fact", "ddate")}
 )

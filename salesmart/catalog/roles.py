@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 from salesmart.contracts import conform
 from salesmart.functions import dates as D
 from salesmart.functions import labels as L
+from salesmart.operators.scalar import beside
 from salesmart.plans import dimensions as B
+from salesmart.plans import segmentation as P
 from salesmart.plans.measures import FilterContext, Mart
 from salesmart.sources import generators as G
 from salesmart.workspace import settle
@@ -381,9 +383,7 @@ def stores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
-    from salesmart.plans.segmentation import store_features
-
-    return store_features(valid_sales(spark, sf), dim_product(spark, sf), stores(spark, sf))
+    return P.store_features(valid_sales(spark, sf), dim_product(spark, sf), stores(spark, sf))
 
 
 # Clusters by a plain rule on sales, so that SQL can state what the model would only learn.
@@ -418,7 +418,7 @@ FROM (SELECT *, row_number() OVER (ORDER BY CommercialScore DESC, ClusterID) AS
 CTE["segments"] = """
 SELECT c.*, SegmentRank, SegmentLabel, SegmentDescription FROM clustered c LEFT JOIN ranked r ON c.ClusterID = r.ClusterID
 """
-_NEEDS = {
+NEEDS = {
     "built_fact": ("built_product",),
     "features": ("dproduct",),
     "clustered": ("features", "dpharmacy"),
@@ -432,16 +432,15 @@ _NEEDS = {
 def clustered(spark: SparkSession, sf: str) -> DataFrame:
     """Features with a cluster each; they are written once, as their mean is needed beside them."""
     rows = settle(features(spark, sf), "features")
-    mean = F.broadcast(rows.agg(F.avg("TotalSalesAmount").alias("_m")))
+    mean = rows.agg(F.avg("TotalSalesAmount").alias("_m"))
     total = F.col("TotalSalesAmount")
     group = F.when(total > 1.05 * F.col("_m"), 2).when(total < 0.95 * F.col("_m"), 0).otherwise(1)
-    return rows.crossJoin(mean).withColumn("ClusterID", group.cast("bigint")).drop("_m")
+    return beside(rows, mean).withColumn("ClusterID", group.cast("bigint")).drop("_m")
 
 
 def segments(spark: SparkSession, sf: str) -> DataFrame:
-    from salesmart.plans.segmentation import cluster_profile, labelled, ranked_profile, scored_profile
     rows = clustered(spark, sf)
-    return labelled(rows, ranked_profile(scored_profile(cluster_profile(rows))))
+    return P.labelled(rows, P.ranked_profile(P.scored_profile(P.cluster_profile(rows))))
 
 
 # ---- the star ----------------------------------------------------------------------------
@@ -467,7 +466,7 @@ def sql(body: str, *ctes: str) -> str:
     ordered: list[str] = []
 
     def need(name: str) -> None:
-        for other in _NEEDS.get(name, ()):
+        for other in NEEDS.get(name, ()):
             need(other)
         if name not in ordered:
             ordered.append(name)

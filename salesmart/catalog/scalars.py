@@ -11,6 +11,7 @@ from salesmart.functions import labels as L
 from salesmart.functions import numbers as N
 from salesmart.functions import text as X
 from salesmart.operators.grouping import single_value
+from salesmart.operators.scalar import beside
 from salesmart.plans import dimensions as B
 from salesmart.sources import generators as G
 
@@ -190,7 +191,7 @@ def holiday_flag(spark, sf):
 @query("j25_year_to_date", f"SELECT d, dayofyear(d) <= (SELECT dayofyear(max(l_shipdate)) FROM lineitem) AS YTDFlag FROM {_DAYS}")
 def year_to_date(spark, sf):
     last = R.bounds(spark, sf).select("last_day")
-    return _days(spark, sf).crossJoin(F.broadcast(last)).select("d", D.is_year_to_date(F.col("d"), F.col("last_day")).alias("YTDFlag"))
+    return beside(_days(spark, sf), last).select("d", D.is_year_to_date(F.col("d"), F.col("last_day")).alias("YTDFlag"))
 
 
 @query("j26_day_of_year", f"SELECT d, CAST(date_trunc('year', d) AS DATE) AS y0, CAST(dayofyear(d) AS INTEGER) AS n FROM {_DAYS}")

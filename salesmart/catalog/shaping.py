@@ -13,6 +13,7 @@ from salesmart.functions import numbers as N
 from salesmart.functions import text as X
 from salesmart.operators import filters as K
 from salesmart.operators import lookups as J
+from salesmart.operators.scalar import beside
 from salesmart.plans import facts as S
 from salesmart.plans import incremental as I
 from salesmart.plans import segmentation as P
@@ -173,7 +174,7 @@ def above_pair(spark, sf):
         F.max(F.struct(F.col("o_orderdate").alias("t"), (-F.col("o_orderkey")).alias("i"))).alias("m")
     ).select(F.col("m.t").alias("t"), (-F.col("m.i")).alias("i"))
     later = K.above_pair(F.col("o_orderdate"), F.col("o_orderkey"), F.col("t"), F.col("i"))
-    return J.beside(orders, mark).filter(later).select(F.col("o_orderkey").alias("SaleID"))
+    return beside(orders, mark).filter(later).select(F.col("o_orderkey").alias("SaleID"))
 
 
 @query("d07_exclude_label", R.sql("SELECT * FROM dproduct WHERE GenericLabel <> 'Unknown'", "dproduct"))

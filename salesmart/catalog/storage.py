@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from salesmart.catalog import roles as R
 from salesmart.catalog.registry import query
 from salesmart.contracts import CONTRACTS, conform, differences, guarded
-from salesmart.functions import dates as D
 from salesmart.plans import dimensions as B
 from salesmart.plans import incremental as I
 from salesmart.sources import delimited as C

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.operators.scalar import beside
+
 
 def single_value(c: Column, default: Column | None = None) -> Column:
     """The group's value when it has just one, a null counting as a value of its own."""
@@ -46,7 +48,7 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     wide = None
     for name, df in tables.items():
         one = df.agg(F.count(F.lit(1)).alias(f"{name}Rows"))
-        wide = one if wide is None else wide.crossJoin(F.broadcast(one))
+        wide = one if wide is None else beside(wide, one)
     return wide
 
 

@@ -1,8 +1,8 @@
 """Joins that look something up.
 
 Dimension sides carry no broadcast hint: their size follows the data, so Spark
-decides from the sizes it measures.  Only one-row and otherwise bounded frames
-are broadcast by hand.
+decides from the sizes it measures.  Only frames with a fixed bound are
+broadcast by hand.
 """
 
 from __future__ import annotations
@@ -92,11 +92,6 @@ def orphan_report(facts: DataFrame, links: dict[str, tuple[DataFrame, str]]) ->
     )
 
 
-def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Put the values of a one-row frame next to every row."""
-    return df.crossJoin(F.broadcast(one_row))
-
-
 def enrich(df: DataFrame, side: DataFrame, on: str, defaults: dict[str, object] | None = None) -> DataFrame:
     """Left join on one name, with a default per column for rows that found nothing."""
     joined = df.join(side, on, "left")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesmart.operators.scalar import beside
 from salesmart.sources.generators import literal
 from salesmart.workspace import settle
 
@@ -135,7 +136,7 @@ def z_scores(df: DataFrame, columns: list[str], suffix: str = "") -> DataFrame:
         *(F.avg(F.col(c).cast("double")).alias(f"_m{i}") for i, c in enumerate(columns)),
         *(F.stddev_pop(F.col(c).cast("double")).alias(f"_s{i}") for i, c in enumerate(columns)),
     )
-    scored = df.crossJoin(F.broadcast(moments)).withColumns(
+    scored = beside(df, moments).withColumns(
         {
             f"{c}{suffix}": F.coalesce(F.try_divide(F.col(c).cast("double") - F.col(f"_m{i}"), F.col(f"_s{i}")), F.lit(0.0))
             for i, c in enumerate(columns)

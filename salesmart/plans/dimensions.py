@@ -13,7 +13,7 @@ from salesmart.functions import labels as L
 from salesmart.functions import numbers as N
 from salesmart.functions import text as X
 from salesmart.operators.filters import complete_computed, keyed_and_named
-from salesmart.operators.grouping import first_known, first_row, single_value
+from salesmart.operators.grouping import first_known, first_row, long_form, single_value
 from salesmart.operators.lookups import unique_map
 from salesmart.operators.ordering import sequential_key
 from salesmart.sources import generators as G
@@ -125,8 +125,6 @@ def correction_summary(locations: DataFrame) -> DataFrame:
         F.count_if(source == "original_locations").alias("Locations using original district"),
         F.count_if(F.col("District") == L.UNKNOWN).alias("Locations still unknown"),
     )
-    from salesmart.operators.grouping import long_form
-
     return long_form(one, {c: c for c in one.columns}, "Metric", "Value")
 
 

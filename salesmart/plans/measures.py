@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.dates import a_year_later, date_title, key_date
 from salesmart.functions.numbers import growth, safe_divide
+from salesmart.operators.scalar import beside
 from salesmart.plans.facts import MONTH
 
 AMOUNT, QTY = "TotalSalesAmount", "TotalQuantity"
@@ -256,8 +257,7 @@ def slicer_range(mart: Mart, ctx: FilterContext) -> DataFrame:
 
 def denominator(mart: Mart, ctx: FilterContext) -> DataFrame:
     """All sales between the slicer's first and last date, every other filter removed."""
-    span = F.broadcast(slicer_range(mart, ctx))
-    days = mart["DimDate"].crossJoin(span).filter(F.col("FullDate").between(F.col("lo"), F.col("hi")))
+    days = beside(mart["DimDate"], slicer_range(mart, ctx)).filter(F.col("FullDate").between(F.col("lo"), F.col("hi")))
     bounds = FilterContext(slicer=ctx.slicer).span()
     facts = pruned(mart.facts, *bounds).join(
         F.broadcast(days.select("SK_Date")), F.col("FK_Date") == F.col("SK_Date"), "left_semi"
@@ -266,7 +266,7 @@ def denominator(mart: Mart, ctx: FilterContext) -> DataFrame:
 
 
 def with_shares(df: DataFrame, whole: DataFrame) -> DataFrame:
-    return df.crossJoin(F.broadcast(whole)).withColumns(
+    return beside(df, whole).withColumns(
         {
             "SalesAmountShare": safe_divide(F.col(AMOUNT).cast("double"), F.col("AllAmount").cast("double")),
             "QuantityShare": safe_divide(F.col(QTY).cast("double"), F.col("AllQuantity").cast("double")),
@@ -280,7 +280,7 @@ def share_card(mart: Mart, ctx: FilterContext) -> DataFrame:
         return with_shares(sales(mart, ctx), denominator(mart, ctx))
     in_slicer = F.col("FullDate").between(F.col("lo"), F.col("hi"))
     days = (
-        mart["DimDate"].crossJoin(F.broadcast(slicer_range(mart, ctx)))
+        beside(mart["DimDate"], slicer_range(mart, ctx))
         .withColumns({"_in": F.coalesce(ctx.dates(), F.lit(False)), "_all": in_slicer})
         .filter(F.col("_in") | F.col("_all"))
         .select("SK_Date", "_in", "_all")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from salesmart.functions.numbers import safe_divide
 from salesmart.operators.grouping import drill
 from salesmart.operators.ordering import top_children
+from salesmart.operators.scalar import beside
 from salesmart.plans import measures as M
 
 # The report-wide filter, the slicer and the saved views.
@@ -64,7 +65,7 @@ def generic_share(mart: M.Mart, ctx: M.FilterContext) -> DataFrame:
     rows = by_generic_label(mart, ctx).select("GenericLabel", M.AMOUNT)
     whole = rows.agg(F.sum(M.AMOUNT).alias("AllAmount"))
     share = safe_divide(F.col(M.AMOUNT).cast("double"), F.col("AllAmount").cast("double"))
-    return rows.crossJoin(F.broadcast(whole)).withColumn("ShareOfTotal", share).drop("AllAmount")
+    return beside(rows, whole).withColumn("ShareOfTotal", share).drop("AllAmount")
 
 
 PRODUCT_LEVELS = ["Manufacturer", "Brand", "ProductName"]
@@ -108,7 +109,7 @@ def district_tooltip(mart: M.Mart, ctx: M.FilterContext, district: str) -> DataF
     hovered = ctx.selecting("DimLocation", "District", district)
     rows = M.sales(mart, hovered, (("DimProduct", "GenericLabel"),)).select("GenericLabel", M.AMOUNT)
     title = mart["DimLocation"].filter(hovered.on("DimLocation")).agg(F.min("District").alias("Title"))
-    return rows.crossJoin(F.broadcast(title))
+    return beside(rows, title)
 
 
 def pharmacy_card(mart: M.Mart, ctx: M.FilterContext) -> DataFrame:
@@ -163,4 +164,4 @@ def district_view(mart: M.Mart, ctx: M.FilterContext, selection: tuple[str, str,
 def segment_view(mart: M.Mart, ctx: M.FilterContext, selection: tuple[str, str, str] = SEGMENT_VIEW) -> DataFrame:
     """Saved view on one segment: its pharmacies with their facts and the segment's mean share."""
     chosen = ctx.selecting(*selection)
-    return segment_table(mart, chosen).crossJoin(F.broadcast(branded_share_card(mart, chosen)))
+    return beside(segment_table(mart, chosen), branded_share_card(mart, chosen))

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from salesmart.contracts import conform
 from salesmart.functions import dates as D
 from salesmart.functions import labels as L
 from salesmart.functions import numbers as N
@@ -20,6 +19,7 @@ from salesmart.functions import text as X
 from salesmart.operators.filters import analytical_valid, computed, filter_computed
 from salesmart.operators.grouping import first_row, long_form
 from salesmart.operators.ordering import z_scores
+from salesmart.operators.scalar import beside
 from salesmart.sources.generators import literal
 from salesmart.sources.tables import mapped, with_defaults
 from salesmart.workspace import settle
@@ -222,7 +222,7 @@ def with_ratios(features: DataFrame, last_day: DataFrame | None = None) -> DataF
     total = F.col("TotalSalesAmount")
     money = ("TotalSalesAmount", "BrandedSalesAmount", "GenericSalesAmount")
     return (
-        features.crossJoin(F.broadcast(last_day))
+        beside(features, last_day)
         .withColumns(
             {
                 "AvgTransactionAmount": N.ratio_or_zero(total, F.col("NumberOfTransactions")),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.contracts import CONTRACTS, conform
+from salesmart.operators.scalar import beside
 from salesmart.sources.generators import literal
 from salesmart.workspace import settle
 
@@ -107,7 +108,7 @@ def mapped(df: DataFrame, mapping: dict[str, str], table: str | None = None) ->
 def update_control(control: DataFrame, process: str, values: DataFrame) -> DataFrame:
     """Rebuild the small control table with one process's row changed from a one-row frame."""
     names = values.columns
-    joined = control.crossJoin(F.broadcast(values.select(*(F.col(n).alias(f"new_{n}") for n in names))))
+    joined = beside(control, values.select(*(F.col(n).alias(f"new_{n}") for n in names)))
     mine = F.col("ProcessName") == F.lit(process)
     return joined.select(
         *(F.when(mine, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) if c in names else F.col(c)
