@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from salesmart.functions.text import clean_text, zero_padded
 
 
-def _piece(c: Column, delimiter: str, n: int) -> Column:
-    return F.split_part(c, F.lit(delimiter), F.lit(n))
+def _pieces(c: Column, delimiter: str) -> Column:
+    return F.split(c, delimiter)
 
 
 def _whole(c: Column) -> Column:
@@ -21,33 +21,32 @@ def parse_sale_stamp(c: Column) -> Column:
 
     Seconds are dropped, no time means midnight, and bad input gives null.
     """
-    text = clean_text(c)
-    date = _piece(text, " ", 1)
-    time = F.when(F.contains(text, F.lit(" ")), _piece(text, " ", 2)).otherwise("0:0")
+    words = _pieces(clean_text(c), " ")
+    date = _pieces(F.get(words, F.lit(0)), "/")
+    time = _pieces(F.coalesce(F.get(words, F.lit(1)), F.lit("0:0")), ":")
     return F.call_function(
         "try_make_timestamp_ntz",
-        *(_whole(_piece(date, "/", n)) for n in (3, 2, 1)),
-        *(_whole(_piece(time, ":", n)) for n in (1, 2)),
+        *(_whole(F.get(date, F.lit(i))) for i in (2, 1, 0)),
+        *(_whole(F.get(time, F.lit(i))) for i in (0, 1)),
         F.lit(0),
     )
 
 
 def parse_day_first(c: Column) -> Column:
     """Day-first timestamp, with slashes or dashes, or year first when it has four digits."""
-    text = clean_text(F.translate(c.cast("string"), "-T", "/ "))
-    date, time = _piece(text, " ", 1), _piece(text, " ", 2)
-    year_first = F.length(_piece(date, "/", 1)) == 4
-    day = F.when(year_first, _piece(date, "/", 3)).otherwise(_piece(date, "/", 1))
-    year = F.when(year_first, _piece(date, "/", 1)).otherwise(_piece(date, "/", 3))
+    words = _pieces(clean_text(F.translate(c.cast("string"), "-T", "/ ")), " ")
+    date = _pieces(F.get(words, F.lit(0)), "/")
+    time = _pieces(F.get(words, F.lit(1)), ":")
+    year_first = F.length(F.get(date, F.lit(0))) == 4
 
-    def clock(n: int) -> Column:
-        found = _piece(time, ":", n)
-        return F.when(found == "", "0").otherwise(found)
+    def clock(i: int) -> Column:
+        return F.coalesce(F.get(time, F.lit(i)), F.lit("0"))
 
     return F.call_function(
         "try_make_timestamp_ntz",
-        _whole(year), _whole(_piece(date, "/", 2)), _whole(day), _whole(clock(1)), _whole(clock(2)),
-        clock(3).try_cast("decimal(16,6)"),
+        _whole(F.get(date, F.when(year_first, 0).otherwise(2))), _whole(F.get(date, F.lit(1))),
+        _whole(F.get(date, F.when(year_first, 2).otherwise(0))),
+        _whole(clock(0)), _whole(clock(1)), clock(2).try_cast("decimal(16,6)"),
     )
 
 

@@ -45,7 +45,7 @@ def product_code_text(c: Column) -> Column:
     number = _exact(text)
     whole = number == F.floor(number)
     slow = F.when(whole, number.try_cast("decimal(38,0)").cast("string")).otherwise(text)
-    return F.coalesce(_plain_digits(c), slow)
+    return F.coalesce(_plain_digits(c), _plain_digits(text), slow)
 
 
 def comma_decimal(c: Column) -> Column:
