@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesmart.llm import exact_dedup
+from salesmart.llm import exact_dedup, simhash, toxicity
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +32,15 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM n WINDOW g AS (PARTITION BY t)""")
 def op1(spark, sf):
     return exact_dedup.mark(table(spark, sf, "documents"), hash_all=True)
+
+
+@query("op3_toxicity")
+def op3(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = toxicity.train(docs, table(spark, sf, "labels"))
+    return toxicity.score(docs, model).withColumn("held_out", toxicity.held_out(F.col("doc_id")))
+
+
+@query("op5_simhash_near_dedup")
+def op5(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
