@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,13 +38,13 @@ def on_worker(function: Callable, **parameters) -> Callable:
     """
     module, name, root = function.__module__, function.__name__, ROOT
 
-    def run(*batches):
+    def run(batches):
         import importlib
         import sys
 
         if root not in sys.path:
             sys.path.append(root)
-        return getattr(importlib.import_module(module), name)(*batches, **parameters)
+        return getattr(importlib.import_module(module), name)(batches, **parameters)
 
     return run
 
@@ -104,3 +105,16 @@ def running(rows: DataFrame, group: list[str], order: list[str], values: dict[st
 def spread_for(rows: int, each: int = 4096) -> int:
     """Hash buckets for ``running``, so that one holds about ``each`` rows."""
     return 1 + rows // each
+
+
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_blocks(data: bytes, size: int = 1 << 22) -> Iterator[list[bytes]]:
+    """The words of a text, some megabytes at a time, so that a huge text needs little memory."""
+    start = 0
+    while start < len(data):
+        found = SPACE.search(data, start + size) if start + size < len(data) else None
+        end = found.start() if found else len(data)
+        yield data[start:end].split()
+        start = end

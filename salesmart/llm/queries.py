@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import exact_dedup, simhash, toxicity
+from salesmart.llm import exact_dedup, packing, simhash, toxicity
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op1(spark, sf):
     return exact_dedup.mark(table(spark, sf, "documents"), hash_all=True)
 
 
+@query("op2_best_fit_packing")
+def op2(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"))
+
+
 @query("op3_toxicity")
 def op3(spark, sf):
     docs = table(spark, sf, "documents")

@@ -24,7 +24,6 @@ result.  Other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import chain, combinations, repeat
 
@@ -34,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import col, on_worker, text_of
+from salesmart.llm.common import col, on_worker, text_of, word_blocks
 from salesmart.llm.components import components
 from salesmart.workspace import settle
 
@@ -43,19 +42,6 @@ MAX_BITS = 3
 CROWD = 4096
 SEED = 42
 
-SPACE = re.compile(rb"[\x20\x09-\x0D]")
-
-
-def word_blocks(data: bytes, size: int = 1 << 22) -> Iterator[list[bytes]]:
-    """The words of a text, some megabytes at a time, so that a huge text needs little memory."""
-    start = 0
-    while start < len(data):
-        found = SPACE.search(data, start + size) if start + size < len(data) else None
-        end = found.start() if found else len(data)
-        yield data[start:end].split()
-        start = end
-
-
 def hashes(data: bytes, width: int) -> Iterator[np.ndarray]:
     """XXH64 of all shingles of the text, in blocks."""
     held: list[bytes] = []
