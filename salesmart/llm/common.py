@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.workspace import settle
+
 #: The white space of all contracts: space and the control characters 9 to 13.
 WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -118,3 +120,17 @@ def word_blocks(data: bytes, size: int = 1 << 22) -> Iterator[list[bytes]]:
         end = found.start() if found else len(data)
         yield data[start:end].split()
         start = end
+
+
+def without(rows: DataFrame, ids: DataFrame, id_col: str, bits: int = 23) -> DataFrame:
+    """``rows`` whose id is not among ``ids`` (one column of the same name); a null id stays.
+
+    A bitmap of fixed size lets most rows pass where they are; only those that
+    it cannot clear are moved to be matched exactly.
+    """
+    gone = settle(ids.select(col(id_col).alias("gone_id")).distinct(), "gone")
+    packed = rows.select(F.struct(*map(col, rows.columns)).alias("row"))
+    packed = packed.withColumn("gone_id", F.col("row").getField(id_col))
+    flagged = with_flag(packed, settle(bitmap_of(gone, "gone_id", bits), "bitmap"), "gone_id", bits, "suspect")
+    kept = flagged.filter("suspect").join(gone, "gone_id", "left_anti")
+    return flagged.filter("not suspect").select("row").unionByName(kept.select("row")).select("row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import exact_dedup, packing, simhash, toxicity
+from salesmart.llm import exact_dedup, mixing, packing, simhash, toxicity
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,15 @@ def op3(spark, sf):
 @query("op5_simhash_near_dedup")
 def op5(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op9_mixing")
+def op9(spark, sf):
+    return mixing.taken(table(spark, sf, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark, sf):
+    import corpus_pipeline  # it lies beside the package and imports this subpackage's operators
+
+    return corpus_pipeline.run(spark, sf)
