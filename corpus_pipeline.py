@@ -43,7 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs)
+    mixed = mixing.mix(docs, block=MIX_BLOCK)
     # The length that documents carry is brought in line with cut texts.
     return mixed.withColumn("n_chars", F.length("text").cast("bigint")).select(*map(col, docs.columns))
 
@@ -52,6 +52,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs)
 
 
+#: Words that the mix takes together: long enough to be worth reading on their own.
+MIX_BLOCK = 256
+
 STAGES = [
     ("toxicity", reject_toxic),
     ("exact_dedup", drop_copies),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import exact_dedup, mixing, packing, simhash, toxicity
+from salesmart.llm import exact_dedup, mixing, packing, sharding, simhash, toxicity
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,13 @@ def op3(spark, sf):
     return toxicity.score(docs, model).withColumn("held_out", toxicity.held_out(F.col("doc_id")))
 
 
+@query("op4_sharding")
+def op4(spark, sf):
+    return sharding.shard(table(spark, sf, "documents")).withColumns(
+        {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
+    )
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
