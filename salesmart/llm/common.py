@@ -80,16 +80,17 @@ def with_flag(rows: DataFrame, bitmap: DataFrame, key: str, bits: int, out: str)
     )
 
 
-def running(rows: DataFrame, group: list[str], order: list[str], values: dict[str, str | Column], spread: int) -> DataFrame:
+def running(
+    rows: DataFrame, group: list[str], order: list[str], values: dict[str, str | Column], spread: int = 1, bucket: Column | None = None
+) -> DataFrame:
     """Running totals before each row, per group, without a task that holds a whole group.
 
-    Rows of a group are ordered by the hash bucket of ``order`` and, inside it,
-    by ``order``.  Totals of buckets are added up first (``spread`` rows a
-    group), then rows inside each bucket.  ``values`` maps the name of a new
+    Rows of a group are ordered by ``bucket`` (by default the hash of ``order``
+    modulo ``spread``) and, inside it, by ``order``.  Totals of buckets are added up first (a row for each), then rows inside each bucket.  ``values`` maps the name of a new
     column to what it adds up.  ``rows`` is read twice and so should be a
     written table; group columns must not be null.
     """
-    bucketed = rows.withColumn("run_bucket", F.pmod(F.xxhash64(*order), F.lit(spread)))
+    bucketed = rows.withColumn("run_bucket", F.pmod(F.xxhash64(*order), F.lit(spread)) if bucket is None else bucket)
     keys = [*group, "run_bucket"]
     sums = {f"run_{n}": F.sum(v) for n, v in values.items()}
     before = Window.partitionBy(*group).orderBy("run_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import exact_dedup, mixing, packing, sharding, simhash, toxicity
+from salesmart.llm import chat, exact_dedup, mixing, packing, sharding, simhash, toxicity, urls
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,11 +58,48 @@ def op5(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+#: The rules of the query: verdict, host, path.
+URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
+
+_FITS = " ".join(
+    f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}'"
+    for _, h, p in sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+)
+_BLOCKED = ", ".join(f"'{h}{p}'" for v, h, p in URL_RULES if v == "block")
+_WORDS = "|".join(r.name.strip("^") for r in urls.PATTERNS)
+
+
+@query("op6_url_filters", rf"""
+WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM u),
+r AS (SELECT *, CASE {_FITS} END AS rule FROM p)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ({_BLOCKED}) THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN regexp_matches(lower(host || path), '(^|[^0-9a-z])({_WORDS})([^0-9a-z]|$)') THEN 'block' ELSE 'allow' END AS verdict
+FROM r""")
+def op6(spark, sf):
+    rules = [urls.host_rule(*r) for r in URL_RULES] + list(urls.PATTERNS)
+    return urls.judge(table(spark, sf, "pages"), rules)
+
+
 @query("op9_mixing")
 def op9(spark, sf):
     return mixing.taken(table(spark, sf, "documents"))
 
 
+@query("op10_chat_formatting")
+def op10(spark, sf):
+    said = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"),
+    )
+    chats = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digest(chat.format_chats(chats))
+
+
 @query("pipeline")
 def pipeline(spark, sf):
     import corpus_pipeline  # it lies beside the package and imports this subpackage's operators
