@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, exact_dedup, mixing, packing, sharding, simhash, toxicity, urls
+from salesmart.llm import chat, exact_dedup, fingerprints, mixing, packing, sharding, simhash, substrings, toxicity, urls
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,16 @@ def op6(spark, sf):
     return urls.judge(table(spark, sf, "pages"), rules)
 
 
+@query("op7_substring_dedup")
+def op7(spark, sf):
+    return substrings.spans(table(spark, sf, "documents"), within=False)
+
+
+@query("op8_document_fingerprints")
+def op8(spark, sf):
+    return fingerprints.fingerprint(table(spark, sf, "documents"))
+
+
 @query("op9_mixing")
 def op9(spark, sf):
     return mixing.taken(table(spark, sf, "documents"))
