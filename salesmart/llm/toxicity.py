@@ -144,12 +144,12 @@ class Scorer:
             part = words[start : start + self.block + max(WIDTHS) - 1]
             if len(self.words) > KEPT:
                 self.reset()
-            numbers = np.zeros(len(part) + max(WIDTHS) - 1, np.int64)
+            numbers = np.zeros(min(self.block, max(1, len(words) - start)) + max(WIDTHS) - 1, np.int64)
             numbers[: len(part)] = np.fromiter(map(self.words.__getitem__, part), np.int64, len(part))
             self._learn()
             best = self.model.pooled(self.rows.take(numbers, axis=1))
             found = best if found is None else np.maximum(found, best)
-            votes += np.bincount(self.speaks[numbers[: min(len(part), self.block)]], minlength=len(votes))
+            votes += np.bincount(self.speaks[numbers[: self.block]], minlength=len(votes))
         spoken = int(votes[:-1].argmax()) if votes[:-1].any() else OTHER
         return float(self.model.margin(found)), spoken
 
