@@ -30,7 +30,8 @@ from salesmart.workspace import settle
 SAMPLES = 32
 PART = 4_000_000
 
-KEY = ["doc_id", "text_hash"]
+#: A document's key, never null, so that joins and groups by it share one partitioning.
+KEY = ["doc_key", "text_hash"]
 
 
 def _uniform(bits: Column, low: int, width: int) -> Column:
@@ -109,7 +110,7 @@ def signatures(rows: DataFrame, carried: list[str], samples: int = SAMPLES) -> D
 
 
 def successors(keys: DataFrame) -> DataFrame:
-    """Each key with the one that follows by falling id and hash, in a circle; no task holds all keys."""
+    """Each document (``KEY``, doc_id) with the key that follows by falling id and hash, in a circle; no task holds all."""
     order = [F.desc_nulls_last("doc_id"), F.desc("text_hash")]
     placed = settle(
         keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()), "ordered"
@@ -132,20 +133,22 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     next document's (near_next).  In the edited text the last third gives way
     to the beginning of the next document.
     """
-    rows = docs.select(col(id_col).alias("doc_id"), text_of(text_col).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    order = successors(rows.select(*KEY, F.length("text").cast("bigint").alias("n_chars")).distinct())
+    rows = docs.select(col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    zero = F.lit(0).cast(rows.schema["doc_id"].dataType)
+    hashed = F.when(F.col("doc_id").isNull(), F.xxhash64("text", F.lit("no id"))).otherwise(F.xxhash64("text"))
+    rows = rows.withColumns({"doc_key": F.coalesce("doc_id", zero), "text_hash": hashed})
+    order = successors(rows.select("doc_id", *KEY, F.length("text").cast("bigint").alias("n_chars")).distinct())
     total = order.agg(F.sum("n_chars")).first()[0] or 0
-    here = rows.repartition(1 + total // PART, *KEY).dropDuplicates(KEY)
+    here = rows.drop("doc_id").repartition(1 + total // PART, *KEY).dropDuplicates(KEY)
     third = F.floor(F.col("n_chars") / 3).cast("int")
-
     asked = order.select(
-        F.col("next.doc_id").alias("doc_id"), F.col("next.text_hash").alias("text_hash"),
-        F.col("doc_id").alias("asker_id"), F.col("text_hash").alias("asker_hash"), third.alias("third"),
+        *(F.col("next").getField(k).alias(k) for k in KEY), F.col("doc_key").alias("asker_key"), F.col("text_hash").alias("asker_hash"),
+        third.alias("third"),
+    )
+    lent = here.join(asked, KEY).select(
+        F.col("asker_key").alias("doc_key"), F.col("asker_hash").alias("text_hash"), "third", F.left("text", F.col("third")).alias("lent")
     )
-    same = [here["doc_id"].eqNullSafe(asked["doc_id"]), here["text_hash"] == asked["text_hash"]]
-    lent = here.join(asked, same).select("asker_id", "asker_hash", "third", F.left("text", F.col("third")).alias("lent"))
-    same = [here["doc_id"].eqNullSafe(lent["asker_id"]), here["text_hash"] == lent["asker_hash"]]
-    joined = here.join(lent, same).drop("asker_id", "asker_hash").withColumn("n_chars", F.length("text").cast("bigint"))
+    joined = here.join(lent, KEY).withColumn("n_chars", F.length("text").cast("bigint"))
     joined = joined.withColumn("start", F.left("text", (F.col("n_chars") - F.col("third")).cast("int")))
     # A word that the cut goes through belongs to what follows on either side.
     tail = F.length(F.regexp_extract(F.reverse("start"), r"^[^\x20\x09-\x0D]*", 0))
@@ -159,7 +162,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     signed = settle(signatures(parts.withColumns(quarters), ["n_chars", *quarters], samples), "signatures")
 
     following = signed.select(F.struct(*KEY).alias("next"), F.col("signature").alias("next_signature"))
-    found = signed.join(order.select(F.struct(*KEY).alias("key"), "next"), F.struct(*KEY).eqNullSafe(F.col("key"))).join(following, "next")
+    found = signed.join(order.select("doc_id", *KEY, "next"), KEY).join(following, "next")
     return found.select(
         "doc_id", "n_chars", F.lower(F.concat(*(F.lpad(F.hex(c), 16, "0") for c in quarters))).alias("edited_sha256"),
         text(F.col("signature")).alias("fingerprint"), text(F.col("edited_signature")).alias("edited_fingerprint"),
