@@ -228,12 +228,12 @@ def product_feed(spark: SparkSession, sf: str) -> DataFrame:
     common = (F.col("p_name").alias("ProductName"), F.col("p_type").alias("Manufacturer"))
     size = F.col("p_size").cast("string").alias("ProductPresentation")
     first = parts.select(
-        F.lit(1).alias("Row"), code_text(F.col("p_partkey")).alias("CNP"), *common,
+        F.lit(0).alias("Source"), F.lit(1).alias("Row"), code_text(F.col("p_partkey")).alias("CNP"), *common,
         F.when(F.col("p_size") % 5 != 0, F.col("p_brand")).alias("Brand"), size,
         raw_generic(F.col("p_partkey")).alias("GenericRaw"),
     )
     again = parts.filter(F.col("p_size") > 40).select(
-        F.lit(2).alias("Row"), F.concat(F.lit(" "), F.col("p_partkey").cast("string"), F.lit(".0 ")).alias("CNP"),
+        F.lit(1).alias("Source"), F.lit(2).alias("Row"), F.concat(F.lit(" "), F.col("p_partkey").cast("string"), F.lit(".0 ")).alias("CNP"),
         *common, F.col("p_brand").alias("Brand"), size, F.lit("N").alias("GenericRaw"),
     )
     return first.unionByName(again)
@@ -297,6 +297,11 @@ def pharmacy_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return stores.filter("debt").select(*columns), stores.filter("not debt").select(*reversed(columns))
 
 
+def conflicting(feed: DataFrame, key: str, name: str) -> DataFrame:
+    """The same rows as a later file has them: under a name that sorts first."""
+    return feed.withColumn(name, F.concat(F.lit("AAA "), F.col(f"`{key}`")))
+
+
 def location_feed(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("n_nationkey")
     return places(spark, sf).select(

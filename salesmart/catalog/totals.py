@@ -19,7 +19,10 @@ from salesmart.workspace import settle
 
 @query("f01_first_known_value", R.sql("SELECT CNP, ProductName, Manufacturer, Brand, ProductPresentation FROM built_product", "built_product"))
 def first_known_value(spark, sf):
-    return B.grouped_products(B.clean_products(R.product_feed(spark, sf))).drop("GenericLabel")
+    """A later file has every product again under a name that sorts first; it only fills what was not known."""
+    feed = R.product_feed(spark, sf)
+    later = R.conflicting(feed, "CNP", "ProductName").withColumns({"Source": F.lit(2), "Manufacturer": F.lit("AAA"), "Brand": F.lit(None).cast("string")})
+    return B.grouped_products(B.clean_products(feed.unionByName(later))).drop("GenericLabel")
 
 
 @query("f02_single_label_or_unknown", R.sql("SELECT CNP, GenericLabel FROM built_product", "built_product"))
@@ -40,10 +43,12 @@ def single_value_or_null(spark, sf):
 
 
 @query("f04_unique_keys", """
-SELECT lower(p_name) AS ProductName, min(p_type) AS Manufacturer FROM part
+SELECT lower(p_name) || ' ' || p_partkey % 1000 AS ProductName, min(p_type) AS Manufacturer FROM part
 GROUP BY 1 HAVING count(DISTINCT p_type) = 1""")
 def unique_keys(spark, sf):
-    names = R.table(spark, sf, "part").select(F.upper("p_name").alias("ProductName"), F.col("p_type").alias("Manufacturer"))
+    """Names with the end of their code: some are unique and some are not at every size."""
+    name = F.concat_ws(" ", F.upper("p_name"), (F.col("p_partkey") % 1000).cast("string"))
+    names = R.table(spark, sf, "part").select(name.alias("ProductName"), F.col("p_type").alias("Manufacturer"))
     return J.unique_map(names, "ProductName", "Manufacturer", fold=True)
 
 

@@ -17,6 +17,8 @@ from salesmart.operators.grouping import first_known, first_row, long_form, sing
 from salesmart.operators.lookups import unique_map
 from salesmart.operators.ordering import sequential_key
 from salesmart.sources import generators as G
+from salesmart.sources.delimited import ORIGIN
+from salesmart.workspace import settle
 
 # File column names and the names they take here.
 POS_COLUMNS = {"POS id": "SK_POS", "name": "POSName", "email": "POSEmail"}
@@ -115,6 +117,7 @@ def corrected_locations(
 
 
 def correction_summary(locations: DataFrame) -> DataFrame:
+    # The metric labels.
     source = F.col("DistrictCorrectionSource")
     one = locations.agg(
         F.count(F.lit(1)).alias("Locations in source"),
@@ -129,13 +132,13 @@ def correction_summary(locations: DataFrame) -> DataFrame:
 
 
 def build_pharmacy(feed: DataFrame) -> DataFrame:
-    """One row per pharmacy; of several, the first by name and location is kept."""
+    """One row per pharmacy; of several, the first in file order is kept, else the first by name and location."""
     named = feed.withColumnsRenamed(PHARMACY_COLUMNS)
     typed = named.withColumns(
         {"PharmacyID": N.to_int64(F.col("PharmacyID")), "LocationID": N.to_int64(F.col("LocationID"))}
     )
     kept = keyed_and_named(typed, "PharmacyID", "PharmacyName")
-    order = [c for c in ("Source", "PharmacyName", "LocationID") if c in kept.columns]
+    order = [c for c in (*ORIGIN, "PharmacyName", "LocationID") if c in kept.columns]
     one = first_row(kept, ["PharmacyID"], order)
     return conform(
         one.select(
@@ -159,7 +162,7 @@ def clean_products(feed: DataFrame) -> DataFrame:
 def grouped_products(cleaned: DataFrame) -> DataFrame:
     """One row per code; the code is made a number first, so ``123`` and ``123.0`` are one product."""
     order = F.struct(
-        *(F.col(c) for c in (["Row"] if "Row" in cleaned.columns else [])),
+        *(F.col(c) for c in ORIGIN if c in cleaned.columns),
         F.col("ProductName"), F.col("Manufacturer"), F.col("Brand"), F.col("ProductPresentation"),
     )
     known = ("ProductName", "Manufacturer", "Brand", "ProductPresentation")
@@ -172,14 +175,54 @@ def grouped_products(cleaned: DataFrame) -> DataFrame:
 def build_product(feed: DataFrame) -> DataFrame:
     products = grouped_products(clean_products(feed))
     keyed = sequential_key(products, "CNP", "SK_Product")
-    labelled = keyed.withColumn("IsGeneric", F.col("GenericLabel") == "Generic")
-    return conform(G.unknown_product(feed.sparkSession).unionByName(labelled), "DimProduct")
+    return conform(G.unknown_product(feed.sparkSession).unionByName(_with_kind(keyed)), "DimProduct")
+
+
+def _with_kind(products: DataFrame) -> DataFrame:
+    return products.withColumn("IsGeneric", F.col("GenericLabel") == "Generic")
+
+
+def refresh_product(stored: DataFrame, feed: DataFrame) -> DataFrame:
+    """The stored dimension brought up to date by code.
+
+    Stored products keep their keys, also those the feed no longer has, as
+    facts point to them.  New codes get the numbers after the highest.
+    """
+    products = settle(_with_kind(grouped_products(clean_products(feed))), "products")
+    attributes = [c for c in products.columns if c != "CNP"]
+    named = products.select("CNP", F.struct(*attributes).alias("_new"))
+    kept = stored.join(named, "CNP", "left").select(
+        "CNP", "SK_Product",
+        *(F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in attributes),
+    )
+    start = (stored.agg(F.max("SK_Product")).first()[0] or 0) + 1
+    fresh = sequential_key(products.join(stored.select("CNP"), "CNP", "left_anti"), "CNP", "SK_Product", max(start, 1))
+    return conform(kept.unionByName(fresh.select(*kept.columns)), "DimProduct")
+
+
+#: The longest calendar, so that one mistyped year cannot make one of millions of days.
+MOST_DAYS = 100 * 366
+
+
+def checked_bounds(bounds: DataFrame, most_days: int = MOST_DAYS) -> DataFrame:
+    """The first and last day, or an error if they lie too far apart for a calendar."""
+    days = F.date_diff("last_day", "first_day")
+    problem = F.concat(F.lit("calendar from "), F.col("first_day"), F.lit(" to "), F.col("last_day"), F.lit(" is too long"))
+    last = F.when(days > most_days, F.raise_error(problem).cast("date")).otherwise(F.col("last_day"))
+    return bounds.select("first_day", last.alias("last_day"))
+
+
+def wider_bounds(bounds: DataFrame, stored: DataFrame) -> DataFrame:
+    """Bounds that cover both a batch and the stored calendar: a calendar only ever grows."""
+    return bounds.unionByName(G.date_bounds(stored, F.col("FullDate"))).agg(
+        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day")
+    )
 
 
 def build_date(bounds: DataFrame, holidays: tuple[dt.date, ...] = G.HOLIDAYS) -> DataFrame:
     d = F.col("FullDate")
     return conform(
-        G.every_day(bounds).select(
+        G.every_day(checked_bounds(bounds)).select(
             D.date_key(d).alias("SK_Date"), d, F.dayofmonth(d).alias("Day"), D.day_name(d).alias("DayName"),
             D.week_number(d).alias("WeekNumber"), F.month(d).alias("Month"), D.month_name(d).alias("MonthName"),
             F.quarter(d).alias("Quarter"), D.quarter_name(d).alias("QuarterName"), F.year(d).alias("Year"),

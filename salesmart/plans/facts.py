@@ -18,6 +18,10 @@ SALES_COLUMNS = {
     "Localização": "FK_Location", "Currency": "CurrencyCode", "operator_id": "FK_Operator",
 }
 MONTH = "SaleMonth"
+#: Columns of typed sales that facts are built from.
+FACT_INPUT = (
+    "SaleID", "SourceSaleDateTime", "CNP", "FK_Pharmacy", "FK_POS", "FK_Location", "FK_Operator", "Qty", "Amount", "CurrencyCode",
+)
 
 
 def typed_sales(feed: DataFrame) -> DataFrame:
@@ -36,8 +40,13 @@ def typed_sales(feed: DataFrame) -> DataFrame:
 
 def build_facts(feed: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Complete feed rows with date, time and product keys; unmatched products point to -1."""
+    return keyed_facts(complete_computed(typed_sales(feed)), dim_product)
+
+
+def keyed_facts(sales: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Complete typed sales with their keys."""
     stamp = F.col("SourceSaleDateTime")
-    rows = complete_computed(typed_sales(feed)).withColumns(
+    rows = sales.withColumns(
         {"PK_SaleID": F.col("SaleID"), "FK_Date": D.date_key(stamp), "FK_Time": D.time_key(stamp)}
     )
     keyed = surrogate(rows, "CNP", dim_product, "CNP", "SK_Product", "FK_Product")

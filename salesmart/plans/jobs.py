@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +15,17 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from salesmart.contracts import CONTRACTS, DIMENSIONS, conform, guarded
 from salesmart.functions.numbers import to_int64
 from salesmart.operators import quality as Q
-from salesmart.operators.filters import above_mark
+from salesmart.operators.filters import above_mark, complete, complete_computed
 from salesmart.operators.grouping import row_counts
 from salesmart.plans import dimensions as B
 from salesmart.plans import incremental as I
 from salesmart.plans import segmentation as S
-from salesmart.plans.facts import MONTH, build_facts, typed_sales, with_month
+from salesmart.plans.facts import FACT_INPUT, MONTH, keyed_facts, typed_sales, with_month
 from salesmart.plans.measures import Mart
 from salesmart.sources import generators as G
 from salesmart.sources import tables as T
 from salesmart.sources.generators import literal
-from salesmart.workspace import settle
+from salesmart.workspace import scratch, settle
 
 SCHEMAS = {
     **{name: "dwh" for name in (*DIMENSIONS, "FactSales", "DateSlicer", "PharmacySegmentation")},
@@ -51,14 +52,22 @@ class Feeds:
 
 @dataclass
 class Warehouse:
-    """Where each table lives, and the log of one run."""
+    """Where each table lives, and the log of one run.
+
+    Tables lie in the current version of the folder ``root``; a ``draft`` is a
+    version that nobody reads until it is published.  The log stands outside.
+    """
 
     spark: SparkSession
     root: str
     run: str = field(default_factory=lambda: uuid.uuid4().hex)
+    draft: str | None = None
 
     def path(self, table: str) -> str:
-        return f"{self.root}/{SCHEMAS[table]}/{table}"
+        if table == "LoadLog":
+            return f"{self.root}/{SCHEMAS[table]}/{table}"
+        home = f"{self.root}/{self.draft}" if self.draft else T.current(self.spark, self.root)
+        return f"{home}/{SCHEMAS[table]}/{table}"
 
     def exists(self, table: str) -> bool:
         return T.exists(self.spark, self.path(table))
@@ -75,28 +84,39 @@ class Warehouse:
         else:
             T.create(self.spark, table, self.path(table))
 
+    def publish(self) -> None:
+        """Make the draft the mart that everybody reads, all tables at once."""
+        T.publish(self.spark, self.root, self.draft)
+        self.draft = None
+
+    @contextlib.contextmanager
+    def step(self, job: str, name: str, table: str | None = None) -> Iterator[dict]:
+        """Log a step, with the rows it puts into what it is given, whether it ends well or not."""
+        started, done = dt.datetime.now(), {}
+        try:
+            yield done
+        except Exception as problem:
+            self.log(job, name, table, None, started, "Failed", str(problem))
+            raise
+        self.log(job, name, table, done.get("rows"), started)
+
     def write(self, table: str, df: DataFrame, job: str, append: bool = False) -> int:
         """Write a table and log its rows, which are counted from the files just written.
 
         Rows to append are settled first: they are computed once, against the
         table as it was, and the append itself only copies them.
         """
-        started = dt.datetime.now()
         rows = guarded(df, table)
         parts = [MONTH] if table == "FactSales" else None
         rows = with_month(rows) if parts else rows
-        try:
+        with self.step(job, f"write {table}", table) as done:
             if append:
                 rows = settle(rows, f"append-{table}")
                 T.append(rows, self.path(table), parts)
             else:
                 rows = T.replace(rows, self.path(table), parts)
-        except Exception as problem:
-            self.log(job, f"write {table}", table, None, started, "Failed", str(problem))
-            raise
-        count = rows.count()
-        self.log(job, f"write {table}", table, count, started)
-        return count
+            done["rows"] = rows.count()
+        return done["rows"]
 
     def log(self, job, step, table, rows, started, status="Succeeded", error=None) -> None:
         line = I.log_row(self.spark, self.run, job, step, table, rows, started, status, error)
@@ -109,30 +129,43 @@ class Warehouse:
         names = (*DIMENSIONS, "DateSlicer", "PharmacySegmentation")
         return Mart(self.read("FactSales"), {n: self.read(n) for n in names if self.exists(n)})
 
-    def advance_mark(self) -> None:
-        control = self.read("Watermark")
-        moved = T.update_control(control, I.PROCESS, I.next_mark(self.read("FactSales")))
-        T.replace(conform(moved, "Watermark").coalesce(1), self.path("Watermark"))
+    def advance_mark(self, loaded: DataFrame, job: str = "load") -> None:
+        """Move the mark to the later of itself and the last of the rows just loaded."""
+        with self.step(job, "advance mark", "Watermark"):
+            control = self.read("Watermark")
+            moved = T.update_control(control, I.PROCESS, I.next_mark(loaded, I.mark_row(control)))
+            T.replace(conform(moved, "Watermark").coalesce(1), self.path("Watermark"))
 
 
-def write_dimensions(house: Warehouse, feeds: Feeds, job: str, bounds: DataFrame | None = None) -> None:
-    if bounds is None:
-        bounds = G.date_bounds(typed_sales(feeds.sales), F.col("SourceSaleDateTime"))
+def write_dimensions(house: Warehouse, feeds: Feeds, job: str, bounds: DataFrame) -> None:
+    """All dimensions anew, but for what stored facts rely on: product keys stay and the calendar only grows."""
+    products, days = (house.read(t) if house.exists(t) else None for t in ("DimProduct", "DimDate"))
+    known = products is not None and not products.isEmpty()
+    if days is not None and not days.isEmpty():
+        bounds = B.wider_bounds(bounds, days)
     house.write("DimPOS", B.build_pos(feeds.pos), job)
     house.write("DimOperator", B.build_operator(feeds.operators), job)
     house.write("DimLocation", B.build_location(feeds.locations, feeds.district_map, feeds.manual), job)
     house.write("DimPharmacy", B.build_pharmacy(feeds.pharmacies), job)
-    house.write("DimProduct", B.build_product(feeds.products), job)
+    house.write("DimProduct", B.refresh_product(products, feeds.products) if known else B.build_product(feeds.products), job)
     house.write("DimDate", B.build_date(bounds), job)
     house.write("DateSlicer", B.build_slicer(house.read("DimDate")), job)
     house.write("DimTime", B.build_time(house.spark), job)
 
 
-def segment_stores(feeds: Feeds) -> S.Segmentation:
+ANALYSIS = "analysis"
+
+
+def parsed_sales(feed: DataFrame) -> DataFrame:
+    """The raw feed read once: typed columns for the facts and, as a struct, the segmentation's own reading."""
+    both = feed.withColumn(ANALYSIS, F.struct(*S.sale_columns("Sale ID", "Pharmacy")))
+    return settle(typed_sales(both).select(*FACT_INPUT, ANALYSIS), "sales")
+
+
+def segment_stores(feeds: Feeds, parsed: DataFrame | None = None) -> S.Segmentation:
     """Segmentation from the raw feeds, with its own cleaning rules."""
-    sales = S.valid_sales(
-        S.prepare_sales(feeds.sales.withColumnsRenamed({"Sale ID": "SaleID", "Pharmacy": "PharmacyID"}))
-    )
+    parsed = parsed_sales(feeds.sales) if parsed is None else parsed
+    sales = S.valid_sales(parsed.select(f"{ANALYSIS}.*"))
     places = Q.require_known_districts(
         B.corrected_locations(feeds.locations, feeds.district_map, feeds.manual_by_key)
     )
@@ -151,42 +184,67 @@ def final_report(house: Warehouse) -> dict[str, DataFrame]:
 
 def full_refresh(
     spark: SparkSession, feeds: Feeds, root: str, bounds: DataFrame | None = None,
-    segmented: Callable[[Feeds], S.Segmentation] | None = segment_stores,
+    segmented: Callable[[Feeds, DataFrame], S.Segmentation] | None = segment_stores,
 ) -> Warehouse:
-    """Clear, check, load dimensions, check, load facts, check, segment, publish, set the mark."""
-    job, house = "full_refresh", Warehouse(spark, root)
-    for table in ("FactSales", *DIMENSIONS):
-        house.clear(table)
-    Q.require_empty(house.counts(("FactSales", *DIMENSIONS)))
-    write_dimensions(house, feeds, job, bounds)
-    Q.require_loaded(house.counts(DIMENSIONS))
-    house.write("FactSales", build_facts(feeds.sales, house.read("DimProduct")), job)
-    Q.require_loaded(Q.control_totals(house.read("FactSales")).select("FactSalesRows"))
-    if segmented:
-        segments = segmented(feeds).segments
-        Q.require_checks(Q.output_checks(segments))
-        house.write("PharmacySegmentation", S.for_warehouse(segments), job)
-    if not house.exists("Watermark"):
+    """Build a new mart beside the live one, check every step, and publish it at the end.
+
+    Empty tables, check, dimensions, check, facts, check, segments, check, mark,
+    publish.  If a step fails the old mart stays as it was.  ``segmented=None``
+    leaves the segments out.
+    """
+    job, house = "full_refresh", Warehouse(spark, root, draft=T.new_version())
+    with scratch(spark):
+        with house.step(job, "clear"):
+            for table in ("FactSales", *DIMENSIONS):
+                house.clear(table)
+        with house.step(job, "check empty"):
+            Q.require_empty(house.counts(("FactSales", *DIMENSIONS)))
+        parsed = parsed_sales(feeds.sales)
+        sales = complete(parsed.drop(ANALYSIS))
+        write_dimensions(house, feeds, job, G.date_bounds(sales, F.col("SourceSaleDateTime")) if bounds is None else bounds)
+        with house.step(job, "check dimensions"):
+            Q.require_loaded(house.counts(DIMENSIONS))
+        house.write("FactSales", keyed_facts(sales, house.read("DimProduct")), job)
+        with house.step(job, "check facts"):
+            Q.require_loaded(Q.control_totals(house.read("FactSales")).select("FactSalesRows"))
+        if segmented:
+            segments = segmented(feeds, parsed).segments
+            with house.step(job, "check segments"):
+                Q.require_checks(Q.output_checks(segments))
+            house.write("PharmacySegmentation", S.for_warehouse(segments), job)
         T.replace(conform(G.first_watermark(spark, I.PROCESS), "Watermark"), house.path("Watermark"))
-    house.advance_mark()
+        house.advance_mark(sales.withColumnRenamed("SaleID", "PK_SaleID"), job)
+        with house.step(job, "publish"):
+            house.publish()
     return house
 
 
 def incremental_load(
-    spark: SparkSession, sales_feed: DataFrame, root: str, feeds: Feeds | None = None,
+    spark: SparkSession, feeds: Feeds, root: str, *, refresh: bool = True, composite: bool = False,
     bounds: DataFrame | None = None,
 ) -> int:
-    """Stage what lies above the mark, insert what is new, move the mark.  A re-run inserts nothing."""
+    """Refresh dimensions, stage what lies above the mark, insert what is new, move the mark.
+
+    A re-run inserts nothing.  ``refresh=False`` leaves the dimensions as they
+    are.  ``composite`` holds rows against the mark's timestamp and id instead
+    of its id alone; rows at or below it that are not stored yet stay out.
+    """
     job, house = "incremental_load", Warehouse(spark, root)
-    last_id = I.last_sale_id(house.read("Watermark"))
-    house.clear("FactSales_IncrementalBatch")
-    if feeds is not None:
-        write_dimensions(house, feeds, job, bounds)
-    # Rows below the mark are left out on their id alone, before anything else is parsed.
-    later = sales_feed.filter(above_mark(to_int64(F.col("Sale ID")), last_id))
-    house.write("FactSales_IncrementalBatch", I.stage(build_facts(later, house.read("DimProduct")), last_id), job)
-    staged = house.read("FactSales_IncrementalBatch")
-    known = I.within_batch(staged, house.read("FactSales"))
-    inserted = house.write("FactSales", I.rows_to_insert(staged, known, last_id), job, append=True)
-    house.advance_mark()
+    with scratch(spark):
+        mark = I.read_mark(house.read("Watermark"), composite)
+        house.clear("FactSales_IncrementalBatch")
+        later = feeds.sales
+        if not composite:
+            # Rows below the mark are left out on their id alone, before anything else is parsed.
+            later = later.filter(above_mark(to_int64(F.col("Sale ID")), mark.last_id))
+        sales = settle(complete_computed(typed_sales(later)).select(*FACT_INPUT), "sales")
+        if refresh:
+            write_dimensions(house, feeds, job, G.date_bounds(sales, F.col("SourceSaleDateTime")) if bounds is None else bounds)
+            with house.step(job, "check dimensions"):
+                Q.require_loaded(house.counts(DIMENSIONS))
+        house.write("FactSales_IncrementalBatch", I.stage(keyed_facts(sales, house.read("DimProduct")), mark), job)
+        staged = house.read("FactSales_IncrementalBatch")
+        known = I.within_batch(staged, house.read("FactSales"))
+        inserted = house.write("FactSales", I.rows_to_insert(staged, known, mark), job, append=True)
+        house.advance_mark(staged.withColumnRenamed("SaleID", "PK_SaleID"), job)
     return inserted

@@ -20,6 +20,7 @@ from salesmart.operators.filters import analytical_valid, computed, filter_compu
 from salesmart.operators.grouping import first_row, long_form
 from salesmart.operators.ordering import z_scores
 from salesmart.operators.scalar import beside
+from salesmart.sources.delimited import ORIGIN
 from salesmart.sources.generators import literal
 from salesmart.sources.tables import mapped, with_defaults
 from salesmart.workspace import settle
@@ -28,8 +29,8 @@ K = 3
 RESTARTS = 20
 SEED = 42
 FITS_AT_ONCE = 8
-STORES_PER_TASK = 100_000
 
+# Names of features, of profile and output columns, and texts for missing stores.
 FEATURES = [
     "TotalSalesAmount", "TotalQuantity", "NumberOfTransactions", "AvgTransactionAmount", "ProductVariety",
     "ManufacturerVariety", "BrandVariety", "MonthlySalesIntensity", "BrandedSalesShare", "GenericSalesShare",
@@ -91,33 +92,40 @@ def prepare_products(feed: DataFrame) -> DataFrame:
     code = N.product_code_text(F.col("CNP"))
     attributes = ("ProductName", "Manufacturer", "Brand", "ProductPresentation")
     shaped = feed.select(
-        *(F.col(c) for c in (["Row"] if "Row" in feed.columns else [])),
+        *(F.col(c) for c in ORIGIN if c in feed.columns),
         code.alias("CNP"), *(X.clean_text(F.col(c)).alias(c) for c in attributes),
         L.is_generic_word(F.col("GenericRaw")).alias("IsGeneric"),
         L.product_type(F.col("GenericRaw")).alias("ProductType"),
     ).filter(F.col("CNP").isNotNull())
     order = [c for c in shaped.columns if c != "CNP"]
-    return first_row(shaped, ["CNP"], order).drop("Row")
+    return first_row(shaped, ["CNP"], order).drop(*ORIGIN)
 
 
 def prepare_pharmacies(feed: DataFrame, locations: DataFrame) -> DataFrame:
     """One row per pharmacy with its corrected place."""
     shaped = feed.select(
+        *(F.col(c) for c in ORIGIN if c in feed.columns),
         N.id_text(F.col("PharmacyID")).alias("PharmacyID"), X.clean_text(F.col("PharmacyName")).alias("PharmacyName"),
         N.id_text(F.col("LocationID")).alias("LocationCode"),
     ).filter(F.col("PharmacyID").isNotNull())
-    one = first_row(shaped, ["PharmacyID"], ["PharmacyName", "LocationCode"])
+    order = [c for c in (*ORIGIN, "PharmacyName", "LocationCode") if c in shaped.columns]
+    one = first_row(shaped, ["PharmacyID"], order).drop(*ORIGIN)
     places = locations.select("LocationCode", "LocationName", "District", "Country")
     return one.join(places, "LocationCode", "left")
 
 
 def prepare_sales(feed: DataFrame) -> DataFrame:
     """Typed sales, not yet filtered."""
-    return feed.select(
-        N.id_text(F.col("SaleID")).alias("SaleID"), N.id_text(F.col("PharmacyID")).alias("PharmacyID"),
+    return feed.select(*sale_columns())
+
+
+def sale_columns(sale: str = "SaleID", store: str = "PharmacyID") -> list[Column]:
+    """The segmentation's own reading of the raw sales columns."""
+    return [
+        N.id_text(F.col(f"`{sale}`")).alias("SaleID"), N.id_text(F.col(f"`{store}`")).alias("PharmacyID"),
         N.product_code_text(F.col("CNP")).alias("CNP"), D.parse_day_first(F.col("Datetime")).alias("Datetime"),
         N.comma_decimal(F.col("Qty")).alias("Qty"), N.comma_decimal(F.col("Amount")).alias("Amount"),
-    )
+    ]
 
 
 def valid_sales(sales: DataFrame) -> DataFrame:
@@ -132,6 +140,7 @@ def quality_summary(sales: DataFrame) -> DataFrame:
     def rows(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
 
+    # The metric labels.
     one = counted.agg(
         rows(F.lit(True)).alias("Initial sales rows"),
         rows(ok).alias("Valid rows after analytical preprocessing"),
@@ -162,6 +171,7 @@ def coverage_summary(sales: DataFrame, products: DataFrame, pharmacies: DataFram
     def rows(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
 
+    # The metric labels.
     one = both.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("Sales rows after enrichment"),
         rows(F.col("ProductName").isNull()).alias("Rows without product match"),
@@ -338,7 +348,7 @@ def segment(features: DataFrame, k: int = K, restarts: int = RESTARTS, seed: int
     spark = features.sparkSession
     base = settle(features, "features")
     n = require_entities(base, k)
-    z = scaled(base).coalesce(n // STORES_PER_TASK + 1).persist()
+    z = scaled(base).persist()
     try:
         model = best_kmeans(z, k, restarts, seed)
         clustered = model.transform(z).withColumn("ClusterID", F.col("ClusterID").cast("bigint"))

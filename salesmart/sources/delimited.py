@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Where a row comes from, if a reader is asked for it: number of the file in the list, and place in the file.
+ORIGIN = ("Source", "Row")
+
 UTF8 = "UTF-8"
 CP1252 = "windows-1252"
 LATIN1 = "ISO-8859-1"
@@ -26,7 +29,7 @@ def _reader_charset(encoding: str) -> str:
 def _decoded(df: DataFrame, encoding: str) -> DataFrame:
     if encoding != CP1252:
         return df
-    return df.select(*(F.translate(F.col(f"`{c}`"), _CONTROLS, _LETTERS).alias(c) for c in df.columns))
+    return df.select(*(F.col(c) if c in ORIGIN else F.translate(F.col(f"`{c}`"), _CONTROLS, _LETTERS).alias(c) for c in df.columns))
 
 
 def _options(encoding: str, quoted: bool, header: bool) -> dict[str, str]:
@@ -39,31 +42,48 @@ def _options(encoding: str, quoted: bool, header: bool) -> dict[str, str]:
 
 def read_headered(
     spark: SparkSession, path: str, width: int | None = None, encoding: str = UTF8, quoted: bool = False,
-    line_breaks: bool = False,
+    line_breaks: bool = False, source: int | None = None,
 ) -> DataFrame:
-    """File with a header line; columns are found by name, those past ``width`` are dropped.
+    """File with a header line; those past ``width`` are dropped.
 
-    ``line_breaks`` lets quoted fields span lines, at the price of one task per file.
+    All files of a folder must have the same columns in the same order; one
+    that differs is an error (use ``read_parts``, which goes by name).
+    ``line_breaks`` lets quoted fields span lines, at the price of one task per
+    file.  With ``source``, the number of the file, rows get ``ORIGIN``.
     """
     options = _options(encoding, quoted, header=True)
-    raw = spark.read.options(**options, multiLine=str(line_breaks).lower()).csv(path)
-    kept = raw.select(*(F.col(f"`{c}`") for c in raw.columns[:width]))
-    named = kept.toDF(*(c.encode("latin-1").decode("cp1252") for c in kept.columns)) if encoding == CP1252 else kept
-    return _decoded(named, encoding)
+    raw = spark.read.options(**options, multiLine=str(line_breaks).lower(), enforceSchema="false").csv(path)
+    kept = raw.select(*(F.col(f"`{c}`") for c in raw.columns[:width]), *([] if source is None else _origin(source)))
+    names = [c.encode("latin-1").decode("cp1252") if encoding == CP1252 else c for c in raw.columns[:width]]
+    return _decoded(kept.toDF(*names, *([] if source is None else ORIGIN)), encoding)
+
+
+def _origin(source: int) -> list[Column]:
+    """Rows of one file in order: by file name and block, then as they are read."""
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return [F.lit(source).alias(ORIGIN[0]), place.alias(ORIGIN[1])]
 
 
 def read_headerless(
-    spark: SparkSession, path: str, names: list[str], encoding: str = CP1252, quoted: bool = False
+    spark: SparkSession, path: str, names: list[str], encoding: str = CP1252, quoted: bool = False, source: int | None = None
 ) -> DataFrame:
-    """File without a header; the leading fields take ``names`` by position."""
+    """File without a header; the leading fields take ``names`` by position.  With ``source`` rows get ``ORIGIN``."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     raw = spark.read.schema(schema).options(**_options(encoding, quoted, header=False)).csv(path)
-    return _decoded(raw, encoding)
+    return _decoded(raw if source is None else raw.select("*", *_origin(source)), encoding)
 
 
-def read_parts(spark: SparkSession, paths: list[str], width: int | None = None, encoding: str = CP1252) -> DataFrame:
-    """Several files of one shape as one source; column order may differ between files."""
-    frames = [read_headered(spark, p, width, encoding) for p in paths]
+def read_parts(
+    spark: SparkSession, paths: list[str], width: int | None = None, encoding: str = CP1252, origin: bool = False
+) -> DataFrame:
+    """Several files of one shape as one source; column order may differ between files.
+
+    With ``origin`` rows carry their place (``ORIGIN``), by which the first of several is the first file's.
+    """
+    frames = [read_headered(spark, p, width, encoding, source=k if origin else None) for k, p in enumerate(paths)]
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 

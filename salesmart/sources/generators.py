@@ -13,16 +13,60 @@ from salesmart.functions.labels import UNKNOWN, UNKNOWN_KEY
 
 MINUTES_PER_DAY = 24 * 60
 
-# National holidays 2020-2023, one line per year.
-HOLIDAYS = tuple(
-    dt.date.fromisoformat(f"{year}-{day}")
-    for year, days in {
-        2020: "01-01 04-10 04-12 04-25 05-01 06-10 06-11 08-15 10-05 11-01 12-01 12-08 12-25",
-        2021: "01-01 04-02 04-04 04-25 05-01 06-03 06-10 08-15 10-05 11-01 12-01 12-08 12-25",
-        2022: "01-01 04-15 04-17 04-25 05-01 06-10 06-16 08-15 10-05 11-01 12-01 12-08 12-25",
-        2023: "01-01 04-07 04-09 04-25 05-01 06-08 06-10 08-15 10-05 11-01 12-01 12-08 12-25",
-    }.items()
-    for day in days.split()
+# National holidays 2020-2023.
+HOLIDAYS = (
+    dt.date(2020, 1, 1),
+    dt.date(2020, 4, 10),
+    dt.date(2020, 4, 12),
+    dt.date(2020, 4, 25),
+    dt.date(2020, 5, 1),
+    dt.date(2020, 6, 10),
+    dt.date(2020, 6, 11),
+    dt.date(2020, 8, 15),
+    dt.date(2020, 10, 5),
+    dt.date(2020, 11, 1),
+    dt.date(2020, 12, 1),
+    dt.date(2020, 12, 8),
+    dt.date(2020, 12, 25),
+    dt.date(2021, 1, 1),
+    dt.date(2021, 4, 2),
+    dt.date(2021, 4, 4),
+    dt.date(2021, 4, 25),
+    dt.date(2021, 5, 1),
+    dt.date(2021, 6, 3),
+    dt.date(2021, 6, 10),
+    dt.date(2021, 8, 15),
+    dt.date(2021, 10, 5),
+    dt.date(2021, 11, 1),
+    dt.date(2021, 12, 1),
+    dt.date(2021, 12, 8),
+    dt.date(2021, 12, 25),
+    dt.date(2022, 1, 1),
+    dt.date(2022, 4, 15),
+    dt.date(2022, 4, 17),
+    dt.date(2022, 4, 25),
+    dt.date(2022, 5, 1),
+    dt.date(2022, 6, 10),
+    dt.date(2022, 6, 16),
+    dt.date(2022, 8, 15),
+    dt.date(2022, 10, 5),
+    dt.date(2022, 11, 1),
+    dt.date(2022, 12, 1),
+    dt.date(2022, 12, 8),
+    dt.date(2022, 12, 25),
+    dt.date(2023, 1, 1),
+    dt.date(2023, 4, 7),
+    dt.date(2023, 4, 9),
+    dt.date(2023, 4, 25),
+    dt.date(2023, 5, 1),
+    dt.date(2023, 6, 8),
+    dt.date(2023, 6, 10),
+    dt.date(2023, 8, 15),
+    dt.date(2023, 10, 5),
+    dt.date(2023, 11, 1),
+    dt.date(2023, 12, 1),
+    dt.date(2023, 12, 8),
+    dt.date(2023, 12, 25),
 )
 
 

@@ -11,12 +11,56 @@ from pyspark.sql import types as T
 from salesmart.contracts import CONTRACTS, conform
 from salesmart.operators.scalar import beside
 from salesmart.sources.generators import literal
-from salesmart.workspace import settle
+from salesmart.workspace import files, settle
+
+
+VERSIONS, VERSION = "_versions", "v-"
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the published versions of a folder, the latest first."""
+    fs, where = files(spark, f"{path}/{VERSIONS}")
+    if not fs.exists(where):
+        return []
+    return [name.split(".", 1)[1] for name in sorted((s.getPath().getName() for s in fs.listStatus(where)), reverse=True)]
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """The folder of the latest version; a folder without versions is its own."""
+    known = versions(spark, path)
+    return f"{path}/{known[0]}" if known else path
+
+
+def publish(spark: SparkSession, path: str, version: str) -> None:
+    """Make a written version the current one: one empty file whose name tells all, created in one step.
+
+    The version before stays for readers that still use it; older ones are removed.
+    """
+    fs, where = files(spark, f"{path}/{VERSIONS}")
+    fs.mkdirs(where)
+    numbers = sorted(s.getPath().getName() for s in fs.listStatus(where))
+    number = int(numbers[-1].split(".", 1)[0]) + 1 if numbers else 1
+    _, pointer = files(spark, f"{path}/{VERSIONS}/{number:012d}.{version}")
+    if not fs.createNewFile(pointer):
+        raise OSError(f"{path}: version {number} was published by another job")
+    in_use = {version, numbers[-1].split(".", 1)[1] if numbers else version}
+    for name in numbers[:-1]:
+        folder = name.split(".", 1)[1]
+        if folder not in in_use:
+            _, data = files(spark, f"{path}/{folder}")
+            fs.delete(data, True)
+        _, old = files(spark, f"{path}/{VERSIONS}/{name}")
+        fs.delete(old, False)
+    spark.catalog.refreshByPath(path)
+
+
+def new_version() -> str:
+    return f"{VERSION}{uuid.uuid4().hex}"
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(current(spark, path))
 
 
 def scan_tree(spark: SparkSession, path: str) -> DataFrame:
@@ -24,38 +68,30 @@ def scan_tree(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).parquet(path)
 
 
-def _files(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _files(spark, path)
-    return fs.exists(where)
+    """Is there a published version, or data written straight into the folder?"""
+    if versions(spark, path):
+        return True
+    fs, where = files(spark, path)
+    return fs.exists(where) and any(not s.getPath().getName().startswith(("_", VERSION)) for s in fs.listStatus(where))
 
 
 def replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write beside the table, then swap, so a table may be rebuilt from itself."""
-    spark = df.sparkSession
-    fresh = f"{path}.{uuid.uuid4().hex}"
-    _writer(df, partition_by).parquet(fresh)
-    fs, target = _files(spark, path)
-    _, staged = _files(spark, fresh)
-    if fs.exists(target):
-        fs.delete(target, True)
-    else:
-        fs.mkdirs(target.getParent())
-    if not fs.rename(staged, target):
-        raise OSError(f"could not put {fresh} in place of {path}")
-    spark.catalog.refreshByPath(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write a new version and publish it; until then, and after a failure, readers see the old one."""
+    spark, version = df.sparkSession, new_version()
+    _writer(df, partition_by).parquet(f"{path}/{version}")
+    publish(spark, path, version)
+    return spark.read.schema(df.schema).parquet(f"{path}/{version}")
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    _writer(df, partition_by, "append").parquet(path)
-    df.sparkSession.catalog.refreshByPath(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    if not versions(spark, path):
+        return replace(df, path, partition_by)
+    where = current(spark, path)
+    _writer(df, partition_by, "append").parquet(where)
+    spark.catalog.refreshByPath(where)
+    return spark.read.schema(df.schema).parquet(where)
 
 
 def _writer(df: DataFrame, partition_by: list[str] | None, mode: str = "errorifexists"):
@@ -81,6 +117,7 @@ def delete_where(spark: SparkSession, path: str, condition: Column, partition: s
 
     Of a partitioned table only the partitions that hold such rows are rewritten.
     """
+    path_now = current(spark, path)
     rows = scan(spark, path)
     gone = F.coalesce(condition, F.lit(False))
     if partition is None:
@@ -91,12 +128,12 @@ def delete_where(spark: SparkSession, path: str, condition: Column, partition: s
         kept = settle(rows.filter(key.isin(*touched) & ~gone), "kept")
         left = {r[0] for r in kept.select(partition).distinct().collect()}
         if left:
-            kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+            kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path_now)
         for value in set(touched) - left:
-            fs, where = _files(spark, f"{path}/{partition}={value}")
+            fs, where = files(spark, f"{path_now}/{partition}={value}")
             fs.delete(where, True)
-        spark.catalog.refreshByPath(path)
-    return spark.read.schema(rows.schema).parquet(path)
+        spark.catalog.refreshByPath(path_now)
+    return spark.read.schema(rows.schema).parquet(path_now)
 
 
 def mapped(df: DataFrame, mapping: dict[str, str], table: str | None = None) -> DataFrame:

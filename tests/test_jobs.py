@@ -1,15 +1,21 @@
 """Load jobs end to end: contents, marks, logs, and that a second run adds nothing."""
 
+import datetime as dt
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
+from salesmart import workspace
 from salesmart.catalog import roles as R
 from salesmart.catalog.checking import feeds
 from salesmart.contracts import CONTRACTS, conform, differences, guarded
 from salesmart.operators import quality as Q
+from salesmart.plans import dimensions as B
 from salesmart.plans import incremental as I
 from salesmart.plans import jobs as W
 from salesmart.sources import delimited as C
+from salesmart.sources import generators as G
 from salesmart.sources import tables as T
 from salesmart.workspace import run_dir
 
@@ -42,8 +48,8 @@ def test_mark_points_to_the_last_sale(house):
 
 def test_reload_adds_nothing(spark, sf, house):
     before = house.read("FactSales").count()
-    assert W.incremental_load(spark, R.sales_feed(spark, sf), house.root) == 0
-    assert W.incremental_load(spark, R.sales_feed(spark, sf), house.root) == 0
+    assert W.incremental_load(spark, feeds(spark, sf), house.root) == 0
+    assert W.incremental_load(spark, feeds(spark, sf), house.root, refresh=False) == 0
     assert house.read("FactSales").count() == before
 
 
@@ -152,3 +158,117 @@ def test_undefined_bytes_mean_latin1(spark, tmp_path):
     path = tmp_path / "latin.csv"
     path.write_bytes(b"n\nJo\xe3o \x81\n")
     assert C.detect_encoding(spark, str(path)) == C.LATIN1
+
+
+def sums(house):
+    """Facts by product code and date, as the dimensions show them."""
+    facts, products = house.read("FactSales"), house.read("DimProduct")
+    rows = facts.join(products, F.col("FK_Product") == F.col("SK_Product")).groupBy("CNP", "FK_Date").agg(F.count("*"), F.sum("Amount"))
+    return {tuple(r) for r in rows.collect()}
+
+
+def test_an_increment_keeps_what_stored_facts_point_to(spark, sf):
+    """New products with lower codes and later dates: old facts keep their code and their date."""
+    all_ = feeds(spark, sf)
+    code, early = F.regexp_extract("CNP", r"(\d+)", 1).cast("bigint"), F.col("Datetime").rlike("/199[0-6] ")
+    first = replace(all_, sales=all_.sales.filter(early), products=all_.products.filter(code % 2 == 1))
+    house = W.full_refresh(spark, first, run_dir(spark, "mart"), segmented=None)
+    before, keys, days = sums(house), house.read("DimProduct").select("CNP", "SK_Product").collect(), house.read("DimDate").count()
+    last = house.read("FactSales").agg(F.max("PK_SaleID")).first()[0]
+    later = all_.sales.filter(~early).withColumn("Sale ID", (F.col("Sale ID").cast("bigint") + last).cast("string"))
+    assert W.incremental_load(spark, replace(all_, sales=later), house.root) > 0
+    after = dict((r.CNP, r.SK_Product) for r in house.read("DimProduct").collect())
+    assert all(after[r.CNP] == r.SK_Product for r in keys) and len(after) == len(set(after.values())) > len(keys)
+    assert before <= sums(house)
+    dates = house.read("DimDate")
+    assert dates.count() > days and house.read("FactSales").join(dates, F.col("FK_Date") == F.col("SK_Date"), "left_anti").count() == 0
+    # A batch of a few days does not make the calendar shorter.
+    few = all_.sales.filter(F.col("Datetime").rlike("/2000 ")).limit(3).withColumn("Sale ID", F.lit("99999999"))
+    W.incremental_load(spark, replace(all_, sales=few), house.root)
+    assert house.read("DimDate").count() == dates.count()
+
+
+def test_a_failed_refresh_leaves_the_old_mart(spark, sf, house):
+    before, log = house.read("FactSales").count(), house.read("LoadLog").count()
+    with pytest.raises(Q.CheckFailed):
+        W.full_refresh(spark, replace(feeds(spark, sf), sales=R.sales_feed(spark, sf).limit(0)), house.root, R.bounds(spark, sf))
+    assert house.read("FactSales").count() == before > 0 and house.mart()["DimProduct"].count() > 1
+    failed = house.read("LoadLog").filter("Status = 'Failed'").collect()
+    assert [r.ActivityName for r in failed] == ["check facts"] and house.read("LoadLog").count() > log + 1
+
+
+def test_jobs_leave_no_intermediate_tables(spark, sf):
+    made = []
+    original = workspace.run_dir
+
+    def noted(spark, purpose):
+        made.append(original(spark, purpose))
+        return made[-1]
+
+    root = run_dir(spark, "mart")
+    workspace.run_dir = noted
+    try:
+        W.full_refresh(spark, feeds(spark, sf), root, segmented=None)
+        W.incremental_load(spark, feeds(spark, sf), root)
+    finally:
+        workspace.run_dir = original
+    assert made and not any(T.exists(spark, p) for p in made)
+
+
+def test_a_refresh_reads_the_sales_feed_once(spark, sf, tmp_path):
+    path = str(tmp_path / "sales")
+    R.sales_feed(spark, sf).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    feed = spark.read.parquet(path)
+    W.full_refresh(spark, replace(feeds(spark, sf), sales=feed.mapInArrow(counted, feed.schema)), run_dir(spark, "mart"))
+    assert reads.value == feed.count()
+
+
+def test_the_mark_does_not_read_the_facts(spark):
+    house = W.Warehouse(spark, run_dir(spark, "mart"))
+    T.replace(conform(G.first_watermark(spark, I.PROCESS), "Watermark"), house.path("Watermark"))
+    rows = spark.sql("SELECT TIMESTAMP_NTZ '2020-01-02 00:00:00' AS SourceSaleDateTime, 5L AS PK_SaleID")
+    house.advance_mark(rows)  # there is no fact table at all
+    house.advance_mark(rows.withColumn("SourceSaleDateTime", F.expr("TIMESTAMP_NTZ '2019-01-01 00:00:00'")))
+    assert I.mark_row(house.read("Watermark")).first().LastSaleID == 5
+
+
+def test_versions(spark):
+    path = run_dir(spark, "v")
+    for n in (1, 2, 3, 4):
+        T.replace(spark.range(n), path)
+    assert T.scan(spark, path).count() == 4 and len(T.versions(spark, path)) == 2
+    old = T.scan(spark, path)
+    T.replace(spark.range(9), path)
+    assert old.count() == 4 and T.scan(spark, path).count() == 9
+    T.publish(spark, path, T.versions(spark, path)[1])
+    assert T.scan(spark, path).count() == 4
+
+
+def test_a_calendar_is_not_made_of_a_mistyped_year(spark):
+    with pytest.raises(Exception, match="too long"):
+        B.build_date(G.fixed_bounds(spark, dt.date(1998, 1, 1), dt.date(9998, 1, 1))).count()
+
+
+def test_files_of_a_folder_must_agree(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\nthree,four\n")
+    with pytest.raises(Exception):
+        C.read_headered(spark, str(tmp_path)).collect()
+    parts = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+    rows = C.read_parts(spark, parts, encoding=C.UTF8, origin=True).orderBy("Source", "Row")
+    assert [(r.x, r.y, r.Source) for r in rows.collect()] == [("1", "2", 0), ("four", "three", 1)]
+
+
+def test_first_file_wins(spark, tmp_path):
+    head = "Pharmacy ID,Nome da farmácia,Localização\n"
+    (tmp_path / "a.csv").write_text(head + "1,Zeta,1\n1,Eta,1\n2,Beta,1\n")
+    (tmp_path / "b.csv").write_text(head + "1,Alpha,1\n2,Aa,1\n3,Gamma,1\n")
+    feed = C.read_parts(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], encoding=C.UTF8, origin=True)
+    assert {r.SK_Pharmacy: r.PharmacyName for r in B.build_pharmacy(feed).collect()} == {1: "Zeta", 2: "Beta", 3: "Gamma"}
