@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -105,9 +106,9 @@ def running(
     )
 
 
-def spread_for(rows: int, each: int = 4096) -> int:
-    """Hash buckets for ``running``, so that one holds about ``each`` rows."""
-    return 1 + rows // each
+def spread_for(rows: int) -> int:
+    """Hash buckets for ``running``: as many as rows in one, so that neither step has a long window."""
+    return 1 + math.isqrt(rows)
 
 
 SPACE = re.compile(rb"[\x20\x09-\x0D]")

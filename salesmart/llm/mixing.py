@@ -44,8 +44,8 @@ ROUNDS = 16
 
 #: Cells of the unit interval, to find the source of a draw by an equality join.
 CELLS = 1024
-#: Slots that one row of a plan grows into.
-CHUNK = 1 << 14
+#: Slots that one row of a plan, and about one task, grows into.
+CHUNK = 1 << 16
 
 KEY = ["doc_id", "src", "text_hash"]
 
@@ -136,7 +136,9 @@ def slots(spark, sources: DataFrame, *, shard: int = SHARD, most: int = MOST, se
     extra = running(drawn, ["src"], ["out_shard", "draw"], {"rank": F.lit(1)}, spread).join(shared, "src")
     extra = extra.select("out_shard", "src", "blocks", (F.lit(shards) * F.col("base") + F.col("rank")).alias("j"))
     chunks = shared.select("src", "blocks", "base", (F.lit(shards) * F.col("base")).cast("bigint").alias("n"))
-    chunks = chunks.select("*", _explode_upto(F.col("n"), CHUNK).alias("chunk")).repartition("src", "chunk")
+    chunks = chunks.select("*", _explode_upto(F.col("n"), CHUNK).alias("chunk"))
+    # A number of partitions keeps Spark from merging rows that are still few and small.
+    chunks = chunks.repartition(1 + shards * shard // CHUNK, "src", "chunk")
     steady = chunks.select("*", _explode_upto(F.least(F.col("n") - F.col("chunk"), F.lit(CHUNK))).alias("k"))
     steady = steady.withColumn("j", F.col("chunk") + F.col("k"))
     steady = steady.select(F.floor(F.col("j") / F.col("base")).cast("bigint").alias("out_shard"), "src", "blocks", "j")
