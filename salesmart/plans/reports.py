@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.numbers import safe_divide
@@ -62,10 +62,10 @@ def by_generic_label(mart: M.Mart, ctx: M.FilterContext) -> DataFrame:
 
 
 def generic_share(mart: M.Mart, ctx: M.FilterContext) -> DataFrame:
+    """Shares of the handful of labels in their own sum."""
     rows = by_generic_label(mart, ctx).select("GenericLabel", M.AMOUNT)
-    whole = rows.agg(F.sum(M.AMOUNT).alias("AllAmount"))
-    share = safe_divide(F.col(M.AMOUNT).cast("double"), F.col("AllAmount").cast("double"))
-    return beside(rows, whole).withColumn("ShareOfTotal", share).drop("AllAmount")
+    whole = F.sum(M.AMOUNT).over(Window.partitionBy())
+    return rows.withColumn("ShareOfTotal", safe_divide(F.col(M.AMOUNT).cast("double"), whole.cast("double")))
 
 
 PRODUCT_LEVELS = ["Manufacturer", "Brand", "ProductName"]
@@ -142,26 +142,43 @@ def segment_scatter(mart: M.Mart, ctx: M.FilterContext) -> DataFrame:
 
 
 def quarter_view(mart: M.Mart, ctx: M.FilterContext, quarter: tuple[dt.date, dt.date] = QUARTER_VIEW) -> DataFrame:
-    """Saved view on one quarter: current, prior and growth by month."""
-    rows = M.with_growth(M.sales_with_prior(mart, ctx.within(*quarter), MONTHS))
-    return rows.orderBy("Year", "Month")
+    """Saved view on one quarter: the table by month, the growth card and the yearly indicator, from one scan."""
+    months = [c for _, c in MONTHS]
+    sums = [F.sum(c).alias(c) for c in (M.AMOUNT, M.QTY, M.PRIOR_AMOUNT, M.PRIOR_QTY)]
+    monthly = M.sales_with_prior(mart, ctx.within(*quarter), MONTHS)
+    levels = monthly.groupingSets([[*map(F.col, months)], [F.col("Year")], []], *map(F.col, months)).agg(
+        *sums, F.grouping("Month").alias("_month"), F.grouping("Year").alias("_year")
+    )
+    visual = F.when(F.col("_year") == 1, "Growth card").when(F.col("_month") == 1, "Yearly indicator").otherwise("Month")
+    rows = M.with_year_over_year(M.with_growth(levels.withColumn("Visual", visual)))
+    return rows.drop("_month", "_year").orderBy("Visual", "Year", "Month")
 
 
 def district_view(mart: M.Mart, ctx: M.FilterContext, selection: tuple[str, str, str] = DISTRICT_VIEW) -> DataFrame:
-    """Saved view on one district: municipality, point of sale and pharmacy totals side by side."""
-    chosen = ctx.selecting(*selection)
+    """Saved view on one district: municipality, point of sale and pharmacy totals side by side, from one scan."""
+    # The names of the visuals.
+    visuals = {"Municipality": "Municipality", "POSName": "Point of sale", "PharmacyName": "Pharmacy"}
+    by = (("DimLocation", "Municipality"), ("DimPOS", "POSName"), ("DimPharmacy", "PharmacyName"))
+    rows = M.sales(mart, ctx.selecting(*selection), by)
+    sets = rows.groupingSets([[F.col(c)] for c in visuals], *map(F.col, visuals)).agg(
+        F.sum(M.AMOUNT).alias(M.AMOUNT), *(F.grouping(c).alias(f"_{c}") for c in visuals)
+    )
 
-    def part(rows: DataFrame, label: str, name: str) -> DataFrame:
-        return rows.select(F.lit(name).alias("Visual"), F.col(label).alias("Label"), M.AMOUNT)
+    def of(value) -> Column:
+        return F.coalesce(*(F.when(F.col(f"_{c}") == 0, value(c)) for c in visuals))
 
-    return (
-        part(by_municipality(mart, chosen), "Municipality", "Municipality")
-        .unionByName(part(by_pos(mart, chosen), "POSName", "Point of sale"))
-        .unionByName(part(by_pharmacy(mart, chosen), "PharmacyName", "Pharmacy"))
-    )
+    shown = sets.select(of(lambda c: F.lit(visuals[c])).alias("Visual"), of(F.col).alias("Label"), M.AMOUNT, "_POSName")
+    # A point of sale without sales is not shown.
+    return shown.filter((F.col("_POSName") == 1) | F.col(M.AMOUNT).isNotNull()).drop("_POSName")
 
 
 def segment_view(mart: M.Mart, ctx: M.FilterContext, selection: tuple[str, str, str] = SEGMENT_VIEW) -> DataFrame:
-    """Saved view on one segment: its pharmacies with their facts and the segment's mean share."""
+    """Saved view on one segment: its pharmacies with their facts, its mean branded share and its behaviour."""
     chosen = ctx.selecting(*selection)
-    return beside(segment_table(mart, chosen), branded_share_card(mart, chosen))
+    means = _segments(mart, chosen).agg(
+        *(F.avg(c).alias(out) for c, out in (
+            ("BrandedSalesShare", "AvgBrandedSalesShare"), ("MonthlySalesIntensity", "AvgMonthlySalesIntensity"),
+            ("AvgTransactionAmount", "AvgTransactionAmount"),
+        ))
+    )
+    return beside(segment_table(mart, chosen), means)

@@ -84,3 +84,15 @@ def test_z_scores_use_population_deviation(published):
 def test_too_few_entities(published):
     with pytest.raises(P.TooFewEntities):
         P.segment(published.limit(2))
+
+
+def test_segments_do_not_depend_on_the_partitioning(published):
+    def labels(parts):
+        z = P.scaled(published.repartition(parts))
+        rows = P.best_kmeans(z).transform(z).select("PharmacyID", "ClusterID").collect()
+        by = {}
+        for r in rows:
+            by.setdefault(r.ClusterID, set()).add(r.PharmacyID)
+        return sorted(map(sorted, by.values()))
+
+    assert labels(1) == labels(8)
