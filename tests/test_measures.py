@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from salesmart.catalog import roles as R
 from salesmart.operators.grouping import drill
 from salesmart.plans import dimensions as B
 from salesmart.plans import measures as M
@@ -129,3 +130,45 @@ def test_date_bounds_reach_the_scan(spark, sf):
     query = M.sales(R.mart(spark, sf), R.REPORT)
     plan = spark._jvm.PythonSQLUtils.explainString(query._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(l_shipdate,1996-01-01T00:00)" in plan and "LessThan(l_shipdate,2001-07-01T00:00)" in plan
+
+
+@pytest.fixture(scope="module")
+def stored(spark, sf, tmp_path_factory):
+    """The star over the test tables, with its facts in a folder that plans can name."""
+    whole = R.mart(spark, sf, "DimTime", "DimProduct", "DimPharmacy", "DimLocation", "DimOperator", "DimPOS")
+    path = str(tmp_path_factory.mktemp("stored") / "factsales")
+    whole.facts.write.parquet(path)
+    return M.Mart(spark.read.parquet(path), whole.tables)
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("/factsales]")
+
+
+def test_facts_are_scanned_once(stored):
+    ctx, district = R.REPORT, R.REPORT.selecting("DimLocation", "District", "ASIA")
+    views = [
+        V.kpi_cards(stored, ctx), V.kpi_cards(stored, district), V.generic_share(stored, ctx), V.quarter_view(stored, ctx, R.QUARTER),
+        V.district_view(stored, ctx, ("DimLocation", "District", "AFRICA")), M.sales(stored, ctx, (("DimPharmacy", "PharmacyName"),)),
+    ]
+    assert [scans(v) for v in views] == [1] * len(views)
+    assert scans(M.shares(stored, ctx, (("DimPharmacy", "PharmacyName"),))) == 0  # they are read when the totals are written
+
+
+def test_several_large_keys_are_not_added_up_first(stored):
+    by = (("DimProduct", "Manufacturer"), ("DimPharmacy", "PharmacyName"), ("DimTime", "DayPeriod"))
+    plan = M.sales(stored, M.FilterContext(), by)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1
+    one = M.sales(stored, M.FilterContext(), by[1:])._jdf.queryExecution().optimizedPlan().toString()
+    assert one.count("Aggregate [") == 2
+
+
+def test_minutes_select_and_label(stored):
+    by = (("DimTime", "DayPeriod"),)
+    whole = {r.DayPeriod: r.TotalSalesAmount for r in M.sales(stored, M.FilterContext(), by).collect()}
+    assert len(whole) > 1
+    for period, amount in whole.items():
+        ctx = M.FilterContext().selecting("DimTime", "DayPeriod", period)
+        assert M.sales(stored, ctx).first().TotalSalesAmount == amount
+        assert M.share_card(stored, ctx).first().SalesAmountShare == pytest.approx(float(amount) / float(sum(whole.values())))
+        assert M.sales_with_prior(stored, ctx, by).first().TotalSalesAmount == amount
