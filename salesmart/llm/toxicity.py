@@ -46,7 +46,7 @@ WIDTHS = (1, 2, 3)
 STEPS = 400
 BATCH = 64
 #: Words whose projections a worker keeps.
-KEPT = 250_000
+KEPT = 100_000
 
 #: Frequent function words that tell the languages apart.
 FUNCTION_WORDS = {
@@ -244,9 +244,8 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7, steps: int = STEPS)
             steppers, (filters, bias, weights, offset), (to_filters, to_pooled.sum(axis=0), hidden.T @ slope, np.array([slope.sum()])), strict=True
         ):
             stepper.step(values, s + 1e-4 * values)
-    order = np.concatenate([np.arange(c * FILTERS, (c + 1) * FILTERS) for c in range(len(spans))])
     return Model(
-        embeddings.astype(np.float32), filters[:, order].astype(np.float32), bias.astype(np.float32), weights.astype(np.float32),
+        embeddings.astype(np.float32), filters.astype(np.float32), bias.astype(np.float32), weights.astype(np.float32),
         float(offset[0]), np.zeros(len(LANGUAGES), np.float32),
     )
 
