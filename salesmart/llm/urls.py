@@ -143,6 +143,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_
         .select("host", "path", F.when(F.col("best.host_rule"), F.col("best.rule")).alias("rule"), F.col("best.verdict").alias("verdict")),
         "verdicts",
     )
-    return rows.join(best, ["host", "path"], "left").select(
+    # There is a verdict per URL that a rule fits, so this side grows with the pages and is never broadcast.
+    return rows.join(best.hint("merge"), ["host", "path"], "left").select(
         "page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(ALLOW)).alias("verdict")
     )
