@@ -22,7 +22,10 @@ documents are ignored; ``pack`` keeps all columns of its pieces.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
+from itertools import accumulate, chain
+from string import punctuation
 from zlib import crc32
 
 import numpy as np
@@ -38,25 +41,59 @@ CLOSING = 0
 GROUP = 4096
 VOCABULARY = "word_bpe_49k.json"
 
-#: Words and word stems whose ids a worker keeps.
-WORDS = 400_000
-STEMS = 700_000
-ENDS = ".,;:!?"  # of plain words
+#: Words whose ids a worker keeps (up to twice as many for a while), and bytes of text that are looked up at a time.
+WORDS = 350_000
+BLOCK = 1_000_000
+ENDS = punctuation.encode()  # of plain words
+#: Punctuation before a final mark belongs to it.
+RUNS = re.compile(rb"[!-/:-@\[-`{-~][.,][\x20\n]")
+ENDED = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D])")
 
 
 # ---- ids -----------------------------------------------------------------------------------
 
 
-def _ids(tokenizer, words: list[str]) -> list[bytes]:
-    """Little-endian 32-bit ids of each word."""
-    found = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-    ids = np.array(found.ids, "<u4")
-    edges = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1))
-    return [ids[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+def _split(ids: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    return [ids[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
-class Encoder(dict):
-    """Maps words (UTF-8) to their ids; unknown words are encoded together.
+def simpler(text: bytes) -> bytes:
+    """A text of the same ids with fewer different words.
+
+    ASCII letters in lower case, and a comma or full stop that stands alone at
+    the end of a word set apart, as the tokenizer does both.  A text that may
+    spell a special token stays as it is.
+    """
+    if b"<|" in text:
+        return text
+    text = text.lower()
+    if text.isascii() and not RUNS.search(text):
+        for mark in (b".", b","):
+            for space in (b" ", b"\n"):
+                text = text.replace(mark + space, b" " + mark + space)
+        return text
+    return ENDED.sub(rb" \1", text)
+
+
+class Kept:
+    """About ``most`` entries; when they are full, those not asked for since the last time go."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.older = most, {}, {}
+
+    def missing(self, keys: set) -> set:
+        """Which keys have no entry; all others are in ``now`` afterwards."""
+        if len(self.now) + len(keys) > self.most:
+            self.now, self.older = {}, self.now
+        fresh = keys.difference(self.now)
+        unknown = fresh.difference(self.older)
+        older = self.older
+        self.now.update((k, older[k]) for k in fresh - unknown)
+        return unknown
+
+
+class Encoder:
+    """Ids of words (UTF-8); unknown words are encoded together.
 
     A plain word is letters and perhaps closing punctuation.  The tokenizer
     puts text into composed form and lower case and splits letters from
@@ -64,45 +101,83 @@ class Encoder(dict):
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.stems: dict[str, bytes] = {"": b""}
+        # Stems and ends are already as the tokenizer would make them, so the merges alone are left to do.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.words = Kept(WORDS)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
 
     @staticmethod
-    def parts(word: str) -> tuple[str, str]:
-        """Stem and end of a plain word; else the word and nothing."""
+    def parts(word: bytes) -> tuple[bytes, bytes] | None:
+        """Stem and end of a plain word."""
         stem = word.rstrip(ENDS)
-        low = stem.lower()
-        composed = stem.isascii() or unicodedata.is_normalized("NFC", stem) and unicodedata.is_normalized("NFC", low)
+        if stem.isalpha():  # ASCII letters only
+            return stem.lower(), word[len(stem) :]
+        text = stem.decode()
+        low = text.lower()
+        composed = unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low)
         # Python lowers a final capital sigma by its place, the tokenizer does not.
-        return (low, word[len(stem) :]) if composed and stem.isalpha() and "\u03a3" not in stem else (word, "")
+        plain = composed and text.isalpha() and low.isalpha() and "\u03a3" not in text
+        return (low.encode(), word[len(stem) :]) if plain else None
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each of some words."""
+        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        edges = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1))
+        return _split(np.array(found.ids, "<u4"), edges)
+
+    def _plain_ids(self, parts: list[bytes]) -> list[bytes]:
+        """The same for stems and ends, which all close with the first token that closes a word."""
+        ids = np.array(self.merges.encode_batch_fast([b" ".join(parts).decode()], add_special_tokens=False)[0].ids, "<u4")
+        edges = np.concatenate([[0], np.flatnonzero(self.closes[ids]) + 1])
+        if len(edges) != len(parts) + 1:
+            raise ValueError("the vocabulary does not close each word with a token that ends in </w>")
+        return _split(ids, edges)
 
     def learn(self, words: set[bytes]) -> None:
-        fresh = words.difference(self)
-        if len(self) + len(fresh) > WORDS:
-            self.clear()
-            fresh = words
-        cut = {w: self.parts(w.decode()) for w in fresh}
-        new = {p for pair in cut.values() for p in pair}.difference(self.stems)
-        if len(self.stems) + len(new) > STEMS:
-            self.stems = {"": b""}
-            new = {p for pair in cut.values() for p in pair if p}
-        if new:
-            new = list(new)
-            self.stems.update(zip(new, _ids(self.tokenizer, new), strict=True))
-        self.update((w, self.stems[a] + self.stems[b]) for w, (a, b) in cut.items())
-
-    def encode(self, text: bytes) -> bytes:
-        """Ids of a whole text, in blocks of words that the tables hold."""
-        out = []
-        for words in word_blocks(text, 2 * WORDS):
-            if not all(map(self.__contains__, words)):
-                self.learn(set(words))
-            out.append(b"".join(map(self.__getitem__, words)))
-        return b"".join(out)
+        """Give each of the words an entry."""
+        fresh = self.words.missing(words)
+        now = self.words.now
+        stems = [w for w in fresh if w.isalpha() and w.islower()]  # most are stems as they are
+        if stems:
+            now.update(zip(stems, self._plain_ids(stems), strict=True))
+            fresh.difference_update(stems)
+        cut = {w: self.parts(w) for w in fresh}
+        odd = [w for w, pair in cut.items() if pair is None]
+        if odd:
+            now.update(zip(odd, self._ids([w.decode() for w in odd]), strict=True))
+        parts = set(chain.from_iterable(pair for pair in cut.values() if pair))
+        parts.discard(b"")
+        if parts:
+            parts = list(parts)
+            ids = dict(zip(parts, self._plain_ids(parts), strict=True))
+            now.update((w, ids[p[0]] + ids[p[1]] if p[1] else ids[p[0]]) for w, p in cut.items() if p)
+
+    def look_up(self, words: list[bytes]) -> list[bytes]:
+        found = list(map(self.words.now.get, words))
+        unknown = [k for k, ids in enumerate(found) if ids is None]
+        self.learn({words[k] for k in unknown})
+        now = self.words.now
+        for k in unknown:
+            found[k] = now[words[k]]
+        return found
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of whole texts; a long text is taken in blocks."""
+        texts = list(map(simpler, texts))
+        if sum(map(len, texts)) <= BLOCK:
+            lists = [t.split() for t in texts]
+            found, ends = self.look_up(list(chain.from_iterable(lists))), [0, *accumulate(map(len, lists))]
+            return [b"".join(found[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return [b"".join(b"".join(self.look_up(words)) for words in word_blocks(text, BLOCK)) for text in texts]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -121,10 +196,10 @@ def piece_batches(batches, vocabulary, length, closing, keep_ids):
     encode, end = encoder(vocabulary).encode, np.array([closing], "<u4").tobytes()
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
-        for first in range(0, len(texts), 512):
+        for first in range(0, len(texts), 128):
             rows, piece, start, size, crc, ids = [], [], [], [], [], []
-            for row in range(first, min(first + 512, len(texts))):
-                data = encode(texts[row].as_py()) + end
+            for row, data in enumerate(encode(texts.slice(first, 128).to_pylist()), first):
+                data += end
                 for number, at in enumerate(range(0, len(data), 4 * length)):
                     part = data[at : at + 4 * length]
                     rows.append(row)

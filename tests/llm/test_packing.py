@@ -47,18 +47,20 @@ def test_query(spark, sf):
 
 WORDS = [
     "don't", "Ünïcode", "é", "ÉCOLE.", "word,", "Word", "ΣΑΣ", "x2", "...", "a.b", "<|endoftext|>", "<|endoftext|>.", "\x85", "a b",
-    "İstanbul", "naïve!?", "éa", "日本語", "it's", "'re", "½", "ﬁn", "\x1cq", "ǅ", "ẞ.", "१२", "🙂", "a" * 300, "​z",
+    "İstanbul", "naïve!?", "éa", "日本語", "it's", "'re", "½", "ﬁn", "\x1cq", "ǅ", "ẞ.", "१२", "🙂", "a" * 300, "​z", "word'", "word***", "Word_", "x's'", "#a", "a'll.", "..", ".,", "a.", "b,", "9.", "end...", "(x).", ",", "“q”.",
 ]
 
 
 def test_ids_are_the_tokenizers(monkeypatch):
-    monkeypatch.setattr(packing, "WORDS", 64)
-    monkeypatch.setattr(packing, "STEMS", 20)
+    """Also with tables and blocks so small that they are full all the time."""
+    for name, value in (("WORDS", 12), ("BLOCK", 4)):
+        monkeypatch.setattr(packing, name, value)
     rng = random.Random(1)
-    encode = packing.encoder(packing.VOCABULARY).encode
-    for _ in range(60):
-        text = "".join(rng.choice(WORDS) + rng.choice([" ", "\n", "\t ", "\x0b"]) for _ in range(rng.randrange(40)))
-        assert np.frombuffer(encode(text.encode()), "<u4").tolist() == ids_of(text)[:-1]
+    encode = packing.Encoder(public_tokenizers.path(packing.VOCABULARY)).encode
+    ascii_words = [w for w in WORDS if w.isascii() and "<" not in w]
+    for k in range(120):
+        texts = ["".join(rng.choice(WORDS if k % 2 else ascii_words) + rng.choice([" ", "\n", "\t ", "\x0b"]) for _ in range(rng.randrange(40))) for _ in range(3)]
+        assert [np.frombuffer(e, "<u4").tolist() for e in encode([t.encode() for t in texts])] == [ids_of(t)[:-1] for t in texts]
 
 
 def test_edge_cases_and_sequences(spark):
