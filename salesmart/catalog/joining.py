@@ -111,22 +111,33 @@ def profile_to_members(spark, sf):
 
 
 @query("e09_star_join", R.sql("""
-SELECT "Year", DayPeriod, Manufacturer, dpharmacy.PharmacyName, District, "Role", POSName, SegmentLabel,
+SELECT "Year", DayPeriod, Manufacturer, PharmacyName, District, "Role", POSName,
   CAST(sum(Amount) AS DOUBLE) AS TotalSalesAmount, CAST(sum(Qty) AS BIGINT) AS TotalQuantity
-FROM fact JOIN ddate ON FK_Date = SK_Date LEFT JOIN dtime ON FK_Time = SK_Time LEFT JOIN dproduct ON FK_Product = SK_Product
+FROM fact LEFT JOIN ddate ON FK_Date = SK_Date LEFT JOIN dtime ON FK_Time = SK_Time LEFT JOIN dproduct ON FK_Product = SK_Product
   LEFT JOIN dpharmacy ON FK_Pharmacy = SK_Pharmacy LEFT JOIN dlocation ON fact.FK_Location = SK_Location
   LEFT JOIN doperator ON FK_Operator = SK_Operator LEFT JOIN dpos ON FK_POS = SK_POS
-  LEFT JOIN (SELECT PharmacyID, SegmentLabel FROM segments) ON FK_Pharmacy = PharmacyID
-WHERE ddate.FullDate >= DATE '1993-01-01' AND ddate.FullDate < DATE '2100-01-01'
-GROUP BY 1, 2, 3, 4, 5, 6, 7, 8""", "fact", "ddate", "dtime", "dproduct", "dpharmacy", "dlocation", "doperator", "dpos", "segments"))
+GROUP BY 1, 2, 3, 4, 5, 6, 7""", "fact", "ddate", "dtime", "dproduct", "dpharmacy", "dlocation", "doperator", "dpos"))
 def star_join(spark, sf):
-    """All seven dimensions, the segments and the slicer at once."""
-    mart = R.mart(spark, sf, "DimTime", "DimProduct", "DimPharmacy", "DimLocation", "DimOperator", "DimPOS", "PharmacySegmentation")
+    """All seven dimensions at once."""
+    mart = R.mart(spark, sf, "DimTime", "DimProduct", "DimPharmacy", "DimLocation", "DimOperator", "DimPOS")
     by = (
         ("DimDate", "Year"), ("DimTime", "DayPeriod"), ("DimProduct", "Manufacturer"), ("DimPharmacy", "PharmacyName"),
-        ("DimLocation", "District"), ("DimOperator", "Role"), ("DimPOS", "POSName"), ("PharmacySegmentation", "SegmentLabel"),
+        ("DimLocation", "District"), ("DimOperator", "Role"), ("DimPOS", "POSName"),
     )
-    return M.sales(mart, M.FilterContext().within(dt.date(1993, 1, 1), dt.date(2100, 1, 1)), by)
+    return M.sales(mart, M.FilterContext(), by)
+
+
+@query("e09_star_join_of_segments", R.sql("""
+SELECT "Year", SegmentLabel, dpharmacy.PharmacyName, CAST(sum(Amount) AS DOUBLE) AS TotalSalesAmount, CAST(sum(Qty) AS BIGINT) AS TotalQuantity
+FROM fact JOIN ddate ON FK_Date = SK_Date LEFT JOIN dpharmacy ON FK_Pharmacy = SK_Pharmacy
+  LEFT JOIN (SELECT PharmacyID, SegmentLabel FROM segments) ON FK_Pharmacy = PharmacyID
+WHERE ddate.FullDate >= DATE '1993-01-01' AND ddate.FullDate < DATE '1999-01-01'
+GROUP BY 1, 2, 3""", "fact", "ddate", "dpharmacy", "segments"))
+def star_join_of_segments(spark, sf):
+    """The other two links: segments by pharmacy, and the slicer by date."""
+    mart = R.mart(spark, sf, "DimPharmacy", "PharmacySegmentation")
+    by = (("DimDate", "Year"), ("PharmacySegmentation", "SegmentLabel"), ("DimPharmacy", "PharmacyName"))
+    return M.sales(mart, M.FilterContext().within(dt.date(1993, 1, 1), dt.date(1999, 1, 1)), by)
 
 
 @query("e10_two_way_filter", R.sql("""

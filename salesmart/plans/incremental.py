@@ -5,15 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.contracts import CONTRACTS, conform
+from salesmart.contracts import conform
 from salesmart.functions.dates import to_second
 from salesmart.operators.filters import INSERT_REQUIRED, above_mark, above_pair, complete
 from salesmart.operators.grouping import last_row
 from salesmart.operators.lookups import new_rows
-from salesmart.sources.generators import literal
 
 PROCESS = "Load_FactSales"
 FIRST = dt.datetime(1900, 1, 1)
@@ -99,9 +98,9 @@ def next_mark(loaded: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     )
 
 
-def log_row(
-    spark: SparkSession, run: str, job: str, step: str, table: str | None, rows: int | None,
-    started: dt.datetime, status: str = "Succeeded", error: str | None = None,
-) -> DataFrame:
-    values = (run, job, step, table, rows, 0, status, error, started, dt.datetime.now())
-    return literal(spark, [values], CONTRACTS["LoadLog"])
+def log_line(
+    run: str, job: str, step: str, table: str | None, rows: int | None, started: dt.datetime,
+    status: str = "Succeeded", error: str | None = None,
+) -> tuple:
+    """A row of the run log."""
+    return (run, job, step, table, rows, 0, status, error, started, dt.datetime.now())

@@ -62,6 +62,7 @@ class Warehouse:
     root: str
     run: str = field(default_factory=lambda: uuid.uuid4().hex)
     draft: str | None = None
+    lines: list[tuple] | None = None
 
     def path(self, table: str) -> str:
         if table == "LoadLog":
@@ -119,8 +120,25 @@ class Warehouse:
         return done["rows"]
 
     def log(self, job, step, table, rows, started, status="Succeeded", error=None) -> None:
-        line = I.log_row(self.spark, self.run, job, step, table, rows, started, status, error)
-        T.append(line.coalesce(1), self.path("LoadLog"))
+        line = I.log_line(self.run, job, step, table, rows, started, status, error)
+        if self.lines is None:
+            self._append_log([line])
+        else:
+            self.lines.append(line)
+
+    def _append_log(self, lines: list[tuple]) -> None:
+        T.append(literal(self.spark, lines, CONTRACTS["LoadLog"]).coalesce(1), self.path("LoadLog"))
+
+    @contextlib.contextmanager
+    def logged(self) -> Iterator[None]:
+        """Write the log's lines of a job together when it ends, well or not, instead of a file for each."""
+        self.lines = []
+        try:
+            yield
+        finally:
+            lines, self.lines = self.lines, None
+            if lines:
+                self._append_log(lines)
 
     def counts(self, tables: tuple[str, ...]) -> DataFrame:
         return row_counts({t: self.read(t) for t in tables})
@@ -193,7 +211,7 @@ def full_refresh(
     leaves the segments out.
     """
     job, house = "full_refresh", Warehouse(spark, root, draft=T.new_version())
-    with scratch(spark):
+    with house.logged(), scratch(spark):
         with house.step(job, "clear"):
             for table in ("FactSales", *DIMENSIONS):
                 house.clear(table)
@@ -230,7 +248,7 @@ def incremental_load(
     of its id alone; rows at or below it that are not stored yet stay out.
     """
     job, house = "incremental_load", Warehouse(spark, root)
-    with scratch(spark):
+    with house.logged(), scratch(spark):
         mark = I.read_mark(house.read("Watermark"), composite)
         house.clear("FactSales_IncrementalBatch")
         later = feeds.sales
