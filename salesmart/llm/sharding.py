@@ -10,9 +10,11 @@ packs them and their places may be broadcast.
 
 Items by decreasing size enter the bin with the tightest room that still takes
 them, found in a balanced tree of bins by room.  With a ``capacity`` this gives
-few shards; with a number of ``shards`` the smallest capacity that needs no
-more is sought, which makes their sizes nearly equal.  A single group larger
-than an even shard cannot be split and makes its shard as large as itself.
+few shards.  With a number of ``shards``, each group above the even share of
+what is left gets a shard of its own, as it cannot be split; for the others the
+smallest capacity that needs no more than the other shards is sought, which
+makes their sizes nearly equal.  Shards stay empty only where there are fewer
+groups than shards.
 
 Null text has no bytes and is grouped with empty text.  Repeated rows are rows
 of one group.  An empty table gives an empty result.  Other columns, whatever
@@ -95,8 +97,29 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
     return place
 
 
+def above_even(sizes: list[int], total: int, shards: int) -> tuple[int, int]:
+    """How many of ``sizes`` (decreasing) exceed the even share of what is left, and the total without them."""
+    own = 0
+    while own < min(len(sizes), shards - 1) and sizes[own] * (shards - own) > total:
+        total, own = total - sizes[own], own + 1
+    return own, total
+
+
 def fewest_bytes(sizes: list[int], shards: int, precision: float = PRECISION) -> list[int]:
-    """Best fit with the smallest capacity found that needs at most ``shards`` bins."""
+    """Groups above the even share of what is left get a bin each; the others share the other bins evenly."""
+    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
+    own, _ = above_even([sizes[i] for i in order[:shards]], sum(sizes), shards)
+    place = [0] * len(sizes)
+    for number, i in enumerate(order[:own]):
+        place[i] = number
+    rest = order[own:]
+    for i, b in zip(rest, smallest_capacity([sizes[i] for i in rest], shards - own, precision), strict=True):
+        place[i] = own + b
+    return place
+
+
+def smallest_capacity(sizes: list[int], shards: int, precision: float = PRECISION) -> list[int]:
+    """Best fit with the smallest capacity found that needs at most ``shards`` bins; with enough items no bin is empty."""
     low = max([-(-sum(sizes) // shards), *sizes])
     high, step = low, max(1, int(low * precision))
     best = best_fit_decreasing(sizes, high)
@@ -111,7 +134,29 @@ def fewest_bytes(sizes: list[int], shards: int, precision: float = PRECISION) ->
             best, high = place, middle
         else:
             low = middle + 1
-    return best
+    return all_used(sizes, best, shards)
+
+
+def all_used(sizes: list[int], place: list[int], shards: int) -> list[int]:
+    """Halve the fullest bin of several items for each empty one, which few and coarse items may leave."""
+    held = [[] for _ in range(shards)]
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        held[place[i]].append(i)
+    for empty in (b for b in range(shards) if not held[b]):
+        full = max((b for b in range(shards) if len(held[b]) > 1), key=lambda b: sum(sizes[i] for i in held[b]), default=None)
+        if full is None:
+            break
+        halves, fill = ([], []), [0, 0]
+        for i in held[full]:
+            side = int(fill[1] < fill[0])
+            halves[side].append(i)
+            fill[side] += sizes[i]
+        held[full], held[empty] = halves
+    place = place.copy()
+    for b, items in enumerate(held):
+        for i in items:
+            place[i] = b
+    return place
 
 
 def place_items(items, shards, capacity):
@@ -136,7 +181,11 @@ def shard(
     )
     groups = settle(rows.groupBy("text_key").agg(F.sum("size").alias("group_size")), "groups")
     total = groups.agg(F.sum("group_size")).first()[0] or 0
-    even = capacity or max(1, total // shards)
+    even = capacity
+    if not capacity:
+        largest = groups.select("group_size").orderBy(F.desc("group_size")).limit(shards)  # at most so many get a shard of their own
+        alone, rest = above_even([r[0] for r in largest.collect()], total, shards)
+        even = max(1, rest // (shards - alone))
     own = F.col("group_size") * FINE >= F.lit(even)
     # A parcel's level is the number of leading zeros of a hash: each level gets half of what is left.
     chance = F.pmod(F.xxhash64(F.lit("level"), F.col("text_key")), F.lit(1 << 30)) + 1

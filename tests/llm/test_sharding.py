@@ -39,6 +39,29 @@ def test_fewest_bytes_is_nearly_even():
     assert max(place) == 15 and max(fill) <= 1.001 * sum(sizes) / 16
 
 
+@pytest.mark.parametrize(
+    ("shares", "alone"), [([0.07], 1), ([0.1], 1), ([1 / 3], 1), ([0.9], 1), ([0.999], 1), ([0.3, 0.2, 0.05], 3), ([0.0626, 0.0624], 1)]
+)
+def test_groups_above_an_even_shard_leave_the_others_even(shares, alone):
+    rng = random.Random(2)
+    small = [rng.randrange(1, 1000) for _ in range(3000)]
+    hot = [int(sum(small) * s / (1 - sum(shares))) for s in shares]
+    sizes = small + hot
+    place = sharding.fewest_bytes(sizes, 16)
+    fill = sorted(sum(s for s, p in zip(sizes, place, strict=True) if p == b) for b in range(16))
+    even = fill[: 16 - alone]
+    assert set(place) == set(range(16)) and even[-1] <= 1.002 * even[0]
+    assert fill[16 - alone :] == sorted(hot)[len(hot) - alone :]
+
+
+def test_few_coarse_groups_use_all_shards():
+    for n in range(16, 60):
+        place = sharding.fewest_bytes([7] * n, 16)
+        fill = [place.count(b) for b in range(16)]
+        assert min(fill) >= 1 and max(fill) == -(-n // 16)
+    assert sorted(sharding.fewest_bytes([5, 5, 90], 16)) == [0, 1, 2]
+
+
 def check(rows, texts):
     assert sorted((r.doc_id, r.size, r.text_crc32) for r in rows) == sorted(
         (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in texts
@@ -61,6 +84,16 @@ def test_query(spark, sf):
     assert max(fill.values()) <= 1.02 * max(even, max(len(t.encode()) for _, t in texts))
 
 
+def test_a_third_of_all_rows_one_text(spark):
+    rng = random.Random(6)
+    texts = [(i, "copy " * 30 if i % 3 == 0 else f"{i} " + "x" * rng.randrange(250)) for i in range(6000)]
+    rows = sharding.shard(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    fill = check(rows, texts)
+    hot = fill.pop(next(r.shard for r in rows if r.doc_id == 0))
+    assert len(fill) == 15 and hot == 2000 * 151
+    assert max(fill.values()) <= 1.01 * min(fill.values())
+
+
 def test_edge_cases(spark):
     texts = [(1, None), (2, ""), (3, "a" * 5000), (4, "copy"), (4, "copy"), (None, "x")] + [(10 + i, f"text {i}") for i in range(400)]
     docs = spark.createDataFrame([(i, t, 1, "s") for i, t in texts], "doc_id long, text string, shard int, text_key string")
