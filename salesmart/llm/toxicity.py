@@ -9,8 +9,14 @@ to the threshold of that language, so 0.5 always is the border.
 
 Training: a bounded sample of labelled rows (``SAMPLE``) of at most
 ``TRAIN_CHARS`` characters comes to the driver and is trained on in a fixed
-number of steps; one part of it is kept for calibration.  Everything else is
+number of steps; one part of it is left for calibration.  Everything else is
 scored in tasks, whole texts, with the model (a few MB) as a broadcast.
+
+Calibration: all learnable labelled rows that were not trained on, of any
+length, are scored in tasks, and counts of their margins by language and label
+come to the driver.  Rows that were trained on are stood for by the others of
+their label and kind of length, so the counts have the ratios of all learnable
+rows, however large the sample was.
 A projection of each word onto all filters is kept per worker, so the
 convolution is a sum of looked-up rows.
 
@@ -30,14 +36,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from salesmart.llm.common import col, on_worker, text_of
+from salesmart.llm.common import bitmap_of, col, on_worker, text_of, with_flag
+from salesmart.workspace import settle
 
 #: Most labelled rows of each label that are learnt from, and their longest text.
 SAMPLE = 4000
 TRAIN_CHARS = 20_000
 #: Share of the sample that only calibrates: one in ...
 CALIBRATE = 4
+#: Margins are counted in steps of 1/STEP up to RANGE on either side, which bounds what comes to the driver.
+STEP = 64
+RANGE = 64
+BITS = 26
 
 SLOTS = 1 << 17
 DIM = 8
@@ -250,44 +262,107 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7, steps: int = STEPS)
     )
 
 
-def border(margins: np.ndarray, labels: np.ndarray) -> float:
-    """The border with the fewest errors, in the middle of the widest gap that has as few."""
-    order = np.argsort(margins, kind="stable")
-    m, y = margins[order], labels[order]
-    errors = np.concatenate([[0], np.cumsum(y == 1)]) + np.concatenate([np.cumsum((y == 0)[::-1])[::-1], [0]])
-    edges = np.concatenate([[m[0] - 1], m, [m[-1] + 1]])
-    gaps = np.where(errors == errors.min(), np.diff(edges), -1)
+def border(low: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, high: np.ndarray | None = None) -> float:
+    """The border with the fewest errors, in the middle of the widest gap that has as few; a margin may be a range."""
+    weights, high = np.ones(len(low)) if weights is None else weights, low if high is None else high
+    order = np.argsort(low, kind="stable")
+    low, y, weights, top = low[order], labels[order], weights[order], np.maximum.accumulate(high[order])
+    starts = np.concatenate([[True], low[1:] > top[:-1]])  # ranges that meet cannot be parted
+    place = np.cumsum(starts) - 1
+    first, last = low[starts], top[np.append(starts[1:], True)]
+    toxic, clean = (np.bincount(place, weights * (y == label)) for label in (1, 0))
+    errors = np.concatenate([[0], np.cumsum(toxic)]) + np.concatenate([np.cumsum(clean[::-1])[::-1], [0]])
+    left, right = np.concatenate([[first[0] - 1], last]), np.concatenate([first, [last[-1] + 1]])
+    gaps = np.where(errors <= errors.min() + 1e-9 * weights.sum(), right - left, -1)
     k = int(gaps.argmax())
-    return float((edges[k] + edges[k + 1]) / 2)
+    return float((left[k] + right[k]) / 2)
 
 
-def calibrate(model: Model, texts: list[str], labels: np.ndarray, least: int = 10) -> Model:
+def set_borders(model: Model, spoken, labels, low, high, count, weights, least: int = 10) -> Model:
     """Set the threshold of each language that has ``least`` texts of both labels; others get the common one."""
-    scorer = Scorer(model)
-    found = [scorer.margin(t) for t in texts]
-    margins, spoken = np.array([m for m, _ in found]), np.array([s for _, s in found])
     for i in range(len(LANGUAGES)):
         own = spoken == i
-        enough = min(np.sum(labels[own] == 0), np.sum(labels[own] == 1)) >= least
+        enough = min(count[own & (labels == y)].sum() for y in (0, 1)) >= least
         rows = own if enough else np.ones(len(labels), bool)
         if len(np.unique(labels[rows])) == 2:
-            model.thresholds[i] = border(margins[rows], labels[rows])
+            model.thresholds[i] = border(low[rows], labels[rows], weights[rows], high[rows])
     return model
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int, learn) -> tuple[list[int], list[str], np.ndarray]:
-    """Up to ``sample`` rows of each label in a fixed random order, on the driver."""
-    known = (
-        labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("label"))
-        .filter(F.col("label").isin(0, 1) & learn(F.col("label_id"))).groupBy("label_id").agg(F.max("label").alias("label"))
+def calibrate(model: Model, texts: list[str], labels: np.ndarray, least: int = 10) -> Model:
+    """Thresholds from a few texts on the driver."""
+    scorer = Scorer(model)
+    found = [scorer.margin(t) for t in texts]
+    margins, spoken, one = np.array([m for m, _ in found]), np.array([s for _, s in found]), np.ones(len(found))
+    return set_borders(model, spoken, labels, margins, margins, one, one, least)
+
+
+def known_labels(docs: DataFrame, labels: DataFrame, id_col: str, learn) -> DataFrame:
+    """label_id (of the type that ids of ``docs`` have) and label of all rows that may be learnt from."""
+    kind = docs.select(col(id_col)).schema[0].dataType
+    return settle(
+        labels.select(F.col("doc_id").try_cast(kind).alias("label_id"), F.col("toxic").cast("int").alias("label"))
+        .filter(F.col("label_id").isNotNull() & F.col("label").isin(0, 1) & learn(F.col("label_id")))
+        .groupBy("label_id").agg(F.max("label").alias("label")),
+        "known",
     )
+
+
+def labelled(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, sample: int) -> tuple[list, list[str], np.ndarray]:
+    """Up to ``sample`` rows of each label in a fixed random order, on the driver."""
     halves = [known.filter(F.col("label") == y).orderBy(F.xxhash64("label_id"), "label_id").limit(sample) for y in (0, 1)]
     chosen = halves[0].unionByName(halves[1])  # at most 2 x sample rows, so its broadcast is bounded
     rows = (
         docs.select(col(id_col).alias("label_id"), text_of(text_col).alias("text")).filter(F.length("text") <= TRAIN_CHARS)
         .join(F.broadcast(chosen), "label_id").dropDuplicates(["label_id"]).toPandas().sort_values("label_id")
     )
-    return list(rows["label_id"]), list(rows["text"]), rows["label"].to_numpy()
+    return rows["label_id"].tolist(), list(rows["text"]), rows["label"].to_numpy()
+
+
+def margin_batches(batches, model):
+    scorer = Scorer(model.value)
+    for batch in batches:
+        found = [scorer.margin(t.as_py()) for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array([m for m, _ in found], pa.float64()), pa.array([s for _, s in found], pa.int32())],
+            ["label_id", "long", "margin", "spoken"],
+        )
+
+
+def margin_counts(docs: DataFrame, known: DataFrame, model: Model, fitted: list, id_col: str, text_col: str):
+    """Counts of all known rows but the ``fitted`` ids by language, label, kind of length and step of the margin, on the driver.
+
+    A bitmap of fixed size tells labelled rows where they are, so no text is
+    moved; of several texts of one id the one with the least margin counts.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(col(id_col).alias("label_id"), text_of(text_col).alias("text"))
+    bitmap = settle(bitmap_of(known.select("label_id"), "label_id", BITS), "bitmap")
+    met = with_flag(rows, bitmap, "label_id", BITS, "suspect").filter("suspect")
+    kind, shared = rows.schema["label_id"].dataType, spark.sparkContext.broadcast(model)
+    margins = met.select("label_id", (F.length("text") > TRAIN_CHARS).alias("long"), "text").mapInArrow(
+        on_worker(margin_batches, model=shared), f"label_id {kind.simpleString()}, long boolean, margin double, spoken int"
+    )
+    one = margins.groupBy("label_id").agg(F.min(F.struct("margin", "spoken", "long")).alias("found")).join(known, "label_id")
+    seen = spark.createDataFrame([(i,) for i in fitted], T.StructType([T.StructField("label_id", kind)]))  # at most 2 x sample rows
+    step = F.least(F.greatest(F.floor(F.col("margin") * STEP), F.lit(-STEP * RANGE)), F.lit(STEP * RANGE))
+    return (
+        one.join(F.broadcast(seen), "label_id", "left_anti").select("label", "found.*").withColumn("step", step)
+        .groupBy("spoken", "label", "long", "step")
+        .agg(F.count(F.lit(1)).alias("count"), F.min("margin").alias("low"), F.max("margin").alias("high"))
+        .toPandas().sort_values(["spoken", "label", "long", "step"], ignore_index=True)
+    )
+
+
+def calibrate_on_all(model: Model, counts, fitted_labels: np.ndarray) -> Model:
+    """Thresholds from counts; rows that were trained on (all short) are stood for by the other short ones of their label."""
+    label, long, count = counts["label"].to_numpy(), counts["long"].to_numpy(bool), counts["count"].to_numpy(np.float64)
+    weights = count.copy()
+    for y in (0, 1):
+        short = (label == y) & ~long
+        if short.any():
+            weights[short] *= 1 + np.sum(fitted_labels == y) / count[short].sum()
+    return set_borders(model, counts["spoken"].to_numpy(), label, counts["low"].to_numpy(), counts["high"].to_numpy(), count, weights)
 
 
 def held_out(doc_id) -> F.Column:
@@ -299,12 +374,14 @@ def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sample: int = SAMPLE,
     learn=lambda doc_id: ~held_out(doc_id),
 ) -> Model | None:
-    ids, texts, y = labelled(docs, labels, id_col, text_col, sample, learn)
+    known = known_labels(docs, labels, id_col, learn)
+    ids, texts, y = labelled(docs, known, id_col, text_col, sample)
     check = np.array([crc32(b"calibrate" + str(i).encode()) % CALIBRATE == 0 for i in ids], bool)
     if not len(y) or len(np.unique(y[~check])) < 2:
         return None
     model = fit([t for t, c in zip(texts, check, strict=True) if not c], y[~check])
-    return calibrate(model, [t for t, c in zip(texts, check, strict=True) if c], y[check]) if check.any() else model
+    counts = margin_counts(docs, known, model, [i for i, c in zip(ids, check, strict=True) if not c], id_col, text_col)
+    return calibrate_on_all(model, counts, y[~check])
 
 
 # ---- scoring -------------------------------------------------------------------------------

@@ -102,6 +102,42 @@ def test_pipeline_of_labels_and_edge_cases(spark, texts):
     assert {r.score for r in toxicity.score(docs, toxicity.train(docs, labels.filter("toxic = 0"))).collect()} == {0.0}
 
 
+def test_thresholds_do_not_change_with_the_sample(spark):
+    rng = random.Random(3)
+    # Of 400 texts with the mild word a quarter is toxic, but of the sample's (as many of each label) most are.
+    kinds = [("mild", 0)] * 300 + [("mild", 1)] * 100 + [("", 0)] * 900 + [("scum", 1)] * 30
+    rng.shuffle(kinds)
+    rows = [(i, f"{prose(rng, 30)} {word} {prose(rng, 10)}", y) for i, (word, y) in enumerate(kinds)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    for sample in (80, 4000):
+        scorer = toxicity.Scorer(toxicity.train(docs, labels, sample=sample))
+        rejected = [scorer.score(text) >= 0.5 for _, text, _ in rows if " mild " in text]
+        assert np.mean(rejected) < 0.25
+
+
+def test_all_learnable_rows_calibrate(spark, texts, model, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_CHARS", 500)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: seen.extend(texts) or model)
+    monkeypatch.setattr(toxicity, "calibrate_on_all", lambda model, counts, fitted: (counts, fitted))
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id int, toxic int")
+    counts, fitted = toxicity.train(docs, labels, sample=50)
+    learnable = [(t, y) for i, (t, y) in enumerate(texts) if zlib.crc32(str(i).encode()) % 5]
+    assert len(fitted) == len(seen) and max(map(len, seen)) <= 500 and 0 < len(seen) < 100
+    for y in (0, 1):
+        own = counts[counts["label"] == y]
+        assert own["count"].sum() + np.sum(fitted == y) == sum(label == y for _, label in learnable)
+        assert own[own["long"]]["count"].sum() == sum(label == y and len(t) > 500 for t, label in learnable) > 0
+
+
+def test_border_of_ranges_and_weights():
+    low, high, y = np.array([0.0, 0.5, 2.0, 3.0]), np.array([1.0, 0.7, 2.5, 3.0]), np.array([0, 1, 0, 1])
+    assert toxicity.border(low, y, np.array([5.0, 1, 3, 2]), high) == 2.75
+    assert toxicity.border(low, y, np.array([1.0, 3, 1, 2]), high) == -0.5
+
+
 def test_labels_of_held_out_rows_are_not_learnt(spark, texts):
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
     labels = [(i, y) for i, (_, y) in enumerate(texts)]
