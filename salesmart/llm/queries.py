@@ -89,6 +89,11 @@ def op7(spark, sf):
     return substrings.spans(table(spark, sf, "documents"), within=False)
 
 
+@query("op7_substring_dedup_within")
+def op7_within(spark, sf):
+    return substrings.spans(table(spark, sf, "documents"), within=True)
+
+
 @query("op8_document_fingerprints")
 def op8(spark, sf):
     return fingerprints.fingerprint(table(spark, sf, "documents"))

@@ -106,7 +106,10 @@ def spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, within: bool = True, least: int = LEAST, reach: int = REACH,
     longest: int = LONGEST, bits: int = BITS,
 ) -> DataFrame:
-    """One row per repeated span: doc_id, start and length (bytes), words, chunks, keep_id (where most of it stays), keep_ids (all)."""
+    """One row per repeated span: doc_id, start and length (bytes), words, chunks, keep_id (where most of it stays), keep_ids (all).
+
+    ``within`` adds own: does the document itself keep a part of the span?
+    """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"row long, doc_id {kind}, number int, first long, last long, words int, digest long, again boolean"
@@ -118,13 +121,14 @@ def spans(
     met = with_flag(cut, bitmap, "digest", bits, "suspect").filter("suspect").drop("suspect").join(shared, "digest")
     elsewhere = ~F.col("doc_id").eqNullSafe(F.col("keep_id"))
     repeats = met.filter(elsewhere | F.col("again") if within else elsewhere)
+    own = [F.max(~elsewhere).alias("own")] if within else []
     island = F.col("number") - F.row_number().over(Window.partitionBy("row").orderBy("number"))
     return (
         repeats.withColumn("island", island).groupBy("row", "island")
         .agg(
             F.first("doc_id").alias("doc_id"), F.min("first").alias("start"), (F.max("last") - F.min("first")).alias("length"),
             F.sum("words").alias("words"), F.count(F.lit(1)).alias("chunks"), F.mode("keep_id").alias("keep_id"),
-            F.array_sort(F.collect_set("keep_id")).alias("keep_ids"),
+            F.array_sort(F.collect_set("keep_id")).alias("keep_ids"), *own,
         )
         .filter(F.col("words") >= least).drop("row", "island")
     )

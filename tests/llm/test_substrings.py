@@ -71,6 +71,15 @@ def test_query_against_brute_force(spark, sf):
     assert all(r.keep_id in r.keep_ids for r in got)
 
 
+def test_query_within_against_brute_force(spark, sf):
+    docs = table(sf, "documents", "doc_id, text")
+    got = QUERIES["op7_substring_dedup_within"](spark, sf).collect()
+    assert tuples(got) == slow_spans(docs, True)
+    assert all(r.own == (r.doc_id in r.keep_ids) for r in got)
+    # Passages that are in no other document.
+    assert any(list(r.keep_ids) == [r.doc_id] for r in got)
+
+
 def prose(rng, n):
     return " ".join("".join(rng.choice("abcdefghijklm") for _ in range(rng.randrange(1, 9))) for _ in range(n))
 
