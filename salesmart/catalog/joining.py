@@ -140,6 +140,25 @@ def star_join_of_segments(spark, sf):
     return M.sales(mart, M.FilterContext().within(dt.date(1993, 1, 1), dt.date(1999, 1, 1)), by)
 
 
+@query("e09_star_join_of_all", R.sql("""
+SELECT "Year", DayPeriod, Manufacturer, dpharmacy.PharmacyName, District, "Role", POSName, SegmentLabel,
+  CAST(sum(Amount) AS DOUBLE) AS TotalSalesAmount, CAST(sum(Qty) AS BIGINT) AS TotalQuantity
+FROM fact JOIN ddate ON FK_Date = SK_Date LEFT JOIN dtime ON FK_Time = SK_Time LEFT JOIN dproduct ON FK_Product = SK_Product
+  LEFT JOIN dpharmacy ON FK_Pharmacy = SK_Pharmacy LEFT JOIN dlocation ON fact.FK_Location = SK_Location
+  LEFT JOIN doperator ON FK_Operator = SK_Operator LEFT JOIN dpos ON FK_POS = SK_POS
+  LEFT JOIN (SELECT PharmacyID, SegmentLabel FROM segments) ON FK_Pharmacy = PharmacyID
+WHERE ddate.FullDate >= DATE '1993-01-01' AND ddate.FullDate < DATE '2100-01-01'
+GROUP BY 1, 2, 3, 4, 5, 6, 7, 8""", "fact", "ddate", "dtime", "dproduct", "dpharmacy", "dlocation", "doperator", "dpos", "segments"))
+def star_join_of_all(spark, sf):
+    """All nine links at once: seven dimensions, the segments and the slicer."""
+    mart = R.mart(spark, sf, "DimTime", "DimProduct", "DimPharmacy", "DimLocation", "DimOperator", "DimPOS", "PharmacySegmentation")
+    by = (
+        ("DimDate", "Year"), ("DimTime", "DayPeriod"), ("DimProduct", "Manufacturer"), ("DimPharmacy", "PharmacyName"),
+        ("DimLocation", "District"), ("DimOperator", "Role"), ("DimPOS", "POSName"), ("PharmacySegmentation", "SegmentLabel"),
+    )
+    return M.sales(mart, M.FilterContext().within(dt.date(1993, 1, 1), dt.date(2100, 1, 1)), by)
+
+
 @query("e10_two_way_filter", R.sql("""
 SELECT CAST(sum(Amount) AS DOUBLE) AS TotalSalesAmount, CAST(sum(Qty) AS BIGINT) AS TotalQuantity, count(DISTINCT FK_Pharmacy) AS Pharmacies
 FROM fact WHERE FK_Pharmacy IN (SELECT PharmacyID FROM segments WHERE SegmentLabel = 'High-value pharmacies')""", "fact", "segments"))

@@ -27,3 +27,8 @@ def test_gives_rows(spark, sf, name):
 def test_every_inventory_section_is_there():
     assert {n[0] for n in QUERIES} == set("abcdefghijklmnop")
     assert set(ORACLE) <= set(QUERIES)
+
+
+def test_one_star_join_has_all_links(spark, sf):
+    links = {"Year", "DayPeriod", "Manufacturer", "PharmacyName", "District", "Role", "POSName", "SegmentLabel"}
+    assert any(links <= set(build(spark, sf).columns) for name, build in QUERIES.items() if name.startswith("e09_"))
