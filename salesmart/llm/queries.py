@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, exact_dedup, fingerprints, mixing, packing, sharding, simhash, substrings, toxicity, urls
+from salesmart.llm import chat, exact_dedup, fingerprints, line_rules, mixing, packing, sharding, simhash, substrings, toxicity, urls
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +115,41 @@ def op10(spark, sf):
     return chat.digest(chat.format_chats(chats))
 
 
+_LINE = r"array_to_string(regexp_extract_all(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[1-9]', '0', 'g'), '[^\x20\x09-\x0D]+'), ' ')"
+
+
+@query("op11_quality_rules", rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+s AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+p AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM s),
+g AS (SELECT r, i, x, lead(x) OVER o AS y, lead(x, 2) OVER o AS z FROM p WINDOW o AS (PARTITION BY r ORDER BY i)),
+o AS (SELECT r, i, z IS NOT NULL AND count(*) OVER (PARTITION BY r, x, y, z) > 1 AS often FROM g),
+v AS (
+  SELECT r, often OR coalesce(lag(often) OVER o, false) OR coalesce(lag(often, 2) OVER o, false) AS covered
+  FROM o WINDOW o AS (PARTITION BY r ORDER BY i)),
+c AS (SELECT r, count(*) FILTER (covered) AS n_repeat_words FROM v GROUP BY r),
+u AS (SELECT DISTINCT source, t FROM d),
+hosts AS (SELECT source, count(*) AS n_docs FROM u GROUP BY source),
+lines AS (SELECT source, t, {_LINE} AS l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n FROM (SELECT source, t, unnest(string_split(t, chr(10))) AS l FROM u)),
+seen AS (SELECT source, l, count(DISTINCT t) AS k FROM lines WHERE l <> '' GROUP BY source, l),
+gone AS (
+  SELECT seen.source, l FROM seen JOIN hosts ON seen.source IS NOT DISTINCT FROM hosts.source WHERE k > 10 AND 100 * k > n_docs),
+cut AS (
+  SELECT lines.source, t, sum(n) AS n_removed FROM lines JOIN gone ON lines.source IS NOT DISTINCT FROM gone.source AND lines.l = gone.l
+  GROUP BY lines.source, t)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(s.t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(s.t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+  CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed,
+  NOT (len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w)) AND 100 * coalesce(n_removed, 0) <= 50 * len(w) AS kept
+FROM s LEFT JOIN c USING (r) LEFT JOIN cut ON s.source IS NOT DISTINCT FROM cut.source AND s.t = cut.t""")
+def op11(spark, sf):
+    return line_rules.judge(table(spark, sf, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, sf):
     import corpus_pipeline  # it lies beside the package and imports this subpackage's operators
