@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, exact_dedup, fingerprints, line_rules, mixing, packing, sharding, simhash, substrings, toxicity, urls
+from salesmart.llm import centroids, chat, exact_dedup, fingerprints, line_rules, mixing, packing, phrases, sharding, simhash, substrings, toxicity, urls
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +150,59 @@ def op11(spark, sf):
     return line_rules.judge(table(spark, sf, "documents"))
 
 
+def _round(n: int) -> str:
+    """Assignment to the centroids of round ``n``, then the centroids of the next."""
+    return f"""
+d{n} AS (SELECT r, c, sum((v - m) * (v - m)) AS d FROM x JOIN c{n} USING (i) GROUP BY r, c),
+a{n} AS MATERIALIZED (SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM d{n} GROUP BY r),
+c{n + 1} AS MATERIALIZED (
+  SELECT c, i, coalesce(g, m) AS m FROM c{n}
+  LEFT JOIN (SELECT c, i, (sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) AS g FROM x JOIN a{n} USING (r) GROUP BY c, i) USING (c, i))"""
+
+
+@query("op12_centroid_clustering", f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(CAST(64 AS DOUBLE) * CAST(e AS DOUBLE)) AS BIGINT) FOR e IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+x AS MATERIALIZED (SELECT r, unnest(v) AS v, generate_subscripts(v, 1) AS i FROM k),
+s AS (SELECT r, row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c FROM k QUALIFY c < 16),
+c0 AS MATERIALIZED (SELECT c, i, v AS m FROM x JOIN s USING (r)),{_round(0)},{_round(1)},{_round(2)},{_round(3)},
+h AS (SELECT c, sha256(string_agg(CAST(m AS BIGINT), ',' ORDER BY i)) AS h FROM c3 GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256 FROM k JOIN a3 USING (r) JOIN h USING (c)""")
+def op12(spark, sf):
+    return centroids.cluster(table(spark, sf, "embeddings"))
+
+
+@query("op13_phrase_collocations", r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+s AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+p AS (SELECT row_number() OVER () AS id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM s),
+w AS (SELECT id, lang, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM p),
+g AS MATERIALIZED (SELECT lang, x, lead(x) OVER o AS y, lead(x, 2) OVER o AS z FROM w WINDOW o AS (PARTITION BY id ORDER BY i)),
+f1 AS MATERIALIZED (SELECT lang, x, count(*) AS a FROM g GROUP BY ALL),
+f2 AS MATERIALIZED (SELECT lang, x, y, count(*) AS a FROM g WHERE y IS NOT NULL GROUP BY ALL HAVING a >= 10),
+f3 AS MATERIALIZED (SELECT lang, x, y, z, count(*) AS a FROM g WHERE z IS NOT NULL GROUP BY ALL HAVING a >= 10),
+cut AS (
+  SELECT f2.lang, x || ' ' || y AS phrase, f2.a, 1 AS k, p.a AS l, q.a AS r FROM f2 JOIN f1 p USING (lang, x) JOIN f1 q ON q.lang = f2.lang AND q.x = y
+  WHERE NOT EXISTS (FROM f3 WHERE f3.lang = f2.lang AND f3.x = f2.x AND f3.y = f2.y AND 100 * f3.a >= 50 * f2.a)
+    AND NOT EXISTS (FROM f3 WHERE f3.lang = f2.lang AND f3.y = f2.x AND f3.z = f2.y AND 100 * f3.a >= 50 * f2.a)
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || z, f3.a, 1, p.a, q.a FROM f3 JOIN f1 p ON p.lang = f3.lang AND p.x = f3.x
+    JOIN f2 q ON q.lang = f3.lang AND q.x = f3.y AND q.y = f3.z
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || z, f3.a, 2, p.a, q.a FROM f3 JOIN f2 p ON p.lang = f3.lang AND p.x = f3.x AND p.y = f3.y
+    JOIN f1 q ON q.lang = f3.lang AND q.x = f3.z),
+scores AS (SELECT *, CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS score FROM cut),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM best JOIN n USING (lang) QUALIFY rank <= 2000""")
+def op13(spark, sf):
+    return phrases.collocations(table(spark, sf, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, sf):
     import corpus_pipeline  # it lies beside the package and imports this subpackage's operators
