@@ -18,6 +18,7 @@ from salesmart.operators.grouping import single_value
 
 LOWEST = -(2**63)
 SPREAD = 4096
+SALTS = 32
 
 
 def unique_map(df: DataFrame, key: str, value: str, fold: bool = False) -> DataFrame:
@@ -98,6 +99,23 @@ def enrich(df: DataFrame, side: DataFrame, on: str, defaults: dict[str, object]
     return joined.fillna(defaults) if defaults else joined
 
 
+def salted_join(df: DataFrame, side: DataFrame, keys: list[str], by: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
+    """Join one row per key to rows of which one key may have very many.
+
+    The rows of a key are dealt over ``salts`` tasks by the hash of ``by``, and
+    the side, which has a row per key, is laid out once for each.  If it is
+    small Spark broadcasts it instead.  Null keys match each other.
+    """
+    deal = F.pmod(F.xxhash64(*by), F.lit(salts))
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    names = [c for c in side.columns if c not in keys]
+    laid = side.select(*(F.col(k).alias(f"_of_{k}") for k in keys), *names, everywhere.alias("_dealt"))
+    on = F.col("_deal") == F.col("_dealt").cast("bigint")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return df.withColumn("_deal", deal).join(laid, on, how).select(*df.columns, *names)
+
+
 def members_of(dim: DataFrame, key: str, selected: DataFrame, selected_key: str) -> DataFrame:
     """Dimension rows that a selection on a linked table leaves visible."""
     return dim.join(

@@ -2,24 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from salesmart.operators.quantiles import PROBS, grouped_quantiles
 from salesmart.operators.scalar import beside
-from salesmart.sources.generators import literal
 from salesmart.workspace import settle
 
-TARGET = T.StructType(
-    [
-        T.StructField("Feature", T.StringType()), T.StructField("range", T.IntegerType()),
-        T.StructField("p", T.DoubleType()), T.StructField("end", T.StringType()),
-        T.StructField("position", T.LongType()), T.StructField("part", T.DoubleType()),
-    ]
-)
-
 
 def _settled_in_order(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows sorted across all tasks and written once, each with its range and its place in it.
@@ -57,56 +46,14 @@ def sequential_key(df: DataFrame, order: str, out: str, start: int = 1) -> DataF
     )
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: list[str], probs: tuple[float, ...] = PROBS) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per column.
 
-    Equal values collapse to one row with a count, so that a value held by most
-    rows weighs nothing.  The counts are sorted into ranges, and only the ranges
-    that hold a wanted rank are looked at row by row.
+    Columns are groups of one long table, which is never sorted: see
+    ``quantiles``.
     """
     items = F.array(*(F.struct(F.lit(c).alias("Feature"), F.col(c).cast("double").alias("value")) for c in columns))
-    counted = (
-        df.select(F.explode(items).alias("x")).select("x.*").filter(F.col("value").isNotNull())
-        .groupBy("Feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranged = _settled_in_order(counted, ["Feature", "value"]).withColumn("range", _range_of(F.col("_place")).cast("int"))
-    sizes: dict[str, list[tuple[int, int]]] = {}
-    # One row per column and sort task.
-    for r in sorted(ranged.groupBy("Feature", "range").agg(F.sum("n").alias("n")).collect()):
-        sizes.setdefault(r.Feature, []).append((r.range, r.n))
-    wanted = [w for feature, ranges in sizes.items() for w in _places(feature, ranges, probs)]
-    if not wanted:
-        raise ValueError("no values to take quantiles of")
-    targets = literal(df.sparkSession, wanted, TARGET)
-    needed = F.broadcast(targets.select("Feature", "range").distinct())
-    running = Window.partitionBy("Feature", "range").orderBy("value")
-    placed = (
-        ranged.join(needed, ["Feature", "range"], "left_semi")
-        .withColumn("upto", F.sum("n").over(running)).withColumn("since", F.col("upto") - F.col("n"))
-    )
-    hits = placed.join(F.broadcast(targets), ["Feature", "range"]).filter(
-        (F.col("position") >= F.col("since")) & (F.col("position") < F.col("upto"))
-    )
-    low = F.max(F.when(F.col("end") == "low", F.col("value")))
-    high = F.max(F.when(F.col("end") == "high", F.col("value")))
-    each = hits.groupBy("Feature", "p").agg((low + (high - low) * F.max("part")).alias("q"))
-    return each.groupBy("Feature").agg(
-        *(F.max(F.when(F.col("p") == p, F.col("q"))).alias(f"P{round(p * 100)}") for p in probs)
-    )
-
-
-def _places(feature: str, ranges: list[tuple[int, int]], probs: tuple[float, ...]) -> list[tuple]:
-    """For each probability, the range and position of the two values it lies between."""
-    found, total = [], sum(n for _, n in ranges)
-    for p in probs:
-        rank = p * (total - 1)
-        for end, left in (("low", math.floor(rank)), ("high", math.ceil(rank))):
-            for number, n in ranges:
-                if left < n:
-                    found.append((feature, number, p, end, left, rank - math.floor(rank)))
-                    break
-                left -= n
-    return found
+    return grouped_quantiles(df.select(F.inline(items)), ["Feature"], "value", probs)
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -55,15 +55,20 @@ class Warehouse:
     """Where each table lives, and the log of one run.
 
     Tables lie in the current version of the folder ``root``; a ``draft`` is a
-    version that nobody reads until it is published.  The log stands outside.
+    version that nobody reads until it is published; that fails if another job
+    published since the draft was begun.  The log stands outside.
     """
 
     spark: SparkSession
     root: str
     run: str = field(default_factory=lambda: uuid.uuid4().hex)
     draft: str | None = None
+    expected: int = 0
     lines: list[tuple] | None = None
 
+    def __post_init__(self) -> None:
+        self.expected = T.latest_number(self.spark, self.root)
+
     def path(self, table: str) -> str:
         if table == "LoadLog":
             return f"{self.root}/{SCHEMAS[table]}/{table}"
@@ -87,7 +92,7 @@ class Warehouse:
 
     def publish(self) -> None:
         """Make the draft the mart that everybody reads, all tables at once."""
-        T.publish(self.spark, self.root, self.draft)
+        T.publish(self.spark, self.root, self.draft, self.expected)
         self.draft = None
 
     @contextlib.contextmanager
@@ -150,9 +155,10 @@ class Warehouse:
     def advance_mark(self, loaded: DataFrame, job: str = "load") -> None:
         """Move the mark to the later of itself and the last of the rows just loaded."""
         with self.step(job, "advance mark", "Watermark"):
+            expected = T.latest_number(self.spark, self.path("Watermark"))
             control = self.read("Watermark")
             moved = T.update_control(control, I.PROCESS, I.next_mark(loaded, I.mark_row(control)))
-            T.replace(conform(moved, "Watermark").coalesce(1), self.path("Watermark"))
+            T.replace(conform(moved, "Watermark").coalesce(1), self.path("Watermark"), expected=expected)
 
 
 def write_dimensions(house: Warehouse, feeds: Feeds, job: str, bounds: DataFrame) -> None:
@@ -174,8 +180,10 @@ def write_dimensions(house: Warehouse, feeds: Feeds, job: str, bounds: DataFrame
 ANALYSIS = "analysis"
 
 
-def parsed_sales(feed: DataFrame) -> DataFrame:
-    """The raw feed read once: typed columns for the facts and, as a struct, the segmentation's own reading."""
+def parsed_sales(feed: DataFrame, analysis: bool = True) -> DataFrame:
+    """The raw feed read once: typed columns for the facts and, as a struct, the segmentation's own reading if it is needed."""
+    if not analysis:
+        return settle(typed_sales(feed).select(*FACT_INPUT), "sales")
     both = feed.withColumn(ANALYSIS, F.struct(*S.sale_columns("Sale ID", "Pharmacy")))
     return settle(typed_sales(both).select(*FACT_INPUT, ANALYSIS), "sales")
 
@@ -217,7 +225,7 @@ def full_refresh(
                 house.clear(table)
         with house.step(job, "check empty"):
             Q.require_empty(house.counts(("FactSales", *DIMENSIONS)))
-        parsed = parsed_sales(feeds.sales)
+        parsed = parsed_sales(feeds.sales, analysis=segmented is not None)
         sales = complete(parsed.drop(ANALYSIS))
         write_dimensions(house, feeds, job, G.date_bounds(sales, F.col("SourceSaleDateTime")) if bounds is None else bounds)
         with house.step(job, "check dimensions"):

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +18,8 @@ from salesmart.operators.filters import analytical_valid, computed, filter_compu
 from salesmart.operators.grouping import first_row, long_form
 from salesmart.operators.ordering import z_scores
 from salesmart.operators.scalar import beside
+from salesmart.plans.silhouette import Silhouette, silhouette
+from salesmart.plans.starts import Centres, best_of_starts
 from salesmart.sources.delimited import ORIGIN
 from salesmart.sources.generators import literal
 from salesmart.sources.tables import mapped, with_defaults
@@ -28,7 +28,6 @@ from salesmart.workspace import settle
 K = 3
 RESTARTS = 20
 SEED = 42
-FITS_AT_ONCE = 8
 
 # Names of features, of profile and output columns, and texts for missing stores.
 FEATURES = [
@@ -268,19 +267,25 @@ def require_entities(features: DataFrame, k: int) -> int:
     return n
 
 
-def best_kmeans(z: DataFrame, k: int = K, restarts: int = RESTARTS, seed: int = SEED):
-    """The fit with the lowest within-cluster cost over several starts, a few of them at a time."""
+def best_kmeans(z: DataFrame, k: int = K, restarts: int = RESTARTS, seed: int = SEED) -> Centres:
+    """The fit with the lowest within-cluster cost over several starts."""
+    return best_of_starts(z, "PharmacyID", "z", k, restarts, seed)
 
-    def fit(start: int):
-        return KMeans(k=k, seed=seed + start, featuresCol="z", predictionCol="ClusterID", maxIter=300).fit(z)
 
-    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-        return min(pool.map(fit, range(restarts)), key=lambda model: model.summary.trainingCost)
+def assigned(z: DataFrame, centres: Centres) -> DataFrame:
+    """Each store's cluster, by plain expressions on its z-scores."""
+    return centres.assign(z, [f"{c}_z" for c in FEATURES], "ClusterID")
 
 
 def silhouette_sq(clustered: DataFrame) -> float:
     """Silhouette on squared distances, which is linear in the number of stores."""
-    return ClusteringEvaluator(predictionCol="ClusterID", featuresCol="z").evaluate(clustered)
+    numbered = clustered.withColumn("ClusterID", F.col("ClusterID").cast("int"))
+    return ClusteringEvaluator(predictionCol="ClusterID", featuresCol="z").evaluate(numbered)
+
+
+def euclidean_silhouette(clustered: DataFrame) -> Silhouette:
+    """Silhouette on distances, with its standard error, which is 0 while clusters are small enough to be exact."""
+    return silhouette(clustered, "PharmacyID", "z", "ClusterID")
 
 
 def principal_components(z: DataFrame) -> tuple[DataFrame, list[float]]:
@@ -351,8 +356,8 @@ def segment(features: DataFrame, k: int = K, restarts: int = RESTARTS, seed: int
     z = scaled(base).persist()
     try:
         model = best_kmeans(z, k, restarts, seed)
-        clustered = model.transform(z).withColumn("ClusterID", F.col("ClusterID").cast("bigint"))
-        score = round(silhouette_sq(model.transform(z)), 4) if n > k else None
+        clustered = assigned(z, model)
+        score = euclidean_silhouette(clustered) if n > k > 1 else None
         projected, explained = principal_components(clustered)
         ranked = ranked_profile(scored_profile(cluster_profile(clustered)))
         rows = labelled(projected, ranked).withColumns(
@@ -370,7 +375,8 @@ def segment(features: DataFrame, k: int = K, restarts: int = RESTARTS, seed: int
         [
             ("Algorithm", "K-Means"), ("Number of clusters", str(k)), ("Number of pharmacies", str(n)),
             ("Number of model features", str(len(FEATURES))),
-            ("silhouette_sq", "Not available" if score is None else str(score)),
+            ("Silhouette score", "Not available" if score is None else str(round(score.value, 4))),
+            ("Silhouette standard error", "Not available" if score is None else str(round(score.standard_error, 4))),
         ],
         StructType([StructField("Metric", StringType()), StructField("Value", StringType())]),
     )
@@ -379,7 +385,7 @@ def segment(features: DataFrame, k: int = K, restarts: int = RESTARTS, seed: int
         [("PCA1", explained[0]), ("PCA2", explained[1]), ("Total", sum(explained))],
         StructType([StructField("Component", StringType()), StructField("ExplainedVarianceRatio", DoubleType())]),
     )
-    return Segmentation(segments, summary, pca, float(model.summary.trainingCost))
+    return Segmentation(segments, summary, pca, model.cost)
 
 
 def for_export(segments: DataFrame) -> DataFrame:

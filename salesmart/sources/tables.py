@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,12 +18,23 @@ from salesmart.workspace import files, settle
 VERSIONS, VERSION = "_versions", "v-"
 
 
+class Conflict(OSError):
+    """Another job published meanwhile; nothing of this one is visible."""
+
+
+def _pointers(spark: SparkSession, path: str) -> list[str]:
+    fs, where = files(spark, f"{path}/{VERSIONS}")
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
 def versions(spark: SparkSession, path: str) -> list[str]:
     """Names of the published versions of a folder, the latest first."""
-    fs, where = files(spark, f"{path}/{VERSIONS}")
-    if not fs.exists(where):
-        return []
-    return [name.split(".", 1)[1] for name in sorted((s.getPath().getName() for s in fs.listStatus(where)), reverse=True)]
+    return [name.split(".", 1)[1] for name in reversed(_pointers(spark, path)) if "." in name]
+
+
+def latest_number(spark: SparkSession, path: str) -> int:
+    """Number of the latest version, or of an attempt to publish one; 0 if there is none."""
+    return max((int(name.split(".", 1)[0]) for name in _pointers(spark, path)), default=0)
 
 
 def current(spark: SparkSession, path: str) -> str:
@@ -31,29 +43,48 @@ def current(spark: SparkSession, path: str) -> str:
     return f"{path}/{known[0]}" if known else path
 
 
-def publish(spark: SparkSession, path: str, version: str) -> None:
-    """Make a written version the current one: one empty file whose name tells all, created in one step.
+def publish(spark: SparkSession, path: str, version: str, expected: int | None = None) -> None:
+    """Make a written version the current one, if ``expected`` still is the latest number.
+
+    The next number is claimed by creating an empty file of that name, which
+    one writer alone can do; a second file names the version.  Who reads the
+    same latest number and comes second gets ``Conflict``.  A claim whose
+    writer died names no version, and the next writer goes on behind it.  The
+    store must create files atomically if they do not exist, as HDFS does; on
+    an object store without that, publish through one job at a time.
 
     The version before stays for readers that still use it; older ones are removed.
     """
     fs, where = files(spark, f"{path}/{VERSIONS}")
     fs.mkdirs(where)
-    numbers = sorted(s.getPath().getName() for s in fs.listStatus(where))
-    number = int(numbers[-1].split(".", 1)[0]) + 1 if numbers else 1
-    _, pointer = files(spark, f"{path}/{VERSIONS}/{number:012d}.{version}")
-    if not fs.createNewFile(pointer):
-        raise OSError(f"{path}: version {number} was published by another job")
-    in_use = {version, numbers[-1].split(".", 1)[1] if numbers else version}
-    for name in numbers[:-1]:
-        folder = name.split(".", 1)[1]
-        if folder not in in_use:
-            _, data = files(spark, f"{path}/{folder}")
-            fs.delete(data, True)
-        _, old = files(spark, f"{path}/{VERSIONS}/{name}")
-        fs.delete(old, False)
+    before = _pointers(spark, path)
+    latest = max((int(name.split(".", 1)[0]) for name in before), default=0)
+    expected = latest if expected is None else expected
+    claim = f"{path}/{VERSIONS}/{expected + 1:012d}"
+    if latest != expected or not _created(spark, claim) or latest_number(spark, path) != expected + 1:
+        raise Conflict(f"{path}: a version after number {expected} was published by another job")
+    _created(spark, f"{claim}.{version}")
+    named = [name for name in before if "." in name]
+    in_use = {version, named[-1].split(".", 1)[1] if named else version}
+    for name in before:
+        if name not in named[-1:]:
+            folder = name.split(".", 1)[1] if "." in name else None
+            if folder and folder not in in_use:
+                fs.delete(files(spark, f"{path}/{folder}")[1], True)
+            fs.delete(files(spark, f"{path}/{VERSIONS}/{name}")[1], False)
     spark.catalog.refreshByPath(path)
 
 
+def _created(spark: SparkSession, path: str) -> bool:
+    fs, where = files(spark, path)
+    try:
+        return fs.createNewFile(where)
+    except Py4JJavaError:
+        if fs.exists(where):  # another writer was faster between the look and the creation
+            return False
+        raise
+
+
 def new_version() -> str:
     return f"{VERSION}{uuid.uuid4().hex}"
 
@@ -76,11 +107,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where) and any(not s.getPath().getName().startswith(("_", VERSION)) for s in fs.listStatus(where))
 
 
-def replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a new version and publish it; until then, and after a failure, readers see the old one."""
+def replace(df: DataFrame, path: str, partition_by: list[str] | None = None, expected: int | None = None) -> DataFrame:
+    """Write a new version and publish it; until then, and after a failure, readers see the old one.
+
+    If another job publishes while this one writes, ``Conflict`` is raised.  A
+    job whose rows come from the table itself passes as ``expected`` the
+    ``latest_number`` from before it read.
+    """
     spark, version = df.sparkSession, new_version()
+    expected = latest_number(spark, path) if expected is None else expected
     _writer(df, partition_by).parquet(f"{path}/{version}")
-    publish(spark, path, version)
+    publish(spark, path, version, expected)
     return spark.read.schema(df.schema).parquet(f"{path}/{version}")
 
 
@@ -108,20 +145,24 @@ def create(spark: SparkSession, table: str, path: str) -> DataFrame:
 
 def clear(spark: SparkSession, path: str) -> DataFrame:
     """Delete all rows and keep the schema."""
+    expected = latest_number(spark, path)
     schema = scan(spark, path).schema
-    return replace(literal(spark, [], schema), path)
+    return replace(literal(spark, [], schema), path, expected=expected)
 
 
 def delete_where(spark: SparkSession, path: str, condition: Column, partition: str | None = None) -> DataFrame:
     """Rows for which the condition is true go; false and unknown stay.
 
-    Of a partitioned table only the partitions that hold such rows are rewritten.
+    Of a partitioned table only the partitions that hold such rows are
+    rewritten, from a settled copy, in the live version: that spares the rest
+    of a large table, but a crash between two partitions leaves the later ones
+    as they were (run it again), and readers of a touched partition should wait.
     """
-    path_now = current(spark, path)
+    expected, path_now = latest_number(spark, path), current(spark, path)
     rows = scan(spark, path)
     gone = F.coalesce(condition, F.lit(False))
     if partition is None:
-        return replace(rows.filter(~gone), path)
+        return replace(rows.filter(~gone), path, expected=expected)
     key = F.col(partition)
     touched = [r[0] for r in rows.filter(gone).select(partition).distinct().collect()]
     if touched:

@@ -1,6 +1,8 @@
 """Load jobs end to end: contents, marks, logs, and that a second run adds nothing."""
 
 import datetime as dt
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import pytest
@@ -239,6 +241,48 @@ def test_the_mark_does_not_read_the_facts(spark):
     assert I.mark_row(house.read("Watermark")).first().LastSaleID == 5
 
 
+def test_of_two_writers_one_fails(spark, monkeypatch):
+    """Both have read the same number and come to the claim together."""
+    path = run_dir(spark, "writers")
+    T.replace(spark.range(3), path)
+    together, create = threading.Barrier(2, timeout=60), T._created
+
+    def created(spark, name):
+        if "." not in name.rsplit("/", 1)[1]:
+            together.wait()
+        return create(spark, name)
+
+    monkeypatch.setattr(T, "_created", created)
+
+    def write(n):
+        try:
+            return T.replace(spark.range(n), path).count()
+        except T.Conflict:
+            return None
+
+    with ThreadPoolExecutor(2) as pool:
+        done = list(pool.map(write, (10, 20)))
+    assert done.count(None) == 1 and T.scan(spark, path).count() in done
+    monkeypatch.undo()
+    assert T.replace(spark.range(7), path).count() == T.scan(spark, path).count() == 7
+
+
+def test_a_late_writer_fails(spark):
+    """It read before another one published; what it would have overwritten stays."""
+    path = run_dir(spark, "writers")
+    T.replace(spark.range(3), path)
+    seen = T.latest_number(spark, path)
+    T.replace(spark.range(5), path)
+    with pytest.raises(T.Conflict):
+        T.replace(spark.range(9), path, expected=seen)
+    assert T.scan(spark, path).count() == 5
+    # A claim without a version, as a dead writer leaves it, stops nobody.
+    assert T._created(spark, f"{path}/{T.VERSIONS}/{T.latest_number(spark, path) + 1:012d}")
+    assert T.scan(spark, path).count() == 5
+    T.replace(spark.range(6), path)
+    assert T.scan(spark, path).count() == 6
+
+
 def test_versions(spark):
     path = run_dir(spark, "v")
     for n in (1, 2, 3, 4):

@@ -3,9 +3,14 @@
 import numpy as np
 import pytest
 from golden import GOLDEN
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from salesmart.plans import segmentation as P
+from salesmart.plans import starts
+from salesmart.plans.silhouette import silhouette
+from salesmart.plans.starts import best_of_starts
+from salesmart.workspace import settle
 
 
 @pytest.fixture(scope="module")
@@ -65,7 +70,7 @@ def test_same_components(model):
 def test_summary_and_order(model):
     summary = {r.Metric: r.Value for r in model.model_summary.collect()}
     assert summary["Number of pharmacies"] == "23" and summary["Algorithm"] == "K-Means"
-    assert float(summary["silhouette_sq"]) == pytest.approx(0.777, abs=0.001)
+    assert float(summary["Silhouette standard error"]) == 0.0
     rows = model.segments.collect()
     keys = [(r.SegmentRank, -r.TotalSalesAmount) for r in rows]
     assert keys == sorted(keys)
@@ -89,10 +94,75 @@ def test_too_few_entities(published):
 def test_segments_do_not_depend_on_the_partitioning(published):
     def labels(parts):
         z = P.scaled(published.repartition(parts))
-        rows = P.best_kmeans(z).transform(z).select("PharmacyID", "ClusterID").collect()
-        by = {}
-        for r in rows:
-            by.setdefault(r.ClusterID, set()).add(r.PharmacyID)
-        return sorted(map(sorted, by.values()))
+        model = P.best_kmeans(z)
+        return model.cost, {r.PharmacyID: r.ClusterID for r in P.assigned(z, model).collect()}
 
     assert labels(1) == labels(8)
+
+
+def test_best_start_against_a_plain_loop(published):
+    """No start that a plain loop tries ends below the best of the batch."""
+    z = settle(P.scaled(published), "scaled")
+    x = np.array([list(r.z) for r in z.select("z").collect()])
+    model = P.best_kmeans(z)
+    own = ((x[:, None] - model.points[None]) ** 2).sum(axis=2)
+    assert model.cost == pytest.approx(own.min(axis=1).sum(), abs=1e-4)
+    rng, best = np.random.default_rng(1), np.inf
+    for _ in range(60):
+        centres = x[rng.choice(len(x), 3, replace=False)]
+        for _ in range(50):
+            near = ((x[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+            centres = np.array([x[near == k].mean(axis=0) if (near == k).any() else centres[k] for k in range(3)])
+        best = min(best, ((x[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum())
+    assert model.cost <= best + 1e-4
+
+
+def test_many_tasks_find_the_same_centres(published, monkeypatch):
+    """Partial sums that are added up by Spark, from many tasks, and by the driver, from one."""
+    z = settle(P.scaled(published.repartition(6)), "scaled")
+    one = P.best_kmeans(z)
+    monkeypatch.setattr(starts, "TASK", 4)
+    monkeypatch.setattr(starts, "FEW", 1)
+    many = P.best_kmeans(z)
+    assert (one.points == many.points).all() and one.cost == many.cost
+
+
+def test_more_centres_than_different_stores(spark):
+    z = spark.createDataFrame([(str(k), Vectors.dense([float(k % 2), 0.0])) for k in range(9)], ["PharmacyID", "z"])
+    model = best_of_starts(z, "PharmacyID", "z", 4, 3, 1)
+    assert model.cost == 0.0 and len(model.points) == 4
+
+
+def plain_silhouette(x, label):
+    total = 0.0
+    for k in range(len(x)):
+        away = np.sqrt(((x - x[k]) ** 2).sum(axis=1))
+        own = label == label[k]
+        if own.sum() > 1:
+            a = away[own].sum() / (own.sum() - 1)
+            b = min(away[label == c].mean() for c in set(label) if c != label[k])
+            total += (b - a) / max(a, b)
+    return total / len(x)
+
+
+def test_published_silhouette(model, published):
+    """Four decimals of a plain loop over the 23 stores."""
+    segments = {r.PharmacyID: r.ClusterID for r in model.segments.collect()}
+    rows = P.scaled(published).select("PharmacyID", "z").collect()
+    want = plain_silhouette(np.array([list(r.z) for r in rows]), np.array([segments[r.PharmacyID] for r in rows]))
+    summary = {r.Metric: r.Value for r in model.model_summary.collect()}
+    assert summary["Silhouette score"] == str(round(want, 4))
+
+
+@pytest.mark.parametrize("sample", [24, 60, 100_000])
+def test_sampled_silhouette_is_within_its_error(spark, sample):
+    rng = np.random.default_rng(3)
+    label = np.array([0] * 700 + [1] * 250 + [2] * 20 + [3])
+    x = rng.normal(0, 1, (len(label), 3)) + 2.0 * label[:, None] * np.array([1, 0.4, -0.3])
+    rows = [(f"s{k}", Vectors.dense(v), int(c)) for k, (v, c) in enumerate(zip(x.tolist(), label, strict=True))]
+    found = silhouette(spark.createDataFrame(rows, ["id", "z", "c"]).repartition(5), "id", "z", "c", sample=sample)
+    want = plain_silhouette(x, label)
+    if sample > 700:
+        assert found.value == pytest.approx(want, abs=1e-9) and found.standard_error == 0
+    else:
+        assert 0 < found.standard_error < 0.05 and abs(found.value - want) < 4 * found.standard_error
