@@ -52,6 +52,30 @@ def on_worker(function: Callable, **parameters) -> Callable:
     return run
 
 
+_HELD: dict[str, dict] = {}
+
+
+def holdings(owner: str) -> dict:
+    """What an operator keeps in a worker between tasks; what others kept there is dropped."""
+    for name in [n for n in _HELD if n != owner]:
+        del _HELD[name]
+    return _HELD.setdefault(owner, {})
+
+
+def give_back() -> None:
+    """Return freed memory to the system, as workers live on between tasks beside an executor's heap."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def bitmap_of(keys: DataFrame, key: str, bits: int) -> DataFrame:
     """Which of ``2**bits`` hash places the keys take: at most ``2**bits / 32768 + 1`` rows of 4 KB."""
     place = F.pmod(F.xxhash64(key), F.lit(1 << bits))

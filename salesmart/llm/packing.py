@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import col, on_worker, text_of, word_blocks
+from salesmart.llm.common import col, holdings, on_worker, text_of, word_blocks
 from salesmart.workspace import settle
 
 LENGTH = 2048
@@ -42,11 +42,11 @@ GROUP = 4096
 VOCABULARY = "word_bpe_49k.json"
 
 #: Words whose ids a worker keeps (up to twice as many for a while), and bytes of text that are looked up at a time.
-WORDS = 350_000
+WORDS = 200_000
 BLOCK = 1_000_000
 ENDS = punctuation.encode()  # of plain words
-#: Punctuation before a final mark belongs to it.
-RUNS = re.compile(rb"[!-/:-@\[-`{-~][.,][\x20\n]")
+#: What is neither letter, digit nor white space before a final mark, control characters too, belongs to it.
+RUNS = re.compile(rb"[^0-9A-Za-z\x09-\x0D\x20][.,][\x20\n]")
 ENDED = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\x09-\x0D])")
 
 
@@ -180,16 +180,14 @@ class Encoder:
         return [b"".join(b"".join(self.look_up(words)) for words in word_blocks(text, BLOCK)) for text in texts]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(vocabulary: str) -> Encoder:
     """The encoder of a vocabulary file, or of a public one by its name; loaded once per worker."""
-    if vocabulary not in _ENCODERS:
+    held = holdings("packing")
+    if vocabulary not in held:
         import public_tokenizers
 
-        _ENCODERS[vocabulary] = Encoder(vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary))
-    return _ENCODERS[vocabulary]
+        held[vocabulary] = Encoder(vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary))
+    return held[vocabulary]
 
 
 def piece_batches(batches, vocabulary, length, closing, keep_ids):

@@ -29,6 +29,7 @@ passes them through.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.llm.common import bitmap_of, col, on_worker, text_of, with_flag
+from salesmart.llm.common import bitmap_of, col, give_back, holdings, on_worker, text_of, with_flag
 from salesmart.workspace import settle
 
 #: Most labelled rows of each label that are learnt from, and their longest text.
@@ -320,6 +321,7 @@ def labelled(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, samp
 
 
 def margin_batches(batches, model):
+    holdings("toxicity")
     scorer = Scorer(model.value)
     for batch in batches:
         found = [scorer.margin(t.as_py()) for t in batch.column(2)]
@@ -388,17 +390,21 @@ def train(
 
 
 def score_batches(batches, model):
+    holdings("toxicity")
     scorer = Scorer(model.value)
     for batch in batches:
         scores = [scorer.score(t.as_py()) for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
 
-def keep_batches(batches, model, text):
+def clean_flags(texts, model):
+    """Arrays of texts -> is a text not rejected?"""
+    holdings("toxicity")
     scorer = Scorer(model.value)
-    for batch in batches:
-        clean = [scorer.score(t.as_py() or "") < 0.5 for t in batch.column(text)]
-        yield batch.filter(pa.array(clean, pa.bool_()))
+    for part in texts:
+        yield pa.array([scorer.score(t.as_py()) < 0.5 for t in part], pa.bool_())
+    del scorer
+    give_back()
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -414,8 +420,9 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 
 
 def keep(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not rejected, whole."""
+    """The rows of ``docs`` that are not rejected, whole.  Only texts go to the workers and flags come back."""
     if model is None:
         return docs
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(on_worker(keep_batches, model=shared, text=docs.columns.index(text_col)), docs.schema)
+    flags = on_worker(clean_flags, model=docs.sparkSession.sparkContext.broadcast(model))
+    flags.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return docs.filter(F.arrow_udf(flags, "boolean")(text_of(text_col)))

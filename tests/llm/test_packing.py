@@ -98,3 +98,18 @@ def test_search_beats_best_fit():
     assert len(set(place)) <= len(bins)
     swap = packing.Search(np.array([7, 3, 5, 5]), [[0], [1, 2], [3]], 10).run()
     assert len(set(swap)) == 2
+
+
+def test_control_characters_before_marks():
+    """Whatever stands before a comma or full stop, the ids are the tokenizer's."""
+    rng = random.Random(6)
+    encode = packing.Encoder(public_tokenizers.path(packing.VOCABULARY)).encode
+    odd = [chr(c) for c in (*range(32), 127)]
+    near = [*odd, *odd, ",", ".", ", ", ". ", ".\n", " ", "a", "Word", "0", "9,", "(", "'", *(w for w in WORDS if len(w) < 8 and "<" not in w)]
+    texts = ["\x1c, 0", "\x7f. a", *("".join(rng.choice(near) for _ in range(rng.randrange(1, 9))) for _ in range(100_000))]
+    for start in range(0, len(texts), 5000):
+        part = texts[start : start + 5000]
+        want = TOKENIZER.encode_batch_fast(part, add_special_tokens=False)
+        got = encode([t.encode() for t in part])
+        for t, w, g in zip(part, want, got, strict=True):
+            assert np.frombuffer(g, "<u4").tolist() == w.ids, repr(t)

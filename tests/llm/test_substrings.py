@@ -67,8 +67,10 @@ def tuples(rows):
 def test_query_against_brute_force(spark, sf):
     docs = table(sf, "documents", "doc_id, text")
     got = QUERIES["op7_substring_dedup"](spark, sf).collect()
-    assert tuples(got) == slow_spans(docs, False) and got
+    assert tuples(got) == slow_spans(docs, True) and got
     assert all(r.keep_id in r.keep_ids for r in got)
+    across = substrings.spans(spark.read.parquet(f"{sf}/documents.parquet"), within=False).collect()
+    assert tuples(across) == slow_spans(docs, False) and across
 
 
 def test_query_within_against_brute_force(spark, sf):
