@@ -8,6 +8,9 @@ from salesmart.catalog import roles as R
 from salesmart.catalog.registry import query
 from salesmart.plans import measures as M
 from salesmart.plans import reports as V
+from salesmart.plans.facts import MONTH, with_month
+from salesmart.sources import tables as T
+from salesmart.workspace import run_dir
 
 # Facts under the report's filters; ``both`` also lays each fact out a year later.
 R.CTE["visible"] = f"SELECT * FROM ddate WHERE {R.REPORT_SQL}"
@@ -59,6 +62,20 @@ def sales_prior_period(spark, sf):
     return rows.select("PharmacyName", M.PRIOR_AMOUNT)
 
 
+@query("k03_prior_of_selected_year", """
+SELECT CAST(month(l_shipdate) AS SMALLINT) AS "Month", CAST(sum(a) FILTER (y = 1997) AS DOUBLE) AS TotalSalesAmount,
+  CAST(sum(q) FILTER (y = 1997) AS BIGINT) AS TotalQuantity, CAST(sum(a) FILTER (y = 1996) AS DOUBLE) AS SalesPriorPeriod,
+  CAST(sum(q) FILTER (y = 1996) AS BIGINT) AS QuantityPriorPeriod
+FROM (SELECT l_shipdate, year(l_shipdate) AS y, CAST(l_extendedprice AS DECIMAL(18,2)) AS a, CAST(l_quantity AS INTEGER) AS q FROM lineitem)
+WHERE y IN (1996, 1997) GROUP BY 1""")
+def prior_of_selected_year(spark, sf):
+    """A year chosen on the calendar, over facts stored by month: only that year's and the last one's files are read."""
+    path, full = run_dir(spark, "facts"), R.mart(spark, sf)
+    T.replace(with_month(full.facts), path, [MONTH])
+    stored = M.Mart(T.scan(spark, path), full.tables)
+    return M.sales_with_prior(stored, M.FilterContext().selecting("DimDate", "Year", 1997), (("DimDate", "Month"),))
+
+
 @query("k04_quantity_prior_period", R.sql(f'SELECT "Year", {_PQ} FROM "both" GROUP BY 1', "both"))
 def quantity_prior_period(spark, sf):
     return M.sales_with_prior(R.mart(spark, sf), R.REPORT, (("DimDate", "Year"),)).select("Year", M.PRIOR_QTY)

@@ -9,24 +9,24 @@ from pyspark.sql import functions as F
 
 # Every white-space character, so that trimming needs no regular expression.
 _SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-_ANY_SPACE = r"(?U)\s+"
-_COMBINING_MARK = r"\p{M}+"
+_ANY_SPACE = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in _SPACES) + "]+"
+#: Parts the entries of the table of plain forms; it is no character, so no entry holds it.
+_PARTING = "\uffff"
 
 
-def _accent_table() -> tuple[str, str]:
-    """Accented Latin letters and the plain letters they decompose to."""
-    accented, plain = [], []
-    for code in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
-        letter = chr(code).lower()
-        parts = unicodedata.normalize("NFKD", letter)
-        base = "".join(p for p in parts if not unicodedata.combining(p))
-        if len(base) == 1 and base != letter and letter not in accented:
-            accented.append(letter)
-            plain.append(base)
-    return "".join(accented), "".join(plain)
+def _plain_forms() -> str:
+    """For each code point below U+FFFF its compatibility decomposition in lower case, without combining marks."""
 
+    def plain(code: int) -> str:
+        if 0xD800 <= code < 0xE000:  # halves of a surrogate pair never stand alone
+            return ""
+        parts = unicodedata.normalize("NFKD", chr(code).lower())
+        return "".join(p for p in parts if not unicodedata.combining(p))
 
-_ACCENTED, _PLAIN = _accent_table()
+    return _PARTING.join(map(plain, range(0xFFFF)))
+
+
+_PLAIN = _plain_forms()
 
 
 def clean_text(c: Column) -> Column:
@@ -42,10 +42,23 @@ def has_text(c: Column) -> Column:
     return c.isNotNull() & (clean_text(c) != "")
 
 
+def plain_form(c: Column) -> Column:
+    """Compatibility decomposition (NFKD) without combining marks, by native expressions.
+
+    Ligatures, fractions, full-width and circled forms become the characters
+    they stand for.  Text in ASCII is left as it is; in other text each
+    character is looked up by its code point in a constant array.  Characters
+    beyond the Basic Multilingual Plane stay.
+    """
+    table = F.split(F.lit(_PLAIN), _PARTING)
+    letters = F.transform(F.split(c, ""), lambda x: F.when(F.ascii(x) < 0xFFFF, F.get(table, F.ascii(x))).otherwise(x))
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.array_join(letters, ""))
+
+
 def match_key(c: Column) -> Column:
     """Lower-case, accent-free, single-spaced form used to match place names."""
-    bare = F.translate(F.lower(clean_text(c)), _ACCENTED, _PLAIN)
-    return F.regexp_replace(F.regexp_replace(bare, _COMBINING_MARK, ""), _ANY_SPACE, " ")
+    bare = plain_form(F.lower(clean_text(c)))
+    return F.btrim(F.regexp_replace(bare, _ANY_SPACE, " "))
 
 
 def before(c: Column, delimiter: str) -> Column:

@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 from salesmart.functions.labels import UNKNOWN_KEY
 from salesmart.functions.text import match_key
 from salesmart.operators.grouping import single_value
+from salesmart.workspace import settle
 
 LOWEST = -(2**63)
 SPREAD = 4096
 SALTS = 32
+#: Most keys that are looked up by broadcast, and most rows of a side for them.
+MOST_HOT = 256
+HOT_ROWS = 4096
 
 
 def unique_map(df: DataFrame, key: str, value: str, fold: bool = False) -> DataFrame:
@@ -93,10 +97,45 @@ def orphan_report(facts: DataFrame, links: dict[str, tuple[DataFrame, str]]) ->
     )
 
 
+def frequent_keys(df: DataFrame, key: str, most: int = MOST_HOT) -> list:
+    """Values that at least one in ``most`` rows has, by a sketch that merges on the map side; no more than ``most``."""
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(`{key}`, {most}, {most * 40})").alias("top")).first()
+    return [t["item"] for t in found.top or () if t["item"] is not None and t["count"] * most >= found.n]
+
+
 def enrich(df: DataFrame, side: DataFrame, on: str, defaults: dict[str, object] | None = None) -> DataFrame:
-    """Left join on one name, with a default per column for rows that found nothing."""
-    joined = df.join(side, on, "left")
-    return joined.fillna(defaults) if defaults else joined
+    """Left join on one name, with a default per column for rows that found nothing.
+
+    Keys that very many rows have are found by a sketch; their few rows of the
+    side are broadcast and give these rows their columns where they lie.  The
+    others meet the rest of the side by a shuffle, in which rows that are done,
+    and rows without a key, are spread evenly.
+    """
+    names = [c for c in side.columns if c != on]
+    hot = frequent_keys(df, on)
+    chosen = F.col(on).isin(*hot) if hot else F.lit(False)
+    known = side.filter(chosen).select(F.col(on).alias("_hot"), F.struct(*names).alias("_here"))
+    if hot:
+        known = settle(known, "hot")
+        if known.count() > HOT_ROWS:  # the side has many rows for a key
+            hot, chosen, known = [], F.lit(False), known.filter(F.lit(False))
+    # Always 0, but not seen to be: a constant would not count as a key of the join.
+    lane = F.pmod(F.xxhash64(on), F.lit(1))
+    rest = side.filter(~F.coalesce(chosen, F.lit(False))).select(F.col(on).alias("_rest"), F.struct(*names).alias("_there"), lane.alias("_lane"))
+    met = df.join(F.broadcast(known), F.col(on) == F.col("_hot"), "left") if hot else df.withColumns(
+        {"_hot": F.lit(None).cast(df.schema[on].dataType), "_here": F.lit(None).cast(known.schema["_here"].dataType)}
+    )
+    done = F.col("_hot").isNotNull() | F.col(on).isNull()
+    met = met.withColumns(
+        {
+            "_probe": F.when(~done, F.col(on)),
+            "_spread": F.when(done, F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))).otherwise(F.lit(0)),
+        }
+    )
+    joined = met.join(rest, (F.col("_probe") == F.col("_rest")) & (F.col("_spread") == F.col("_lane")), "left")
+    found = [F.when(F.col("_hot").isNotNull(), F.col("_here").getField(c)).otherwise(F.col("_there").getField(c)).alias(c) for c in names]
+    out = joined.select(on, *(c for c in df.columns if c != on), *found)
+    return out.fillna(defaults) if defaults else out
 
 
 def salted_join(df: DataFrame, side: DataFrame, keys: list[str], by: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:

@@ -151,6 +151,32 @@ def visible_dates(mart: Mart, ctx: FilterContext, columns: tuple[str, ...] = ())
     return mart["DimDate"].filter(ctx.dates()).select("SK_Date", "FullDate", *columns)
 
 
+def _month_of(day: Column) -> Column:
+    return F.floor(day / 100).cast("int")
+
+
+def _on_days(facts: DataFrame, days: DataFrame, how: str = "inner") -> DataFrame:
+    """Facts with the columns of their day.
+
+    The storage month is part of the condition, so that the months of the days
+    that are left, whatever was selected on the calendar, prune the scan.
+    """
+    on = F.col("FK_Date") == F.col("SK_Date")
+    if MONTH in facts.columns:
+        days = days.withColumn("_month", _month_of(F.col("SK_Date")))
+        on = on & (F.col(MONTH) == F.col("_month"))
+    return facts.join(F.broadcast(days), on, how).drop("_month")
+
+
+def _in_months(mart: Mart, ctx: FilterContext, facts: DataFrame) -> DataFrame:
+    """Facts of the visible months and of those a year before; the calendar bounds how many there are."""
+    if MONTH not in facts.columns or not ctx.limits_dates:
+        return facts
+    month = _month_of(F.col("SK_Date"))
+    months = visible_dates(mart, ctx).select(F.explode(F.array(month, month - 100)).alias("_month")).distinct()
+    return facts.join(F.broadcast(months), F.col(MONTH) == F.col("_month"), "left_semi")
+
+
 def _labels(by: tuple[tuple[str, str], ...], table: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(c for t, c in by if t == table))
 
@@ -204,7 +230,7 @@ def sales(mart: Mart, ctx: FilterContext, by: tuple[tuple[str, str], ...] = ())
     if ctx.limits_dates or labels:
         days = visible_dates(mart, ctx, labels).drop(*({"FullDate"} - set(labels)))
         how = "inner" if ctx.limits_dates else "left"
-        facts = facts.join(F.broadcast(days), F.col("FK_Date") == F.col("SK_Date"), how)
+        facts = _on_days(facts, days, how)
     labels += _labels(by, "DimTime")
     amount, qty = F.col("Amount").cast("decimal(28,2)"), F.col("Qty").cast("bigint")
     if len(keys) > 1:
@@ -225,7 +251,7 @@ def sales_with_prior(mart: Mart, ctx: FilterContext, by: tuple[tuple[str, str],
     times = _labels(by, "DimTime")
     keys = [*_foreign_keys(ctx, by), *times]
     labels = _labels(by, "DimDate")
-    facts = _timed(pruned(mart.facts, *ctx.span(years_back=1)), mart, ctx, by)
+    facts = _timed(_in_months(mart, ctx, pruned(mart.facts, *ctx.span(years_back=1))), mart, ctx, by)
     daily = facts.groupBy("FK_Date", *keys).agg(
         F.sum("Amount").alias("a"), F.sum(F.col("Qty").cast("bigint")).alias("q")
     )
@@ -309,7 +335,7 @@ def _both_totals(mart: Mart, ctx: FilterContext, by: tuple[tuple[str, str], ...]
         .select("SK_Date", "_in", "_all", *labels)
     )
     facts = pruned(mart.facts, *FilterContext(slicer=ctx.slicer).span())
-    facts = facts.join(F.broadcast(days), F.col("FK_Date") == F.col("SK_Date"))
+    facts = _on_days(facts, days)
     shown = F.col("_in")
     if times := [t for t in ("DimTime",) if t in (*ctx.tables, *(t for t, _ in by))]:
         minutes = mart[times[0]].select("SK_Time", *_labels(by, "DimTime"), ctx.on("DimTime").alias("_minute"))

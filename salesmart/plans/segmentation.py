@@ -16,6 +16,7 @@ from salesmart.functions import numbers as N
 from salesmart.functions import text as X
 from salesmart.operators.filters import analytical_valid, computed, filter_computed
 from salesmart.operators.grouping import first_row, long_form
+from salesmart.operators.lookups import enrich
 from salesmart.operators.ordering import z_scores
 from salesmart.operators.scalar import beside
 from salesmart.plans.silhouette import Silhouette, silhouette
@@ -151,12 +152,9 @@ def quality_summary(sales: DataFrame) -> DataFrame:
 
 
 def enrich_sales(sales: DataFrame, products: DataFrame, pharmacies: DataFrame) -> DataFrame:
-    """Product and store attributes beside each sale, with a default for what is missing."""
-    return (
-        sales.join(products, "CNP", "left")
-        .join(pharmacies, "PharmacyID", "left")
-        .fillna({"IsGeneric": False, "ProductType": L.UNKNOWN, **MISSING_STORE})
-    )
+    """Product and store attributes beside each sale, with a default for what is missing; busy products and stores are no single tasks."""
+    typed = enrich(sales, products, "CNP", {"IsGeneric": False, "ProductType": L.UNKNOWN})
+    return enrich(typed, pharmacies, "PharmacyID", MISSING_STORE)
 
 
 def coverage_summary(sales: DataFrame, products: DataFrame, pharmacies: DataFrame) -> DataFrame:

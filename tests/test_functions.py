@@ -1,6 +1,7 @@
 """Edge cases of the column helpers, on hand-written rows."""
 
 import datetime as dt
+import unicodedata
 from decimal import Decimal
 
 import pytest
@@ -77,3 +78,18 @@ def test_single_value(spark):
 def test_segment_labels(spark):
     assert values(spark, L.segment_label, [1, 2, 3, 4], "int") == [
         "High-value pharmacies", "Standard pharmacies", "Low-value pharmacies", "Additional segment 4"]
+
+
+def test_match_key_over_the_whole_plane(spark):
+    """Every assigned character of the Basic Multilingual Plane alone and inside a word; of others Python cannot know the case."""
+
+    def by_definition(value):
+        parts = unicodedata.normalize("NFKD", value.strip().lower())
+        return " ".join("".join(p for p in parts if not unicodedata.combining(p)).split())
+
+    chars = [chr(k) for k in range(0x10000) if unicodedata.category(chr(k)) not in ("Cn", "Cs")]
+    values = [*chars, *(f"Ab{x}cD  e" for x in chars), "ﬁn ½ Ａｂ", "ΟΔΟΣ ΟΔΟΣ", "\U0001f642 é", "", "  ", "\x1c a \x1d\u3000b"]
+    got = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v string").select("k", X.match_key(F.col("v")).alias("m"))
+    wrong = [(values[r.k], r.m) for r in got.collect() if r.m != by_definition(values[r.k])]
+    assert not wrong, (len(wrong), wrong[:9])
+    assert spark.range(1).select(X.match_key(F.lit(None).cast("string"))).first()[0] is None

@@ -1,6 +1,9 @@
 """Filter context rules and invariants of the measures, on a small mart with skew and gaps."""
 
 import datetime as dt
+import glob
+import os
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -11,7 +14,10 @@ from salesmart.operators.grouping import drill
 from salesmart.plans import dimensions as B
 from salesmart.plans import measures as M
 from salesmart.plans import reports as V
+from salesmart.plans.facts import MONTH, with_month
 from salesmart.sources import generators as G
+from salesmart.sources import tables as T
+from salesmart.workspace import run_dir
 
 SALES = [
     # date, product, pharmacy, qty, amount
@@ -172,3 +178,25 @@ def test_minutes_select_and_label(stored):
         assert M.sales(stored, ctx).first().TotalSalesAmount == amount
         assert M.share_card(stored, ctx).first().SalesAmountShare == pytest.approx(float(amount) / float(sum(whole.values())))
         assert M.sales_with_prior(stored, ctx, by).first().TotalSalesAmount == amount
+
+
+def test_a_year_on_the_calendar_prunes_the_scan(spark, mart):
+    """Months outside the selection are never read: their files are no Parquet any more."""
+    path = run_dir(spark, "facts")
+    T.replace(with_month(mart.facts), path, [MONTH])
+    where = T.current(spark, path).removeprefix("file:")
+    stored = replace(mart, facts=T.scan(spark, path))
+    ctx, by = M.FilterContext().selecting("DimDate", "Year", 2021), (("DimDate", "Month"), ("DimPharmacy", "PharmacyName"))
+    want = [sorted(map(str, f(mart, ctx, by).collect())) for f in (M.sales, M.sales_with_prior)]
+    for f in (M.sales, M.sales_with_prior):
+        assert "dynamicpruning" in f(stored, ctx, by)._jdf.queryExecution().toString()
+    for month in ("202203", "202306"):
+        for name in glob.glob(f"{where}/{MONTH}={month}/*.parquet"):
+            os.chmod(name, 0o644)
+            with open(name, "wb") as f:
+                f.write(b"none")
+            for crc in glob.glob(f"{where}/{MONTH}={month}/.*.crc"):
+                os.remove(crc)
+    stored = replace(mart, facts=T.scan(spark, path, stored.facts.schema))
+    assert [sorted(map(str, f(stored, ctx, by).collect())) for f in (M.sales, M.sales_with_prior)] == want
+    assert want[0] and want[1]

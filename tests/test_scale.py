@@ -128,3 +128,34 @@ def test_rows_without_a_code_are_spread(spark):
     assert all(r.FK == (-1 if r.code is None or r.code >= 40 else r.code + 1) for r in got)
     uncoded = [r.task for r in got if r.code is None]
     assert max(uncoded.count(t) for t in set(uncoded)) < len(uncoded) / 4
+
+
+@pytest.mark.parametrize("hot_share", [0, 3])
+def test_enrichment_spreads_a_hot_key(spark, hot_share):
+    """A third of the rows on one key and a third without: the largest task gets no more than twice the median."""
+    n, settings = 60_000, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    key = F.col("id") % 9973
+    if hot_share:
+        key = F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 3 == 1, F.col("id") % 9973)
+    rows = spark.range(n).select(key.alias("k"), F.col("id").alias("v"))
+    side = spark.range(9000).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    want = sorted(map(str, rows.join(side, "k", "left").fillna("none", ["name"]).select("k", "v", "name").collect()))
+    old = {c: spark.conf.get(c) for c in settings}
+    try:
+        for c, x in settings.items():
+            spark.conf.set(c, x)
+        got = J.enrich(rows, side, "k", {"name": "none"})
+        sizes = sorted(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect())
+        assert sorted(map(str, got.collect())) == want and got.columns == ["k", "v", "name"]
+    finally:
+        for c, x in old.items():
+            spark.conf.set(c, x)
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[3]
+
+
+def test_enrichment_with_many_rows_for_a_hot_key(spark):
+    """What would not be small enough to broadcast is joined as any other."""
+    rows = spark.range(50).select(F.lit(1).alias("k"), "id")
+    side = spark.range(J.HOT_ROWS + 1).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    assert J.enrich(rows, side, "k").count() == 50 * (J.HOT_ROWS + 1)
+    assert J.enrich(rows.limit(0), side, "k").count() == 0
