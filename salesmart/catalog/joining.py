@@ -191,10 +191,9 @@ def self_join_year_shift(spark, sf):
 
 
 @query("g01_sequential_key", """
-SELECT row_number() OVER (ORDER BY p_partkey) AS SK_Product, p_partkey AS CNP, p_name AS ProductName
-FROM part WHERE p_type <> 'PROMO'""")
+SELECT row_number() OVER (ORDER BY p_partkey) AS SK_Product, p_partkey AS CNP, p_name AS ProductName FROM part""")
 def sequential_key(spark, sf):
-    rows = R.table(spark, sf, "part").filter("p_type <> 'PROMO'").select(F.col("p_partkey").alias("CNP"), F.col("p_name").alias("ProductName"))
+    rows = R.table(spark, sf, "part").select(F.col("p_partkey").alias("CNP"), F.col("p_name").alias("ProductName"))
     return O.sequential_key(rows, "CNP", "SK_Product")
 
 
@@ -311,7 +310,7 @@ def distinct_on_columns(spark, sf):
     return A.first_row(rows, ["PharmacyID", "POS"], ["SaleID"])
 
 
-@query("i04_difference_by_key", "SELECT c_custkey AS SK_Operator FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
+@query("i04_difference_by_key", "SELECT c_custkey AS SK_Operator FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)")
 def difference_by_key(spark, sf):
     people = R.table(spark, sf, "customer").select(F.col("c_custkey").alias("SK_Operator"))
-    return J.new_rows(people, R.table(spark, sf, "orders").filter("o_orderstatus = 'P'"), "SK_Operator", "o_custkey")
+    return J.new_rows(people, R.table(spark, sf, "events"), "SK_Operator", "user_id")

@@ -211,16 +211,14 @@ def exclude_dates(spark, sf):
 
 
 @query("d11_having_measure", """
-SELECT s_name AS PharmacyName, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS Amount
-FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey AND l_quantity = 50 AND l_linenumber = 7 AND l_discount = 0
-GROUP BY 1 HAVING sum(CAST(l_extendedprice AS DECIMAL(18,2))) IS NOT NULL""")
+SELECT o_orderkey AS PK_SaleID, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS Amount
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1 HAVING sum(CAST(l_extendedprice AS DECIMAL(18,2))) IS NOT NULL""")
 def having_measure(spark, sf):
-    few = R.table(spark, sf, "lineitem").filter("l_quantity = 50 AND l_linenumber = 7 AND l_discount = 0").groupBy("l_suppkey").agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("Amount")
-    )
-    rows = R.table(spark, sf, "supplier").join(few, F.col("s_suppkey") == F.col("l_suppkey"), "left")
-    by_name = rows.groupBy(F.col("s_name").alias("PharmacyName")).agg(F.sum("Amount").alias("Amount"))
-    return by_name.filter(F.col("Amount").isNotNull())
+    """Of all orders those with a total; some have no line at all."""
+    totals = R.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("Amount"))
+    rows = R.table(spark, sf, "orders").join(totals, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    by_order = rows.groupBy(F.col("o_orderkey").alias("PK_SaleID")).agg(F.sum("Amount").alias("Amount"))
+    return by_order.filter(F.col("Amount").isNotNull())
 
 
 @query("d12_cross_filter", R.sql("""
@@ -241,11 +239,11 @@ def between_shares(spark, sf):
 
 @query("d14_set_membership", """
 SELECT c_custkey AS SK_Operator FROM customer
-WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')""")
+WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_custkey IN (SELECT user_id FROM events)""")
 def set_membership(spark, sf):
     people = R.table(spark, sf, "customer").filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
-    keys = R.table(spark, sf, "orders").filter("o_orderstatus = 'P'").select("o_custkey")
-    return people.join(keys, F.col("c_custkey") == F.col("o_custkey"), "left_semi").select(F.col("c_custkey").alias("SK_Operator"))
+    keys = R.table(spark, sf, "events").select("user_id")
+    return people.join(keys, F.col("c_custkey") == F.col("user_id"), "left_semi").select(F.col("c_custkey").alias("SK_Operator"))
 
 
 @query("d15_control_lookup", """
