@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesmart.operators.grouping import long_form
 
+# The reports' expected texts, and below the names of checks and columns.
 SOME = "Should be > 0"
 NONE = "Should be 0"
 SAME = "Should match number of pharmacies used in the model"
