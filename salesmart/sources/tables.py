@@ -77,6 +77,8 @@ def publish(spark: SparkSession, path: str, version: str, expected: int | None =
 
 def _created(spark: SparkSession, path: str) -> bool:
     fs, where = files(spark, path)
+    if fs.getUri().getScheme() == "file":  # Hadoop's local file system looks first and creates then
+        return spark.sparkContext._jvm.java.io.File(where.toUri().getPath()).createNewFile()
     try:
         return fs.createNewFile(where)
     except Py4JJavaError:
