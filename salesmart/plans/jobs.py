@@ -20,6 +20,7 @@ from salesmart.operators.grouping import row_counts
 from salesmart.plans import dimensions as B
 from salesmart.plans import incremental as I
 from salesmart.plans import segmentation as S
+from salesmart.plans.feature_state import FeatureState, dimension_products
 from salesmart.plans.facts import FACT_INPUT, MONTH, keyed_facts, typed_sales, with_month
 from salesmart.plans.measures import Mart
 from salesmart.sources import generators as G
@@ -188,15 +189,19 @@ def parsed_sales(feed: DataFrame, analysis: bool = True) -> DataFrame:
     return settle(typed_sales(both).select(*FACT_INPUT, ANALYSIS), "sales")
 
 
+def prepared_stores(feeds: Feeds) -> DataFrame:
+    """Stores with corrected places, as the segmentation reads them; an unknown district is an error."""
+    places = Q.require_known_districts(
+        B.corrected_locations(feeds.locations, feeds.district_map, feeds.manual_by_key)
+    )
+    return S.prepare_pharmacies(feeds.pharmacies.withColumnsRenamed(B.PHARMACY_COLUMNS), places)
+
+
 def segment_stores(feeds: Feeds, parsed: DataFrame | None = None) -> S.Segmentation:
     """Segmentation from the raw feeds, with its own cleaning rules."""
     parsed = parsed_sales(feeds.sales) if parsed is None else parsed
     sales = S.valid_sales(parsed.select(f"{ANALYSIS}.*"))
-    places = Q.require_known_districts(
-        B.corrected_locations(feeds.locations, feeds.district_map, feeds.manual_by_key)
-    )
-    stores = S.prepare_pharmacies(feeds.pharmacies.withColumnsRenamed(B.PHARMACY_COLUMNS), places)
-    return S.segment(S.store_features(sales, S.prepare_products(feeds.products), stores))
+    return S.segment(S.store_features(sales, S.prepare_products(feeds.products), prepared_stores(feeds)))
 
 
 def final_report(house: Warehouse) -> dict[str, DataFrame]:
@@ -274,3 +279,28 @@ def incremental_load(
         inserted = house.write("FactSales", I.rows_to_insert(staged, known, mark), job, append=True)
         house.advance_mark(staged.withColumnRenamed("SaleID", "PK_SaleID"), job)
     return inserted
+
+
+def current_features(house: Warehouse, feeds: Feeds) -> tuple[DataFrame, list[int]]:
+    """Store features of the stored facts, and the months of facts that were read to bring their state up to date."""
+    state, facts = FeatureState(house.spark, f"{house.root}/state/StoreFeatures"), house.read("FactSales")
+    months = state.refresh(T.current(house.spark, house.path("FactSales")), facts)
+    stores = prepared_stores(feeds).withColumn("PharmacyID", to_int64(F.col("PharmacyID")))
+    return state.features(facts, dimension_products(house.read("DimProduct")), stores), months
+
+
+def refresh_segments(spark: SparkSession, feeds: Feeds, root: str) -> list[int]:
+    """Segments anew from the stored facts, after any number of increments.
+
+    Of the facts only months that changed since the last call are read; the raw
+    sales are not.  Gives these months.
+    """
+    job, house = "refresh_segments", Warehouse(spark, root)
+    with house.logged(), scratch(spark):
+        with house.step(job, "refresh features", "FactSales"):
+            features, months = current_features(house, feeds)
+        segments = S.segment(features).segments
+        with house.step(job, "check segments"):
+            Q.require_checks(Q.output_checks(segments))
+        house.write("PharmacySegmentation", S.for_warehouse(segments), job)
+    return months

@@ -188,12 +188,28 @@ def store_features(sales: DataFrame, products: DataFrame, pharmacies: DataFrame)
     counts then run over that table.  Transactions are counted from their own
     two columns.  Both groupings spread a busy pharmacy over all tasks.
     """
-    amount = F.col("Amount").cast("decimal(18,2)")
+    last_day = sales.agg(F.max("Datetime").cast("date").alias("_last"))
+    return features_of(monthly_sales(sales), distinct_sales(sales), products, pharmacies, last_day)
+
+
+def monthly_sales(sales: DataFrame, *carried: str) -> DataFrame:
+    """One row per pharmacy, product and month (and ``carried`` columns); the rows of parts of the sales add up."""
     month = F.year("Datetime") * 100 + F.month("Datetime")
-    monthly = sales.groupBy("PharmacyID", "CNP", month.alias("month")).agg(
-        F.sum(amount).alias("amount"), F.sum(F.col("Qty").cast("decimal(18,2)")).alias("qty"),
+    return sales.groupBy("PharmacyID", "CNP", month.alias("month"), *carried).agg(
+        F.sum(F.col("Amount").cast("decimal(18,2)")).alias("amount"), F.sum(F.col("Qty").cast("decimal(18,2)")).alias("qty"),
         F.min("Datetime").alias("first"), F.max("Datetime").alias("last"),
     )
+
+
+def distinct_sales(sales: DataFrame, *carried: str) -> DataFrame:
+    """Each pharmacy's sale ids, once each."""
+    return sales.select("PharmacyID", "SaleID", *carried).distinct()
+
+
+def features_of(
+    monthly: DataFrame, bought: DataFrame, products: DataFrame, pharmacies: DataFrame, last_day: DataFrame | None = None
+) -> DataFrame:
+    """One row per pharmacy, from ``monthly_sales`` and ``distinct_sales``."""
     typed = monthly.join(products.select("CNP", "Manufacturer", "Brand", "IsGeneric"), "CNP", "left")
     generic = F.coalesce(F.col("IsGeneric"), F.lit(False))
     stores = typed.groupBy("PharmacyID").agg(
@@ -206,17 +222,13 @@ def store_features(sales: DataFrame, products: DataFrame, pharmacies: DataFrame)
         F.count_distinct("month").alias("ActiveMonths"),
         F.min("first").alias("FirstSaleDate"), F.max("last").alias("LastSaleDate"),
     )
-    bought = (
-        sales.select("PharmacyID", "SaleID").distinct()
-        .groupBy("PharmacyID").agg(F.count("SaleID").alias("NumberOfTransactions"))
-    )
     described = (
-        stores.join(bought, "PharmacyID", "left")
+        stores.join(bought.groupBy("PharmacyID").agg(F.count("SaleID").alias("NumberOfTransactions")), "PharmacyID", "left")
         .join(pharmacies.select("PharmacyID", "PharmacyName", "LocationCode", "LocationName", "District", "Country"),
               "PharmacyID", "left")
         .fillna(MISSING_STORE)
     )
-    return with_ratios(described, sales.agg(F.max("Datetime").cast("date").alias("_last")))
+    return with_ratios(described, last_day)
 
 
 def with_ratios(features: DataFrame, last_day: DataFrame | None = None) -> DataFrame:
