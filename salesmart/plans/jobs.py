@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
+import functools
 import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -168,14 +171,28 @@ def write_dimensions(house: Warehouse, feeds: Feeds, job: str, bounds: DataFrame
     known = products is not None and not products.isEmpty()
     if days is not None and not days.isEmpty():
         bounds = B.wider_bounds(bounds, days)
-    house.write("DimPOS", B.build_pos(feeds.pos), job)
-    house.write("DimOperator", B.build_operator(feeds.operators), job)
-    house.write("DimLocation", B.build_location(feeds.locations, feeds.district_map, feeds.manual), job)
-    house.write("DimPharmacy", B.build_pharmacy(feeds.pharmacies), job)
-    house.write("DimProduct", B.refresh_product(products, feeds.products) if known else B.build_product(feeds.products), job)
-    house.write("DimDate", B.build_date(bounds), job)
-    house.write("DateSlicer", B.build_slicer(house.read("DimDate")), job)
-    house.write("DimTime", B.build_time(house.spark), job)
+    # None of these reads another, and each is far too small to keep a cluster busy: they are written side by side.
+    side_by_side(
+        house.spark,
+        lambda: house.write("DimProduct", B.refresh_product(products, feeds.products) if known else B.build_product(feeds.products), job),
+        lambda: house.write("DimLocation", B.build_location(feeds.locations, feeds.district_map, feeds.manual), job),
+        lambda: house.write("DimPOS", B.build_pos(feeds.pos), job),
+        lambda: house.write("DimOperator", B.build_operator(feeds.operators), job),
+        lambda: house.write("DimPharmacy", B.build_pharmacy(feeds.pharmacies), job),
+        lambda: house.write("DimTime", B.build_time(house.spark), job),
+        lambda: (
+            house.write("DimDate", B.build_date(bounds), job),
+            house.write("DateSlicer", B.build_slicer(house.read("DimDate")), job),
+        ),
+    )
+
+
+def side_by_side(spark: SparkSession, *steps: Callable[[], object]) -> None:
+    """Run steps in threads of their own; all end before the first failure is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()
 
 
 ANALYSIS = "analysis"
@@ -226,8 +243,7 @@ def full_refresh(
     job, house = "full_refresh", Warehouse(spark, root, draft=T.new_version())
     with house.logged(), scratch(spark):
         with house.step(job, "clear"):
-            for table in ("FactSales", *DIMENSIONS):
-                house.clear(table)
+            side_by_side(spark, *(functools.partial(house.clear, table) for table in ("FactSales", *DIMENSIONS)))
         with house.step(job, "check empty"):
             Q.require_empty(house.counts(("FactSales", *DIMENSIONS)))
         parsed = parsed_sales(feeds.sales, analysis=segmented is not None)

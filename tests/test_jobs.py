@@ -67,6 +67,16 @@ def test_full_refresh_twice_gives_the_same(spark, sf, house):
         assert content(again, table) == content(other, table)
 
 
+def test_a_failed_step_beside_others_is_logged_and_raised(spark, sf, house):
+    """All dimensions are written side by side; one that fails stops the load, and the old mart stays."""
+    before = house.read("FactSales").count()
+    broken = replace(feeds(spark, sf), pos=feeds(spark, sf).pos.drop("name"))
+    with pytest.raises(Exception, match="name|POSName"):
+        W.full_refresh(spark, broken, house.root, segmented=None)
+    assert house.read("FactSales").count() == before
+    assert house.read("DimPOS").count() > 0
+
+
 def test_pruning_by_month(house):
     facts = house.read("FactSales").filter("SaleMonth = 199801").select("Amount")
     assert "PartitionFilters: [isnotnull(SaleMonth" in facts._jdf.queryExecution().toString()
