@@ -130,6 +130,15 @@ def running(
     )
 
 
+#: Most tasks of a shuffle that is laid out by size: the driver keeps a size for each pair of tasks.
+TASKS = 1 << 15
+
+
+def tasks_for(total: int, each: int) -> int:
+    """Tasks of about ``each`` units; beyond ``TASKS`` of them tasks grow instead, and spill to disk where they must."""
+    return min(1 + int(total) // each, TASKS)
+
+
 def spread_for(rows: int) -> int:
     """Hash buckets for ``running``: as many as rows in one, so that neither step has a long window."""
     return 1 + math.isqrt(rows)

@@ -9,8 +9,8 @@ exactly when they drew the same (word, t).  That happens with a probability
 equal to the generalised Jaccard similarity of their weights.  A fingerprint
 is 16 bits of a hash of each least rank, and likeness the share of equal ones.
 
-Text is moved once, to partitions of about ``PART`` characters by document, and
-all counting and sampling of a document then happens where it is; what a
+Text is moved once, to partitions of about ``PART`` characters by document (of
+more beyond 2^15 partitions, where sums and sorts spill to disk), and all counting and sampling of a document then happens where it is; what a
 document lends to its neighbour's edited text moves a second time.
 
 Documents follow each other by falling id, then text hash; after the last
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import WHITE, col, text_of
+from salesmart.llm.common import WHITE, col, tasks_for, text_of
 from salesmart.workspace import settle
 
 SAMPLES = 32
@@ -139,7 +139,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.withColumns({"doc_key": F.coalesce("doc_id", zero), "text_hash": hashed})
     order = successors(rows.select("doc_id", *KEY, F.length("text").cast("bigint").alias("n_chars")).distinct())
     total = order.agg(F.sum("n_chars")).first()[0] or 0
-    here = rows.drop("doc_id").repartition(1 + total // PART, *KEY).dropDuplicates(KEY)
+    here = rows.drop("doc_id").repartition(tasks_for(total, PART), *KEY).dropDuplicates(KEY)
     third = F.floor(F.col("n_chars") / 3).cast("int")
     asked = order.select(
         *(F.col("next").getField(k).alias(k) for k in KEY), F.col("doc_key").alias("asker_key"), F.col("text_hash").alias("asker_hash"),

@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import WORD, col, running, spread_for, text_of
+from salesmart.llm.common import WORD, col, running, spread_for, tasks_for, text_of
 from salesmart.workspace import settle
 
 BLOCK = 64
@@ -138,7 +138,7 @@ def slots(spark, sources: DataFrame, *, shard: int = SHARD, most: int = MOST, se
     chunks = shared.select("src", "blocks", "base", (F.lit(shards) * F.col("base")).cast("bigint").alias("n"))
     chunks = chunks.select("*", _explode_upto(F.col("n"), CHUNK).alias("chunk"))
     # A number of partitions keeps Spark from merging rows that are still few and small.
-    chunks = chunks.repartition(1 + shards * shard // CHUNK, "src", "chunk")
+    chunks = chunks.repartition(tasks_for(shards * shard, CHUNK), "src", "chunk")
     steady = chunks.select("*", _explode_upto(F.least(F.col("n") - F.col("chunk"), F.lit(CHUNK))).alias("k"))
     steady = steady.withColumn("j", F.col("chunk") + F.col("k"))
     steady = steady.select(F.floor(F.col("j") / F.col("base")).cast("bigint").alias("out_shard"), "src", "blocks", "j")

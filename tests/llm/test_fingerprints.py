@@ -7,7 +7,7 @@ from collections import Counter
 from brute import table
 from pyspark.sql import functions as F
 
-from salesmart.llm import fingerprints
+from salesmart.llm import common, fingerprints
 from salesmart.llm.queries import QUERIES
 
 
@@ -71,3 +71,16 @@ def test_edge_cases(spark):
     assert fingerprints.fingerprint(docs.filter(F.lit(False))).count() == 0
     one = fingerprints.fingerprint(docs.filter("doc_id = 9")).first()
     assert one.near_next == 1.0
+
+
+def test_tasks_are_bounded_and_few_tasks_give_the_same(spark, monkeypatch):
+    assert common.tasks_for(0, fingerprints.PART) == 1
+    assert common.tasks_for(30_000_000_000, fingerprints.PART) == 7501
+    assert common.tasks_for(10**14, fingerprints.PART) == common.TASKS
+    random.seed(4)
+    rows = [(n, " ".join(random.choices("abcdefgh", k=random.randrange(40)))) for n in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(fingerprints, "PART", 100)
+    many = sorted(map(tuple, fingerprints.fingerprint(docs, samples=4).collect()))
+    monkeypatch.setattr(common, "TASKS", 2)
+    assert sorted(map(tuple, fingerprints.fingerprint(docs, samples=4).collect())) == many and len(many) == 60
