@@ -18,7 +18,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from salesmart.contracts import CONTRACTS, DIMENSIONS, conform, guarded
 from salesmart.functions.numbers import to_int64
 from salesmart.operators import quality as Q
-from salesmart.operators.filters import above_mark, complete, complete_computed
+from salesmart.operators.filters import above_mark, complete, complete_computed, computed
 from salesmart.operators.grouping import row_counts
 from salesmart.plans import dimensions as B
 from salesmart.plans import incremental as I
@@ -199,10 +199,13 @@ ANALYSIS = "analysis"
 
 
 def parsed_sales(feed: DataFrame, analysis: bool = True) -> DataFrame:
-    """The raw feed read once: typed columns for the facts and, as a struct, the segmentation's own reading if it is needed."""
+    """The raw feed read once: typed columns for the facts and, as a struct, the segmentation's own reading if it is needed.
+
+    The two readings are computed one after the other: generated as one, the code is too long to be compiled.
+    """
     if not analysis:
         return settle(typed_sales(feed).select(*FACT_INPUT), "sales")
-    both = feed.withColumn(ANALYSIS, F.struct(*S.sale_columns("Sale ID", "Pharmacy")))
+    both = computed(feed.withColumn(ANALYSIS, F.struct(*S.sale_columns("Sale ID", "Pharmacy"))))
     return settle(typed_sales(both).select(*FACT_INPUT, ANALYSIS), "sales")
 
 
