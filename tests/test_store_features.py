@@ -106,3 +106,18 @@ def test_pairs_that_hardly_repeat_are_grouped_in_tasks_of_bounded_rows(spark, mo
         want = by_hand(sales, products, store)
         assert {c: float(found[store][c]) if isinstance(v, float) else found[store][c] for c, v in want.items()} == want
         assert found[store]["NumberOfTransactions"] == len({s[0] for s in sales if s[1] == store})
+
+
+def test_products_join_in_tasks_of_bounded_rows_without_a_sort(spark, monkeypatch):
+    """The totals by store and product pass by hashed products, in more tasks where there are more rows."""
+    monkeypatch.setattr(A, "DEALT", 100)
+    sales, products = tables(1000)
+    made = S.store_features(spark.createDataFrame(sales, SALES), spark.createDataFrame(products, PRODUCTS), spark.createDataFrame([], STORES))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ShuffledHashJoin \[CNP#\d+L\], \[CNP#\d+L\], LeftOuter, BuildRight", plan)
+    assert not re.search(r"(SortMerge|BroadcastHash)Join \[CNP#", plan)
+    assert re.search(r"hashpartitioning\(CNP#\d+L, 11\), REPARTITION_BY_NUM", plan)
+    found = {r.PharmacyID: r.asDict() for r in made.collect()}
+    for store in (1, 2, 3, None):
+        want = by_hand(sales, products, store)
+        assert {c: found[store][c] for c in want} == want
