@@ -30,6 +30,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -170,14 +171,31 @@ class Encoder:
             found[k] = now[words[k]]
         return found
 
+    def _together(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of some texts; each different word is looked up once."""
+        as_text = pa.array(texts, pa.binary()).view(pa.string())  # the split reads bytes alone
+        lists = pc.ascii_split_whitespace(as_text)
+        words = lists.flatten().dictionary_encode()
+        found = self.look_up(words.dictionary.view(pa.binary()).to_pylist())
+        ends = np.fromiter(accumulate(map(len, found), initial=0), np.int64, len(found) + 1) // 4
+        which = words.indices.to_numpy()
+        sizes = np.diff(ends)[which]
+        until = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.arange(until[-1]) + np.repeat(ends[which] - until[:-1], sizes)
+        return _split(np.frombuffer(b"".join(found), "<u4")[at], until[lists.offsets.to_numpy()])
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of whole texts; a long text is taken in blocks."""
-        texts = list(map(simpler, texts))
+        """Ids of whole texts."""
+        return self._encode(list(map(simpler, texts)))
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
+        """Of simpler texts; they are halved until they fit a block, and a longer text is taken in blocks."""
         if sum(map(len, texts)) <= BLOCK:
-            lists = [t.split() for t in texts]
-            found, ends = self.look_up(list(chain.from_iterable(lists))), [0, *accumulate(map(len, lists))]
-            return [b"".join(found[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        return [b"".join(b"".join(self.look_up(words)) for words in word_blocks(text, BLOCK)) for text in texts]
+            return self._together(texts)
+        if len(texts) > 1:
+            half = len(texts) // 2
+            return self._encode(texts[:half]) + self._encode(texts[half:])
+        return [b"".join(b"".join(self.look_up(words)) for words in word_blocks(texts[0], BLOCK))]
 
 
 def encoder(vocabulary: str) -> Encoder:

@@ -63,6 +63,23 @@ def test_ids_are_the_tokenizers(monkeypatch):
         assert [np.frombuffer(e, "<u4").tolist() for e in encode([t.encode() for t in texts])] == [ids_of(t)[:-1] for t in texts]
 
 
+def test_a_word_is_looked_up_once_a_block(monkeypatch):
+    """Words between any ASCII white space, empty texts, and texts that only together exceed a block."""
+    encoder, asked = packing.Encoder(public_tokenizers.path(packing.VOCABULARY)), []
+    look_up = encoder.look_up
+    monkeypatch.setattr(encoder, "look_up", lambda words: asked.append(words) or look_up(words))
+    texts = ["one two one", "", " \x0btwo\x0c\rtwo ", "\n", "Two*** one!!! \x1cq \x85é É"]
+
+    def check():
+        assert [np.frombuffer(e, "<u4").tolist() for e in encoder.encode([t.encode() for t in texts])] == [ids_of(t)[:-1] for t in texts]
+
+    check()
+    assert all(len(words) == len(set(words)) for words in asked) and len(asked) == 1
+    monkeypatch.setattr(packing, "BLOCK", 20)
+    check()
+    assert len(asked) > 2
+
+
 def test_edge_cases_and_sequences(spark):
     rows = [(1, None, 5), (2, "", 6), (3, "word " * 5000, 7), (4, "tie", 8), (4, "tie", 8), (None, "no id", 9)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, piece int")
