@@ -121,7 +121,8 @@ class FeatureState:
         shapes = {part: shrink(sales_of(facts), MONTH).schema for part, shrink in PARTS.items()}
         monthly, bought = (self._part(part, shape).drop(MONTH) for part, shape in shapes.items())
         # A sale whose lines fall into several months is in the part of each.
-        return S.features_of(monthly, bought, products, pharmacies, monthly.count(), bought.count())
+        rows, stores = monthly.agg(F.count(F.lit(1)), F.approx_count_distinct("PharmacyID")).first()
+        return S.features_of(monthly, bought, products, pharmacies, rows, bought.count(), stores)
 
 
 def dimension_products(products: DataFrame) -> DataFrame:

@@ -121,3 +121,21 @@ def test_products_join_in_tasks_of_bounded_rows_without_a_sort(spark, monkeypatc
     for store in (1, 2, 3, None):
         want = by_hand(sales, products, store)
         assert {c: found[store][c] for c in want} == want
+
+
+def test_stores_are_put_together_in_tasks_of_bounded_rows_without_a_sort(spark, monkeypatch):
+    """Words and sums of a store are dealt by store, in more tasks where there are more stores; no join sorts the stores."""
+    monkeypatch.setattr(A, "DEALT", 100)
+    sales, products = tables(1000)
+    stores = spark.createDataFrame([(k, "s", "1", "l", "d", "p") for k in (1, 2)], STORES)
+    made = S.store_features(spark.createDataFrame(sales, SALES), spark.createDataFrame(products, PRODUCTS), stores)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(PharmacyID#\d+L, 2\), REPARTITION_BY_NUM", plan)
+    assert not re.search(r"hashpartitioning\(PharmacyID#\d+L, kind#", plan)
+    assert not re.search(r"(SortMerge|BroadcastHash)Join \[PharmacyID#", plan)
+    found = {r.PharmacyID: r.asDict() for r in made.collect()}
+    assert {k: r["PharmacyName"] for k, r in found.items()} == {1: "s", 2: "s", 3: "Unknown pharmacy", None: "Unknown pharmacy"}
+    for store, row in found.items():
+        want = by_hand(sales, products, store)
+        assert {c: row[c] for c in want} == want
+        assert row["NumberOfTransactions"] == (len({s[0] for s in sales if s[1] == store}) if store else None)
