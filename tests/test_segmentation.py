@@ -7,6 +7,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from salesmart.plans import segmentation as P
+from salesmart.plans import silhouette as H
 from salesmart.plans import starts
 from salesmart.plans.silhouette import silhouette
 from salesmart.plans.starts import best_of_starts
@@ -166,3 +167,34 @@ def test_sampled_silhouette_is_within_its_error(spark, sample):
         assert found.value == pytest.approx(want, abs=1e-9) and found.standard_error == 0
     else:
         assert 0 < found.standard_error < 0.05 and abs(found.value - want) < 4 * found.standard_error
+
+
+def test_silhouette_of_large_clusters_is_exact(spark):
+    """Clusters of more than 2,000 stores: every store is every other one's partner."""
+    rng = np.random.default_rng(5)
+    label = np.array([0] * 2300 + [1] * 2100 + [2] * 4 + [3])
+    x = rng.normal(0, 1, (len(label), 3)) + label[:, None] * np.array([1, 0.4, -0.3])
+    rows = [(f"s{k}", Vectors.dense(v), int(c)) for k, (v, c) in enumerate(zip(x.tolist(), label, strict=True))]
+    found = P.euclidean_silhouette(spark.createDataFrame(rows, ["PharmacyID", "z", "ClusterID"]).repartition(5))
+    assert found.value == pytest.approx(plain_silhouette(x, label), abs=1e-9)
+    assert (found.standard_error, found.stores, found.clusters) == (0, len(label), 4)
+
+
+@pytest.mark.parametrize(("least", "block"), [(2048, 1 << 16), (30, 1 << 16), (2048, 20), (1, 2)])
+def test_silhouette_does_not_depend_on_the_blocks(spark, monkeypatch, least, block):
+    """Repeated and missing keys, equal vectors, far stores that lie close together, and blocks without rows."""
+    monkeypatch.setattr(H, "LEAST", least)
+    monkeypatch.setattr(H, "BLOCK", block)
+    monkeypatch.setattr(H, "SPREAD", 5)
+    monkeypatch.setattr(H, "SIDE", 8)
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(0, 1, (40, 2)), np.ones((9, 2)), 1e6 + rng.normal(0, 1e-3, (30, 2)), [[7.0, 7.0]]])
+    label = np.concatenate([rng.integers(0, 2, 79), [5]])
+    rows = [(None if k % 7 == 0 else f"s{k % 11}", Vectors.dense(v), int(c)) for k, (v, c) in enumerate(zip(x.tolist(), label, strict=True))]
+    found = silhouette(spark.createDataFrame(rows, ["id", "z", "c"]).repartition(3), "id", "z", "c")
+    assert found.value == pytest.approx(plain_silhouette(x, label), abs=1e-9) and found.stores == 80
+
+
+def test_silhouette_of_stores_at_one_place(spark):
+    rows = [(f"s{k}", Vectors.dense([0.3, -12.7]), k % 2) for k in range(20)]
+    assert silhouette(spark.createDataFrame(rows, ["id", "z", "c"]), "id", "z", "c").value == 0
